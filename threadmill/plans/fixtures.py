@@ -53,6 +53,24 @@ def tagged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", "turn", "role", text.alias("text"))
 
 
+def conv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_raw: ``conversations array<struct<role,from,content,value>>`` per conv_id."""
+    t = tagged_turns(spark, sf_dir)
+    msgs = (t.groupBy("conv_id")
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_t")))
+    null = F.lit(None).cast("string")
+    return msgs.select("conv_id", F.transform("_t", lambda m: F.struct(
+        m["role"].alias("role"), null.alias("from"), m["text"].alias("content"), null.alias("value")))
+        .alias("conversations"))
+
+
+def normalized_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_raw through the P6 normaliser: ``conv_id, ok, messages``."""
+    from threadmill.functions.messages import normalize_conversations
+    n = normalize_conversations(conv_raw(spark, sf_dir), "conversations")
+    return n.select("conv_id", "ok", "messages")
+
+
 def conversation_messages(turns: DataFrame, content_col: str = "text") -> DataFrame:
     """Turn rows -> one row per conversation with ``messages array<struct<role,content>>``.
 

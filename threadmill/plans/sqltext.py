@@ -133,3 +133,55 @@ TAGGED = (
 def messages_cte(name: str, turns: str, content: str = "text") -> str:
     return (f"{name} AS (SELECT conv_id, list(struct_pack(role := role, content := {content}) "
             f"ORDER BY turn) AS messages FROM {turns} GROUP BY conv_id)")
+
+
+# ---------------------------------------------------------------------------
+# Message helpers (DuckDB lists of structs; lambdas as ``lambda x: ...``)
+# ---------------------------------------------------------------------------
+
+def canon_role(e: str) -> str:
+    from threadmill.functions.messages import ROLE_ALIASES
+    low = f"lower(coalesce({e}, ''))"
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in ROLE_ALIASES.items())
+    return f"CASE {low} {whens} ELSE {low} END"
+
+
+_THINK = "(?s)<think>(.*?)</think>(.*)"
+
+
+def think_trunc(e: str) -> str:
+    return f"(contains(coalesce({e}, ''), '<think>') AND NOT contains(coalesce({e}, ''), '</think>'))"
+
+
+def think_thinking(e: str) -> str:
+    found = f"regexp_matches(coalesce({e}, ''), {q('(?s)<think>.*?</think>')})"
+    inner = strip(f"regexp_extract(coalesce({e}, ''), {q(_THINK)}, 1)")
+    return f"CASE WHEN NOT {think_trunc(e)} AND {found} THEN nullif({inner}, '') END"
+
+
+def think_answer(e: str) -> str:
+    found = f"regexp_matches(coalesce({e}, ''), {q('(?s)<think>.*?</think>')})"
+    tail = strip(f"regexp_extract(coalesce({e}, ''), {q(_THINK)}, 2)")
+    return f"CASE WHEN {think_trunc(e)} THEN NULL WHEN {found} THEN {tail} ELSE {strip('coalesce(' + e + ', \'\')')} END"
+
+
+def render_chat(m: str, pre: str = "<|im_start|>", sep: str = "\n", suf: str = "<|im_end|>\n") -> str:
+    return (f"array_to_string(list_transform({m}, lambda x: {q(pre)} || x.role || {q(sep)} || "
+            f"coalesce(x.content, '') || {q(suf)}), '')")
+
+
+CONV_NORM = (
+    "conv AS (SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn) AS m "
+    "FROM tagged GROUP BY conv_id), "
+    "b AS (SELECT conv_id, len(m) AS n_raw, list_transform(m, lambda x: struct_pack(role := "
+    + canon_role("nullif(x.role, '')") + ", content := coalesce(nullif(x.content, ''), ''))) AS m FROM conv), "
+    "l AS (SELECT *, list_max(list_transform(m, lambda x, i: CASE WHEN x.role = 'assistant' THEN i ELSE 0 END)) "
+    "AS li FROM b), "
+    "s AS (SELECT *, CASE WHEN li > 0 THEN m[li].content END AS lc FROM l), "
+    "sp AS (SELECT *, " + think_thinking("lc") + " AS lt, " + think_answer("lc") + " AS la, "
+    + think_trunc("lc") + " AS ltr FROM s), "
+    "norm AS (SELECT conv_id, list_transform(m, lambda x, i: struct_pack(role := x.role, content := "
+    "CASE WHEN i = li THEN coalesce(la, '') ELSE x.content END, thinking := CASE WHEN i = li THEN lt END)) AS m, "
+    "(n_raw > 0 AND NOT coalesce(li > 0 AND ltr, false) AND list_bool_or(list_transform(m, lambda x: x.role = 'user')) "
+    "AND list_bool_or(list_transform(m, lambda x: x.role = 'assistant'))) AS ok FROM sp)"
+)
