@@ -82,3 +82,40 @@ def conversation_messages(turns: DataFrame, content_col: str = "text") -> DataFr
     return msgs.select("conv_id", F.transform("_t", lambda m: F.struct(m["role"].alias("role"),
                                                                       m["content"].alias("content")))
                        .alias("messages"))
+
+
+def _part_prompt() -> "F.Column":
+    return F.concat(F.lit("<|user|>Part "), (F.col("p_partkey") % 1500).cast("string"), F.lit("<|end|>"))
+
+
+def math_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """math: problem/solution from part; the solution ends five ways by p_partkey % 5
+    (boxed fraction, 'answer is', two boxes, unbalanced box, trailing '= n')."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    size = F.col("p_size").cast("string")
+    k = F.col("p_partkey") % 5
+    sol = (F.when(k == 0, F.concat("p_name", F.lit(". We compute the total. The answer is \\boxed{\\frac{"), size,
+                                   F.lit("}{2}}")))
+           .when(k == 1, F.concat("p_name", F.lit(". Therefore the answer is "), size, F.lit(".")))
+           .when(k == 2, F.concat("p_name", F.lit(" first \\boxed{"), size, F.lit("} then \\boxed{"),
+                                  (F.col("p_size") + 1).cast("string"), F.lit("}")))
+           .when(k == 3, F.concat("p_name", F.lit(" \\boxed{"), size, F.lit(" unbalanced")))
+           .otherwise(F.concat("p_name", F.lit(" gives x = "), size)))
+    return p.select("p_partkey", _part_prompt().alias("problem"), sol.alias("solution"))
+
+
+def math_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """completions: same/equal-decimal/substring/wrong/none/plain answers by p_partkey % 6."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    size = F.col("p_size").cast("string")
+    k = F.col("p_partkey") % 6
+    dec = F.concat((F.col("p_size") / 2).cast("int").cast("string"), F.lit("."),
+                   ((F.col("p_size") % 2) * 5).cast("string"))
+    comp = (F.when(k == 0, F.concat(F.lit("Let us solve step 1 first. Therefore we get \\boxed{\\frac{"), size,
+                                    F.lit("}{2}}")))
+            .when(k == 1, F.concat(F.lit("Since the total is known, the result is \\boxed{"), dec, F.lit("}")))
+            .when(k == 2, F.concat(F.lit("The answer is "), size, F.lit("0 because of the sum")))
+            .when(k == 3, F.lit("I don't know the answer to this problem."))
+            .when(k == 4, F.lit("No idea here"))
+            .otherwise(F.concat(F.lit("So, the answer is "), size)))
+    return p.select("p_partkey", _part_prompt().alias("prompt"), comp.alias("completion"))

@@ -20,30 +20,34 @@ def q(s: str) -> str:
 
 
 def detect_pattern(py: str) -> str:
-    """Python detection pattern -> RE2: ``\\b`` at an alternative's start is a leading
-    boundary, anywhere else a trailing one; ``\\w``, ``\\s``, ``\\d`` become classes."""
+    """Python pattern -> RE2 for detection/extraction: ``\b`` at an alternative's start
+    is a leading boundary, anywhere else a trailing one (both consume a character);
+    ``\w``, ``\s``, ``\d`` become explicit classes (inside ``[...]`` too)."""
     out = []
     i = 0
+    in_class = False
     while i < len(py):
-        if py.startswith(r"\b", i):
+        two = py[i:i + 2]
+        if two == r"\b" and not in_class:
             leading = i == 0 or py[i - 1] in "|("
             out.append(f"(?:^|{NW})" if leading else f"(?:{NW}|$)")
-            i += 2
-        elif py.startswith(r"\w", i):
-            out.append(W)
-            i += 2
-        elif py.startswith(r"\s", i):
-            out.append(WS)
-            i += 2
-        elif py.startswith(r"\d", i):
-            out.append("[0-9]")
-            i += 2
+        elif two == r"\w":
+            out.append(W[1:-1] if in_class else W)
+        elif two == r"\s":
+            out.append(WS[1:-1] if in_class else WS)
+        elif two == r"\d":
+            out.append("0-9" if in_class else "[0-9]")
         elif py[i] == "\\":
-            out.append(py[i:i + 2])
-            i += 2
+            out.append(two)
         else:
+            if py[i] == "[" and not in_class:
+                in_class = True
+            elif py[i] == "]" and in_class and py[i - 1] != "[" and py[i - 2:i] != "[^":
+                in_class = False
             out.append(py[i])
             i += 1
+            continue
+        i += 2
     return "".join(out)
 
 
@@ -185,3 +189,103 @@ CONV_NORM = (
     "(n_raw > 0 AND NOT coalesce(li > 0 AND ltr, false) AND list_bool_or(list_transform(m, lambda x: x.role = 'user')) "
     "AND list_bool_or(list_transform(m, lambda x: x.role = 'assistant'))) AS ok FROM sp)"
 )
+
+
+# ---------------------------------------------------------------------------
+# Math answers (T2-T5) and rewards
+# ---------------------------------------------------------------------------
+
+def boxed_tail(e: str) -> str:
+    return (f"CASE WHEN contains({e}, '\\boxed{{') THEN regexp_extract({e}, {q('(?s).*\\\\boxed\\{(.*)')}, 1) "
+            f"WHEN contains({e}, '\\boxed {{') THEN regexp_extract({e}, {q('(?s).*\\\\boxed \\{(.*)')}, 1) END")
+
+
+def close_pos(t: str) -> str:
+    """1-based position of the brace closing depth 1 in ``t`` (0 if none)."""
+    return (f"coalesce(list_position(list_transform(range(1, length({t}) + 1), lambda i: 1 + "
+            f"length(replace(substring({t}, 1, i), '}}', '')) - length(replace(substring({t}, 1, i), '{{', ''))), 0), 0)")
+
+
+def extract_boxed(e: str) -> str:
+    t = boxed_tail(e)
+    p = close_pos(t)
+    return f"CASE WHEN ({t}) IS NOT NULL AND {p} > 0 THEN {strip(f'substring({t}, 1, {p} - 1)')} END"
+
+
+def extract_answer(e: str, boxed: str | None = None) -> str:
+    from threadmill.functions.answers import ANSWER_PATTERNS, TRAILING_NUMBER
+    b = boxed or extract_boxed(e)
+    parts = [f"nullif({b}, '')"]
+    for p in ANSWER_PATTERNS + [TRAILING_NUMBER]:
+        r = q(detect_pattern(p))
+        parts.append(f"CASE WHEN regexp_matches({e}, {r}) THEN {strip(f'regexp_extract({e}, {r}, 1)')} END")
+    return f"CASE WHEN {e} IS NULL OR {e} = '' THEN NULL ELSE coalesce({', '.join(parts)}) END"
+
+
+def normalize_answer(e: str) -> str:
+    from threadmill.functions.answers import NORMALIZE_RULES
+    out = f"lower({strip(e)})"
+    for p, r in NORMALIZE_RULES:
+        out = f"regexp_replace({out}, {q(detect_pattern(p))}, {q(r.replace('$', chr(92)))}, 'g')"
+    out = f"array_to_string({words(out)}, ' ')"
+    return f"CASE WHEN {e} IS NULL OR {e} = '' THEN '' ELSE {out} END"
+
+
+def py_float(e: str) -> str:
+    from threadmill.functions.answers import FLOAT_RE
+    t = strip(e)
+    low = f"lower({t})"
+    return (f"CASE WHEN regexp_matches({t}, {q(FLOAT_RE)}) THEN CASE WHEN {low} IN ('inf', '+inf', 'infinity', "
+            f"'+infinity') THEN 'inf'::DOUBLE WHEN {low} IN ('-inf', '-infinity') THEN '-inf'::DOUBLE "
+            f"WHEN {low} IN ('nan', '+nan', '-nan') THEN 'nan'::DOUBLE ELSE TRY_CAST(replace({t}, '_', '') AS DOUBLE) "
+            f"END END")
+
+
+def try_parse_number(e: str) -> str:
+    t = strip(e)
+    parts = f"string_split({t}, '/')"
+    a, b = py_float(f"{parts}[1]"), py_float(f"{parts}[2]")
+    frac = f"CASE WHEN contains({t}, '/') AND len({parts}) = 2 AND ({b}) <> 0 THEN ({a}) / ({b}) END"
+    return f"coalesce({py_float(t)}, {frac})"
+
+
+def reward_parts(c: str) -> dict[str, str]:
+    from threadmill.functions.rewards import REASONING_GROUPS, STEP_WORDS_RE
+    fmt = (f"least((CASE WHEN regexp_matches(coalesce({c}, ''), {q(chr(92) * 2 + 'boxed' + chr(92) + '{')}) THEN 0.5 "
+           f"ELSE 0.0 END) + (CASE WHEN regexp_matches(lower(coalesce({c}, '')), {q(detect_pattern(STEP_WORDS_RE))}) "
+           f"THEN 0.3 ELSE 0.0 END) + (CASE WHEN regexp_matches(coalesce({c}, ''), '[=+\\-*/^]') THEN 0.2 "
+           f"ELSE 0.0 END), 1.0)")
+    n = word_count(c)
+    length = (f"CASE WHEN {n} < 10 THEN 0.0 WHEN {n} < 30 THEN 0.3 WHEN {n} < 100 THEN 0.7 WHEN {n} < 300 "
+              f"THEN 1.0 ELSE 0.8 END")
+    terms = []
+    for w, cues in REASONING_GROUPS:
+        hit = " OR ".join(f"contains(lower(coalesce({c}, '')), {q(x)})" for x in cues)
+        terms.append(f"(CASE WHEN {hit} THEN {w} ELSE 0.0 END)")
+    rsn = f"least({' + '.join(terms)}, 1.0)"
+    return {"fmt": fmt, "len": length, "rsn": rsn}
+
+
+def accuracy(p: str, g: str, pn: str, gn: str, pnum: str, gnum: str) -> str:
+    return (f"CASE WHEN coalesce({p}, '') <> '' AND coalesce({g}, '') <> '' THEN CASE WHEN {pn} = {gn} THEN 1.0 "
+            f"WHEN contains({gn}, {pn}) OR contains({pn}, {gn}) THEN 0.7 WHEN {pnum} IS NOT NULL AND {gnum} IS NOT "
+            f"NULL AND abs({pnum} - {gnum}) < 1e-6 THEN 1.0 ELSE 0.0 END WHEN coalesce({p}, '') <> '' THEN 0.3 "
+            f"ELSE 0.0 END")
+
+
+MATH = (
+    "math AS (SELECT p_partkey, '<|user|>Part ' || CAST(p_partkey % 1500 AS VARCHAR) || '<|end|>' AS problem, "
+    "CASE p_partkey % 5 WHEN 0 THEN p_name || '. We compute the total. The answer is \\boxed{\\frac{' || "
+    "CAST(p_size AS VARCHAR) || '}{2}}' WHEN 1 THEN p_name || '. Therefore the answer is ' || CAST(p_size AS VARCHAR) "
+    "|| '.' WHEN 2 THEN p_name || ' first \\boxed{' || CAST(p_size AS VARCHAR) || '} then \\boxed{' || "
+    "CAST(p_size + 1 AS VARCHAR) || '}' WHEN 3 THEN p_name || ' \\boxed{' || CAST(p_size AS VARCHAR) || ' unbalanced' "
+    "ELSE p_name || ' gives x = ' || CAST(p_size AS VARCHAR) END AS solution FROM part)"
+)
+COMPLETIONS = (
+    "completions AS (SELECT p_partkey, '<|user|>Part ' || CAST(p_partkey % 1500 AS VARCHAR) || '<|end|>' AS prompt, "
+    "CASE p_partkey % 6 WHEN 0 THEN 'Let us solve step 1 first. Therefore we get \\boxed{\\frac{' || "
+    "CAST(p_size AS VARCHAR) || '}{2}}' WHEN 1 THEN 'Since the total is known, the result is \\boxed{' || "
+    "CAST(p_size // 2 AS VARCHAR) || '.' || CAST((p_size % 2) * 5 AS VARCHAR) || '}' WHEN 2 THEN 'The answer is ' || "
+    "CAST(p_size AS VARCHAR) || '0 because of the sum' WHEN 3 THEN 'I don''t know the answer to this problem.' "
+    "WHEN 4 THEN 'No idea here' ELSE 'So, the answer is ' || CAST(p_size AS VARCHAR) END AS completion FROM part)"
+)
