@@ -289,7 +289,7 @@ def parse_trace_message(e: Column) -> Column:
 
 
 def _nonempty_tool_calls(tc: Column) -> Column:
-    return tc.isNotNull() & ~tc.isin("[]", "{}", "null", '""', "false", "0")
+    return tc.isNotNull() & ~tc.isin("", "[]", "{}", "null", "false", "0")
 
 
 def reduce_trace(raw: ColumnOrName) -> Column:

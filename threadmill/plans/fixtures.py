@@ -119,3 +119,29 @@ def math_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 4, F.lit("No idea here"))
             .otherwise(F.concat(F.lit("So, the answer is "), size)))
     return p.select("p_partkey", _part_prompt().alias("prompt"), comp.alias("completion"))
+
+
+def trace_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trace_meta: ``first_source_dataset`` = event_type, ``row_json`` by event_id % 4:
+    0 messages list (tool call on the assistant turn when event_id % 8 = 0),
+    1 prompt/response with a category (decoy when user_id % 10 = 0), 2 query/thinking,
+    3 broken JSON."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    eid, uid = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    k = F.col("event_id") % 4
+    asst = F.when(F.col("event_id") % 8 == 0,
+                  F.lit('{"role": "assistant", "content": "", "tool_calls": [{"function": {"name": "Bash", '
+                        '"arguments": "{\\"cmd\\": \\"ls /home/alice/\\"}"}}]}'))
+    asst = asst.otherwise(F.concat(F.lit('{"role": "assistant", "content": "value '), uid,
+                                   F.lit('", "reasoning_content": "'), F.repeat(F.lit("r"), F.col("event_id") % 600),
+                                   F.lit('"}')))
+    msgs = F.concat(F.lit('{"messages": [{"role": "user", "content": "Event '), eid, F.lit(" "),
+                    F.col("event_type"), F.lit('"}, '), asst, F.lit("]}"))
+    pr = F.concat(F.lit('{"prompt": "Event '), eid, F.lit('", "response": "'), F.col("event_type"),
+                  F.lit(" by user "), uid, F.lit('", "category": "'),
+                  F.when(F.col("user_id") % 10 == 0, "decoy").otherwise("real"), F.lit('"}'))
+    qt = F.concat(F.lit('{"query": "Q'), eid, F.lit('", "thinking": "'),
+                  F.repeat(F.lit("t"), F.col("event_id") % 1000), F.lit('"}'))
+    broken = F.concat(F.lit('{"broken": '), eid)
+    rj = F.when(k == 0, msgs).when(k == 1, pr).when(k == 2, qt).otherwise(broken)
+    return e.select("event_id", F.col("event_type").alias("first_source_dataset"), rj.alias("row_json"))

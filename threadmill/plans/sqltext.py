@@ -289,3 +289,18 @@ COMPLETIONS = (
     "CAST(p_size AS VARCHAR) || '0 because of the sum' WHEN 3 THEN 'I don''t know the answer to this problem.' "
     "WHEN 4 THEN 'No idea here' ELSE 'So, the answer is ' || CAST(p_size AS VARCHAR) END AS completion FROM part)"
 )
+
+
+TRACE_META = (
+    "trace_meta AS (SELECT event_id, event_type AS first_source_dataset, CASE event_id % 4 WHEN 0 THEN "
+    "'{\"messages\": [{\"role\": \"user\", \"content\": \"Event ' || CAST(event_id AS VARCHAR) || ' ' || event_type || "
+    "'\"}, ' || CASE WHEN event_id % 8 = 0 THEN '{\"role\": \"assistant\", \"content\": \"\", \"tool_calls\": "
+    "[{\"function\": {\"name\": \"Bash\", \"arguments\": \"{\\\"cmd\\\": \\\"ls /home/alice/\\\"}\"}}]}' "
+    "ELSE '{\"role\": \"assistant\", \"content\": \"value ' || CAST(user_id AS VARCHAR) || '\", "
+    "\"reasoning_content\": \"' || repeat('r', CAST(event_id % 600 AS INTEGER)) || '\"}' END || ']}' "
+    "WHEN 1 THEN '{\"prompt\": \"Event ' || CAST(event_id AS VARCHAR) || '\", \"response\": \"' || event_type || "
+    "' by user ' || CAST(user_id AS VARCHAR) || '\", \"category\": \"' || CASE WHEN user_id % 10 = 0 THEN 'decoy' "
+    "ELSE 'real' END || '\"}' WHEN 2 THEN '{\"query\": \"Q' || CAST(event_id AS VARCHAR) || '\", \"thinking\": \"' || "
+    "repeat('t', CAST(event_id % 1000 AS INTEGER)) || '\"}' ELSE '{\"broken\": ' || CAST(event_id AS VARCHAR) END "
+    "AS row_json FROM events)"
+)
