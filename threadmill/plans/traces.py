@@ -37,7 +37,7 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
     decoy = (F.col("first_source_dataset") == F.lit(decoy_source)) & (_field("_v", "category") == DECOY_CATEGORY) \
         if decoy_source is not None else F.lit(False)
     d = d.withColumn("_decoy", F.coalesce(decoy, F.lit(False)))
-    raw = F.from_json(F.to_json(F.try_variant_get("_v", "$.messages", "variant")), "array<string>")
+    raw = F.from_json("row_json", "struct<messages:array<string>>")["messages"]
     d = d.withColumn("_raw", raw)
     has_msgs = F.coalesce(F.size("_raw") > 0, F.lit(False))
     has_qt = _field("_v", "thinking").isNotNull() | _field("_v", "query").isNotNull()
