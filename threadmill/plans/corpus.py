@@ -32,16 +32,22 @@ def scrubbed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_drop_reason(rows: DataFrame) -> DataFrame:
-    """Reasons in pipeline order: empty prompt/answer, short, refusal, then duplicate prompt."""
+    """Reasons in pipeline order: empty prompt/answer, short, refusal, then duplicate prompt.
+
+    The row-level reasons and the dedup key are computed once and written to the
+    shared checkpoint folder: the dedup reads that table twice (narrow key columns
+    for the winners, full rows for the flag), and nothing upstream is recomputed.
+    """
     pre = rows.withColumn(
         "drop_reason",
         F.when((F.col("user") == "") | (F.col("answer") == ""), F.lit("empty"))
-        .otherwise(quality_reason("answer")))
-    flagged = flag_first_seen(pre, sha256_key("user"), ["doc_id"], "is_first",
+        .otherwise(quality_reason("answer"))).withColumn("_dk", sha256_key("user"))
+    pre = materialize(pre, "corpus_rows")
+    flagged = flag_first_seen(pre, F.col("_dk"), ["doc_id"], "is_first",
                               eligible=F.col("drop_reason").isNull())
     return (flagged.withColumn("drop_reason",
                                F.coalesce("drop_reason", F.when(~F.col("is_first"), F.lit("dup"))))
-            .drop("is_first"))
+            .drop("is_first", "_dk"))
 
 
 def kept_tagged_split(spark: SparkSession, sf_dir: str) -> DataFrame:

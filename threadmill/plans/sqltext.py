@@ -20,7 +20,7 @@ def q(s: str) -> str:
 
 
 def detect_pattern(py: str) -> str:
-    """Python pattern -> RE2 for detection/extraction: ``\b`` at an alternative's start
+    r"""Python pattern -> RE2 for detection/extraction: ``\b`` at an alternative's start
     is a leading boundary, anywhere else a trailing one (both consume a character);
     ``\w``, ``\s``, ``\d`` become explicit classes (inside ``[...]`` too)."""
     out = []

@@ -24,19 +24,33 @@ KEYS = {
 }
 
 
+_SPREAD: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table. If the files give fewer splits than the cluster has cores (a
-    small single-row-group file), hash-partition on the table's key so CPU-heavy
-    text work runs on every core; large inputs already scan as many splits and are
-    left untouched. Partitioning on the key also lines up later joins/groupings on it.
+    """Scan one table.
+
+    Large inputs scan as many splits as they have row groups and are returned as is
+    (filters and projections then push into the parquet reader). A small input whose
+    files give fewer splits than the cluster has cores (one row group) would run all
+    CPU-heavy text work in one task, and Catalyst would push such work below any
+    repartition into that single scan task. Those inputs are hash-partitioned on the
+    table's key once and checkpointed (reliable, in the shared checkpoint folder), so
+    later stages start from ``cores`` partitions. The spread copy is reused per session.
     """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, KEYS[name])
-    return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    memo = (id(spark.sparkContext), path)
+    if memo not in _SPREAD:
+        from threadmill.session import checkpoint_dir
+        checkpoint_dir(spark)
+        _SPREAD[memo] = df.repartition(cores, KEYS[name]).checkpoint(eager=True)
+    return _SPREAD[memo]
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
