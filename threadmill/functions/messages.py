@@ -143,7 +143,7 @@ def from_flat(user: ColumnOrName, answer: ColumnOrName, thinking: ColumnOrName |
     ``user`` / ``answer`` / ``thinking`` / ``system`` are already coalesced over the
     name variants (``first_nonempty``). An embedded tag in the answer overrides thinking.
     """
-    u, a = col(user), col(answer)
+    u, a = F.coalesce(col(user), F.lit("")), F.coalesce(col(answer), F.lit(""))
     th = col(thinking) if thinking is not None else F.lit(None).cast("string")
     sp = think_split(a)
     has_tag = F.contains(F.coalesce(a, F.lit("")), F.lit(THINK_OPEN))
