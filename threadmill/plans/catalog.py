@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from threadmill.plans import q_corpus, q_eval, q_math, q_messages, q_splits, q_stats, q_text, q_traces  # noqa: F401
+    from threadmill.plans import q_corpus, q_eval, q_math, q_messages, q_more, q_splits, q_stats, q_text, q_traces  # noqa: F401

@@ -73,3 +73,63 @@ def domain_tags(spark, sf_dir):
     from threadmill.functions.domain import tag_domain
     from threadmill.sources.tables import table
     return table(spark, sf_dir, "documents").select("doc_id", tag_domain("text").alias("domain"))
+
+
+_TRAIN = (_SPLIT + ", tr AS (SELECT doc_id, source, domain, user, answer, thinking FROM split WHERE split = 'train')")
+
+
+_CHECKS_SQL = (
+    _TRAIN + ", m AS (SELECT [struct_pack(role := 'user', content := " + S.strip("user") + "), struct_pack(role := "
+    "'assistant', content := " + S.strip("answer") + ")] AS m FROM tr), p AS (SELECT m, list_filter(m, lambda x: x.role "
+    "<> 'assistant') AS pr FROM m), c AS (SELECT count(*) FILTER (WHERE NOT list_contains(list_transform(m, lambda x: "
+    "x.role), 'user')) AS has_user, count(*) FILTER (WHERE NOT list_contains(list_transform(m, lambda x: x.role), "
+    "'assistant')) AS has_assistant, count(*) FILTER (WHERE coalesce(m[-1].role, '') <> 'assistant') AS "
+    "last_is_assistant, count(*) FILTER (WHERE length(coalesce(m[-1].content, '')) < 50) AS min_answer_len, "
+    "count(*) FILTER (WHERE coalesce(pr[-1].role, '') <> 'user') AS grpo_last_user, count(*) FILTER (WHERE "
+    "list_bool_or(list_transform(pr, lambda x: x.role = 'assistant'))) AS grpo_no_assistant FROM p), "
+    "u AS (SELECT count(*) - count(DISTINCT x.content) AS v FROM (SELECT unnest(list_filter(m, lambda y: y.role = "
+    "'user')) AS x FROM m)) "
+    "SELECT \"check\", violations, violations = 0 AS passed FROM (UNPIVOT c ON has_user, has_assistant, "
+    "last_is_assistant, min_answer_len, grpo_last_user, grpo_no_assistant INTO NAME \"check\" VALUE violations) "
+    "UNION ALL SELECT 'unique_user_prompts', v, v = 0 FROM u"
+)
+
+
+@register("corpus_checks", _CHECKS_SQL)
+def corpus_checks(spark, sf_dir):
+    """Publish checks over every train row of the corpus build (not a 200-row prefix)."""
+    from threadmill.functions.messages import from_flat
+    from threadmill.operators.stats import assertion_suite
+    tr = corpus.kept_tagged_split(spark, sf_dir).where(F.col("split") == "train")
+    sft = tr.select(from_flat("user", "answer", "thinking")["messages"].alias("messages"))
+    return assertion_suite(sft)
+
+
+@register("corpus_card", _SPLIT + ", t AS (SELECT count(*) AS n FROM split) SELECT 'source' AS section, source AS key, "
+          "count(*) AS n, round(count(*) * 100.0 / (SELECT n FROM t), 6)::DOUBLE AS pct FROM split GROUP BY source "
+          "UNION ALL SELECT 'domain', domain, count(*), round(count(*) * 100.0 / (SELECT n FROM t), 6)::DOUBLE FROM split "
+          "GROUP BY domain UNION ALL SELECT 'thinking', 'with_thinking', count(*) FILTER (WHERE thinking IS NOT NULL), "
+          "round(count(*) FILTER (WHERE thinking IS NOT NULL) * 100.0 / (SELECT n FROM t), 6)::DOUBLE FROM split "
+          "UNION ALL SELECT 'total', 'all', (SELECT n FROM t), 100.0::DOUBLE")
+def corpus_card(spark, sf_dir):
+    """A22 (+A1, A2): corpus card tables as rows (section, key, n, pct)."""
+    from threadmill.operators.stats import count_share
+    s = corpus.kept_tagged_split(spark, sf_dir)
+    s = s.cache()  # four small aggregations over the same split; recomputed from lineage if evicted
+    src = count_share(s, "source", "key").select(F.lit("source").alias("section"), "key", "n", "pct")
+    dom = count_share(s, "domain", "key").select(F.lit("domain").alias("section"), "key", "n", "pct")
+    th = s.agg(F.count_if(F.col("thinking").isNotNull()).alias("n"), F.count(F.lit(1)).alias("t"))
+    th = th.select(F.lit("thinking").alias("section"), F.lit("with_thinking").alias("key"), "n",
+                   F.round(F.col("n") * 100.0 / F.col("t"), 6).alias("pct"))
+    tot = s.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("section"), F.lit("all").alias("key"), "n",
+                                                      F.lit(100.0).alias("pct"))
+    return src.unionByName(dom).unionByName(th).unionByName(tot)
+
+
+@register("consumer_filter", _TRAIN + " SELECT doc_id FROM tr WHERE domain = 'general' AND contains(source, '1') AND "
+          "thinking IS NOT NULL")
+def consumer_filter(spark, sf_dir):
+    """Consumer-side filters: domain equals, source/model contains, thinking present."""
+    s = corpus.kept_tagged_split(spark, sf_dir).where(F.col("split") == "train")
+    return s.where((F.col("domain") == "general") & F.contains("source", F.lit("1")) & F.col("thinking").isNotNull()) \
+        .select("doc_id")
