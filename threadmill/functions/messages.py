@@ -292,29 +292,33 @@ def _nonempty_tool_calls(tc: Column) -> Column:
     return tc.isNotNull() & ~tc.isin("", "[]", "{}", "null", "false", "0")
 
 
-def reduce_trace(raw: ColumnOrName) -> Column:
-    """``array<string>`` JSON messages -> struct(messages, thinking, response, output_type).
+def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
+    """``array<string>`` JSON messages -> columns ``{prefix}_messages``, ``_thinking``,
+    ``_response``, ``_output_type``.
 
     Content is scrubbed; thinking is the last non-empty ``reasoning_content`` of an
-    assistant turn, response the last non-empty assistant content; any tool call
-    makes the output type ``tool_use``. Tool-call trees are kept as JSON text.
+    assistant turn, response the last non-empty assistant content; any tool call makes
+    the output type ``tool_use``. Tool-call trees are kept as JSON text. The parsed,
+    scrubbed array is a column of its own so each element is parsed and scrubbed once.
     """
-    parsed = F.transform(col(raw), parse_trace_message)
-    msgs = F.transform(parsed, lambda x: F.struct(
+    msgs = F.transform(F.col(raw), lambda e: parse_trace_message(e))
+    d = df.withColumn("_pm", msgs)
+    d = d.withColumn("_sm", F.transform("_pm", lambda x: F.struct(
         x["role"].alias("role"), scrub(x["content"]).alias("content"),
         F.when(_nonempty_tool_calls(x["tool_calls"]), x["tool_calls"]).alias("tool_calls"),
-        x["reasoning_content"].alias("reasoning_content")))
-    asst = F.filter(msgs, lambda x: x["role"] == "assistant")
+        x["reasoning_content"].alias("reasoning_content"))))
+    asst = F.filter("_sm", lambda x: x["role"] == "assistant")
     thinking = F.try_element_at(F.filter(asst, lambda x: nz(x["reasoning_content"]).isNotNull()), F.lit(-1))
     response = F.try_element_at(F.filter(asst, lambda x: x["content"] != ""), F.lit(-1))["content"]
-    tool = F.exists(msgs, lambda x: x["tool_calls"].isNotNull())
-    return F.struct(
-        F.transform(msgs, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),
-                                             x["tool_calls"].alias("tool_calls"))).alias("messages"),
-        F.coalesce(scrub(thinking["reasoning_content"]), F.lit("")).alias("thinking"),
-        F.coalesce(response, F.lit("")).alias("response"),
-        F.when(tool, "tool_use").otherwise("text").alias("output_type"),
-    )
+    tool = F.exists("_sm", lambda x: x["tool_calls"].isNotNull())
+    return d.select(
+        "*",
+        F.transform("_sm", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),
+                                              x["tool_calls"].alias("tool_calls"))).alias(f"{prefix}_messages"),
+        F.coalesce(scrub(thinking["reasoning_content"]), F.lit("")).alias(f"{prefix}_thinking"),
+        F.coalesce(response, F.lit("")).alias(f"{prefix}_response"),
+        F.when(tool, "tool_use").otherwise("text").alias(f"{prefix}_output_type"),
+    ).drop("_pm", "_sm")
 
 
 def has_assistant_output(m: ColumnOrName) -> Column:

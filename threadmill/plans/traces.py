@@ -17,6 +17,7 @@ from threadmill.functions import messages as M
 from threadmill.functions.scrub import scrub
 from threadmill.functions.text import nz
 from threadmill.operators.dedup import flag_first_seen, signature_key
+from threadmill.session import materialize
 
 # Reference defaults for the keep-set and decoy rule are repository names of its
 # corpora; callers pass their own source values.
@@ -43,7 +44,7 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
     has_qt = _field("_v", "thinking").isNotNull() | _field("_v", "query").isNotNull()
     d = d.withColumn("_fmt", F.when(has_msgs, "messages").when(has_qt, "thinking").otherwise("prompt"))
     # messages route
-    d = d.withColumn("_red", F.when(F.col("_fmt") == "messages", M.reduce_trace("_raw")))
+    d = M.reduce_trace(d.withColumn("_raw", F.when(F.col("_fmt") == "messages", F.col("_raw"))), "_raw", "_red")
     # query/thinking route
     q = scrub(_field("_v", "query"))
     th = scrub(_field("_v", "thinking"))
@@ -52,23 +53,25 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
     user_pr = scrub(F.coalesce(_field("_v", "prompt"), _field("_v", "instruction"), _field("_v", "user_prompt")))
     resp_pr = scrub(F.coalesce(_field("_v", "response"), _field("_v", "output"), _field("_v", "solution"),
                                _field("_v", "completion")))
-    d = d.withColumn("_q", F.struct(q.alias("q"), th.alias("th"), resp_qt.alias("r"),
-                                    user_pr.alias("u"), resp_pr.alias("pr")))
+    is_qt, is_pr = F.col("_fmt") == "thinking", F.col("_fmt") == "prompt"
+    d = d.withColumn("_q", F.struct(F.when(is_qt, q).alias("q"), F.when(is_qt, th).alias("th"),
+                                    F.when(is_qt, resp_qt).alias("r"), F.when(is_pr, user_pr).alias("u"),
+                                    F.when(is_pr, resp_pr).alias("pr")))
     null_tc = F.lit(None).cast("string")
 
     def turn(role, content):
         return F.struct(F.lit(role).alias("role"), content.alias("content"), null_tc.alias("tool_calls"))
 
     qx = F.col("_q")
-    msgs = (F.when(F.col("_fmt") == "messages", F.col("_red.messages"))
+    msgs = (F.when(F.col("_fmt") == "messages", F.col("_red_messages"))
             .when(F.col("_fmt") == "thinking",
                   F.array(turn("user", qx["q"]), turn("assistant", F.coalesce(nz(qx["r"]), qx["th"]))))
             .otherwise(F.array(turn("user", qx["u"]), turn("assistant", qx["pr"]))))
-    thinking = (F.when(F.col("_fmt") == "messages", F.col("_red.thinking"))
+    thinking = (F.when(F.col("_fmt") == "messages", F.col("_red_thinking"))
                 .when(F.col("_fmt") == "thinking", qx["th"]).otherwise(F.lit("")))
-    response = (F.when(F.col("_fmt") == "messages", F.col("_red.response"))
+    response = (F.when(F.col("_fmt") == "messages", F.col("_red_response"))
                 .when(F.col("_fmt") == "thinking", qx["r"]).otherwise(qx["pr"]))
-    otype = F.when(F.col("_fmt") == "messages", F.col("_red.output_type")).otherwise(F.lit("text"))
+    otype = F.when(F.col("_fmt") == "messages", F.col("_red_output_type")).otherwise(F.lit("text"))
     d = d.select("*", msgs.alias("messages"), thinking.alias("thinking"), response.alias("response"),
                  otype.alias("_otype0"))
     empty_pr = (F.col("_fmt") == "prompt") & (qx["u"] == "") & (qx["pr"] == "")
@@ -86,10 +89,15 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
          .withColumn("context_length", F.length("context"))
          .withColumn("response_length", F.length("response"))
          .withColumn("task_type", M.task_type("cot_length", "output_type")))
-    d = flag_first_seen(d, signature_key("context", 1000, "response", 500), [id_col], "_first",
-                        eligible=F.col("drop_reason").isNull())
+    d = d.withColumn("_sig", signature_key("context", 1000, "response", 500))
+    keep = [c for c in d.columns if c not in ("_v", "_raw", "_red_messages", "_red_thinking", "_red_response",
+                                              "_red_output_type", "_q")]
+    # stage boundary: every row-level step is done once and written to the shared
+    # checkpoint folder; the dedup reads it twice (keys for the winners, rows for the flag)
+    d = materialize(d.select(*keep), "trace_rows")
+    d = flag_first_seen(d, F.col("_sig"), [id_col], "_first", eligible=F.col("drop_reason").isNull())
     d = d.withColumn("drop_reason", F.coalesce("drop_reason", F.when(~F.col("_first"), F.lit("dup"))))
-    return d.drop("_v", "_obj", "_decoy", "_raw", "_fmt", "_red", "_q", "_otype0", "_first")
+    return d.drop("_obj", "_decoy", "_fmt", "_otype0", "_first", "_sig")
 
 
 def events_trace_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
