@@ -52,7 +52,10 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
     sizes = keys.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.select(*g, "_n", F.greatest(F.lit(0), F.least(k_of_n(F.col("_n")).cast("long"),
                                                                 F.col("_n"))).alias("_k"))
-    state = sizes.select(*g, "_n", "_k", F.col("_k").alias("_need"))
+    # The per-group state is tiny (one row per group); it is checkpointed after each
+    # level so later levels do not re-derive earlier ones (the plan would otherwise
+    # grow as 2**levels copies of the size aggregation).
+    state = sizes.select(*g, "_n", "_k", F.col("_k").alias("_need")).checkpoint()
     cand = keys
     bounds: list[str] = []
     for level, (start, length) in enumerate(_LEVELS):
@@ -76,7 +79,7 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
         else:
             state = state.select(*keep).select("*", *[pick.select(c).scalar().alias(c)
                                                      for c in (bname, "_need2")])
-        state = state.withColumnRenamed("_need2", "_need")
+        state = state.withColumnRenamed("_need2", "_need").checkpoint()
         bounds.append(bname)
         cand = keys
     rows = _attach(keys, state.select(*g, *bounds, "_need").where(F.col("_need").isNotNull()) if g
@@ -88,8 +91,8 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
             .where(F.col("_rn") == F.col("_need"))
             .select(*g, F.col("_key").alias("_cut")))
     if g:
-        return state.select(*g, "_n", "_k").join(last, g, "left")
-    return state.select("_n", "_k", last.select("_cut").scalar().alias("_cut"))
+        return state.select(*g, "_n", "_k").join(last, g, "left").checkpoint()
+    return state.select("_n", "_k", last.select("_cut").scalar().alias("_cut")).checkpoint()
 
 
 def flag_first_k(df: DataFrame, key_col: str, group_cols: list[str],
