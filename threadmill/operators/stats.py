@@ -40,39 +40,41 @@ LARP = "Drawing from the autonomous, frontier-level reasoning characteristic of
 RESPONSE_KEYS = ["output", "response", "completion", "solution", "content", "text"]
 
 
-def audit_response(row_json: ColumnOrName) -> Column:
-    """struct(text, marker, fmt) of one raw row: longest assistant content of a
-    ``messages`` list (else the last message as JSON text), else ``thinking``, else the
-    first non-empty of six keys, else the raw text prefix (4000 chars)."""
-    rj = col(row_json)
-    v = F.try_parse_json(rj)
+def with_audit_response(df: DataFrame, json_col: str) -> DataFrame:
+    """Adds ``t`` (text), ``mk`` (marker), ``fmt`` for one raw row: longest assistant
+    content of a ``messages`` list (else the last message as JSON text), else
+    ``thinking``, else the first non-empty of six keys, else the raw text prefix (4000
+    chars). The JSON is parsed once per row into staged columns."""
+    rj = F.col(json_col)
     marker = F.lit(False)
     for m in AGENTIC_MARKERS:
         marker = marker | F.contains(rj, F.lit(m))
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    msgs = F.from_json(rj, "struct<messages:array<string>>")["messages"]
-    parsed = F.transform(msgs, lambda e: F.from_json(e, "struct<role:string,content:string>"))
-    lens = F.transform(F.filter(parsed, lambda m: m["role"] == "assistant"),
-                       lambda m: F.coalesce(m["content"], F.lit("")))
-    longest = F.aggregate(lens, F.lit(""), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a))
-    from_msgs = F.when(longest != "", longest).otherwise(F.try_element_at(msgs, F.lit(-1)))
-    keyed = F.coalesce(*[F.when(F.coalesce(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) != "",
-                                F.struct(F.try_variant_get(v, f"$.{k}", "string").alias("t"), F.lit(k).alias("f")))
+    d = df.withColumn("_v", F.try_parse_json(rj)).withColumn("_mk0", marker)
+    d = d.withColumn("_obj", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
+    d = d.withColumn("_msgs", F.from_json(rj, "struct<messages:array<string>>")["messages"])
+    d = d.withColumn("_has_msgs", F.col("_obj") & F.coalesce(F.size("_msgs") > 0, F.lit(False)))
+    parsed = F.transform("_msgs", lambda e: F.from_json(e, "struct<role:string,content:string>"))
+    contents = F.transform(F.filter(parsed, lambda m: m["role"] == "assistant"),
+                           lambda m: F.coalesce(m["content"], F.lit("")))
+    longest = F.aggregate(contents, F.lit(""), lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a))
+    d = d.withColumn("_long", F.when(F.col("_has_msgs"), longest))
+    keyed = F.coalesce(*[F.when(F.coalesce(F.try_variant_get("_v", f"$.{k}", "string"), F.lit("")) != "",
+                                F.struct(F.try_variant_get("_v", f"$.{k}", "string").alias("t"), F.lit(k).alias("f")))
                          for k in RESPONSE_KEYS])
+    d = d.withColumn("_keyed", F.when(F.col("_obj"), keyed))
+    d = d.withColumn("_think", F.when(F.col("_obj") & F.try_variant_get("_v", "$.thinking", "variant").isNotNull(),
+                                      F.coalesce(F.try_variant_get("_v", "$.thinking", "string"), F.lit(""))))
     raw = F.substring(rj, 1, 4000)
-    has_think = F.try_variant_get(v, "$.thinking", "variant").isNotNull()
-    t = (F.when(v.isNull(), raw)
-         .when(is_obj & F.coalesce(F.size(msgs) > 0, F.lit(False)), from_msgs)
-         .when(is_obj & has_think, F.coalesce(F.try_variant_get(v, "$.thinking", "string"), F.lit("")))
-         .when(is_obj & keyed.isNotNull(), keyed["t"])
-         .otherwise(raw))
-    fmt = (F.when(v.isNull(), "raw")
-           .when(is_obj & F.coalesce(F.size(msgs) > 0, F.lit(False)), "messages")
-           .when(is_obj & has_think, "thinking")
-           .when(is_obj & keyed.isNotNull(), keyed["f"])
-           .otherwise("other"))
-    mk = F.when(is_obj & has_think & ~(F.coalesce(F.size(msgs) > 0, F.lit(False))), F.lit(True)).otherwise(marker)
-    return F.struct(t.alias("text"), mk.alias("marker"), fmt.alias("fmt"))
+    from_msgs = F.when(F.col("_long") != "", F.col("_long")).otherwise(F.try_element_at("_msgs", F.lit(-1)))
+    t = (F.when(F.col("_v").isNull(), raw).when(F.col("_has_msgs"), from_msgs)
+         .when(F.col("_think").isNotNull(), F.col("_think"))
+         .when(F.col("_keyed").isNotNull(), F.col("_keyed.t")).otherwise(raw))
+    fmt = (F.when(F.col("_v").isNull(), "raw").when(F.col("_has_msgs"), "messages")
+           .when(F.col("_think").isNotNull(), "thinking")
+           .when(F.col("_keyed").isNotNull(), F.col("_keyed.f")).otherwise("other"))
+    mk = F.when(F.col("_think").isNotNull() & ~F.col("_has_msgs"), F.lit(True)).otherwise(F.col("_mk0"))
+    return (d.withColumn("t", t).withColumn("mk", mk).withColumn("fmt", fmt)
+            .drop("_v", "_mk0", "_obj", "_msgs", "_has_msgs", "_long", "_keyed", "_think"))
 
 
 def source_audit(rows: DataFrame, source_col: str, id_col: str, json_col: str,
@@ -80,19 +82,22 @@ def source_audit(rows: DataFrame, source_col: str, id_col: str, json_col: str,
     """Per-source genuineness profile over the first ``sample`` rows of each source
     (one scan, W3) and the KEEP/DROP gate. Per-source lists are bounded by ``sample``."""
     s = first_n_per_group(rows.select(source_col, id_col, json_col), source_col, id_col, sample)
-    s = s.withColumn("_r", audit_response(json_col))
-    s = s.select(source_col, F.col("_r.text").alias("t"), F.col("_r.marker").alias("mk"),
-                 F.col("_r.fmt").alias("fmt"))
+    s = with_audit_response(s, json_col).select(source_col, "t", "mk", "fmt")
     s = s.withColumn("eng", ascii_share("t") >= 0.9).withColumn("pfx", F.when(F.col("t") != "",
                                                                           F.md5(F.substring("t", 1, 120))))
-    top = (s.where(F.col("pfx").isNotNull()).groupBy(source_col, "pfx").agg(F.count(F.lit(1)).alias("c"))
-           .groupBy(source_col).agg(F.max("c").alias("top_c")))
-    per = s.groupBy(source_col).agg(
-        F.count(F.lit(1)).alias("m"), F.count_if("eng").alias("n_eng"), F.count_distinct("t").alias("n_uniq"),
+    # one pass: aggregate per (source, prefix), then per source. Distinct texts never
+    # span two prefixes, so per-prefix distinct counts add up; the length lists are
+    # bounded by the sample size.
+    by_pfx = s.groupBy(source_col, "pfx").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if("eng").alias("n_eng"), F.count_distinct("t").alias("n_uniq"),
         F.count_if("mk").alias("n_marker"), F.count_if(F.contains("t", F.lit(LARP))).alias("n_larp"),
-        F.sort_array(F.collect_list(F.length("t"))).alias("_lens"),
-        F.bool_or(F.col("fmt") == "messages").alias("has_messages_fmt"))
-    per = per.join(top, source_col, "left")
+        F.collect_list(F.length("t")).alias("_l"), F.bool_or(F.col("fmt") == "messages").alias("_hm"))
+    per = by_pfx.groupBy(source_col).agg(
+        F.sum("c").alias("m"), F.sum("n_eng").alias("n_eng"), F.sum("n_uniq").alias("n_uniq"),
+        F.sum("n_marker").alias("n_marker"), F.sum("n_larp").alias("n_larp"),
+        F.sort_array(F.flatten(F.collect_list("_l"))).alias("_lens"),
+        F.bool_or("_hm").alias("has_messages_fmt"),
+        F.max(F.when(F.col("pfx").isNotNull(), F.col("c"))).alias("top_c"))
     m = F.col("m")
     out = per.select(
         source_col, m.cast("long").alias("m"),
