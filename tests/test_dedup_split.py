@@ -39,10 +39,15 @@ def test_md5_mod20(spark):
     assert got == [int(hashlib.md5(k.encode()).hexdigest(), 16) % 20 == 0 for k in keys]
 
 
-def test_first_k_per_group_exact(spark):
+import pytest
+
+
+@pytest.mark.parametrize("direct_limit", [0, 10**9])  # histogram path, direct window path
+def test_first_k_per_group_exact(spark, direct_limit):
     data = [(i, "big" if i % 2 else f"g{i % 5}") for i in range(2000)]
     df = spark.createDataFrame(data, "id long, g string").withColumn("key", md5_order_key(7, "id"))
-    got = flag_first_k(df, "key", ["g"], lambda n: F.floor(n * 0.1) + 1, "in").where("in").collect()
+    got = flag_first_k(df, "key", ["g"], lambda n: F.floor(n * 0.1) + 1, "in",
+                       direct_limit=direct_limit).where("in").collect()
     groups = {}
     for i, g in data:
         groups.setdefault(g, []).append((hashlib.md5(f"7:{i}".encode()).hexdigest(), i))
@@ -51,7 +56,8 @@ def test_first_k_per_group_exact(spark):
         items.sort()
         want |= {i for _, i in items[: int(len(items) * 0.1) + 1]}
     assert {r.id for r in got} == want
-    glob = flag_first_k(df, "key", [], lambda n: F.ceil(n * 0.05), "in").where("in").collect()
+    glob = flag_first_k(df, "key", [], lambda n: F.ceil(n * 0.05), "in",
+                        direct_limit=direct_limit).where("in").collect()
     allk = sorted((hashlib.md5(f"7:{i}".encode()).hexdigest(), i) for i, _ in data)
     assert {r.id for r in glob} == {i for _, i in allk[:100]}
 

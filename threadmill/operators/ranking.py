@@ -39,8 +39,14 @@ def _attach(rows: DataFrame, table: DataFrame, g: list[str], small: bool) -> Dat
     return rows.select("*", *[table.select(c).scalar().alias(c) for c in table.columns])
 
 
+# Largest group ranked directly with one window (its rows sort in one task); larger
+# groups take the histogram path. The group sizes are measured first.
+DIRECT_RANK_LIMIT = 2_000_000
+
+
 def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
-            k_of_n: Callable[[Column], Column], small_groups: bool = True) -> DataFrame:
+            k_of_n: Callable[[Column], Column], small_groups: bool = True,
+            direct_limit: int = DIRECT_RANK_LIMIT) -> DataFrame:
     """Return ``(group..., _n, _k, _cut)`` where ``_cut`` is the k-th smallest key.
 
     ``k_of_n`` maps the group size to k; k is clipped to [0, n] and ``_cut`` is null
@@ -56,6 +62,15 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
     # level so later levels do not re-derive earlier ones (the plan would otherwise
     # grow as 2**levels copies of the size aggregation).
     state = sizes.select(*g, "_n", "_k", F.col("_k").alias("_need")).checkpoint()
+    largest = state.agg(F.max("_n")).first()[0] or 0
+    if largest <= direct_limit:
+        w = Window.partitionBy(*g).orderBy("_key")
+        ranked = _attach(keys, state.select(*g, "_need") if g else state.select("_need"), g, small_groups)
+        last = (ranked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("_need"))
+                .select(*g, F.col("_key").alias("_cut")))
+        if g:
+            return state.select(*g, "_n", "_k").join(last, g, "left").checkpoint()
+        return state.select("_n", "_k", last.select("_cut").scalar().alias("_cut")).checkpoint()
     cand = keys
     bounds: list[str] = []
     for level, (start, length) in enumerate(_LEVELS):
@@ -97,9 +112,9 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
 
 def flag_first_k(df: DataFrame, key_col: str, group_cols: list[str],
                  k_of_n: Callable[[Column], Column], out_col: str,
-                 small_groups: bool = True) -> DataFrame:
+                 small_groups: bool = True, direct_limit: int = DIRECT_RANK_LIMIT) -> DataFrame:
     """Add boolean ``out_col``: the row is among the k smallest keys of its group."""
-    cuts = kth_key(df, key_col, group_cols, k_of_n, small_groups).select(*group_cols, "_cut")
+    cuts = kth_key(df, key_col, group_cols, k_of_n, small_groups, direct_limit).select(*group_cols, "_cut")
     joined = _attach(df, cuts, list(group_cols), small_groups)
     flag = F.coalesce(F.col(key_col) <= F.col("_cut"), F.lit(False))
     return joined.withColumn(out_col, flag).drop("_cut")
