@@ -111,28 +111,26 @@ def normalize_conversations(df: DataFrame, raw: str, out_ok: str = "ok",
                             out_messages: str = "messages") -> DataFrame:
     """``conversations`` turns; think tags are read from the last assistant turn only.
 
-    Staged projections: the canonical array, the last assistant index and its think
-    split are each computed once per row (Catalyst keeps non-cheap expressions that
-    are referenced several times in their own projection).
+    No lambda refers to a per-row value outside its element: the rewritten last
+    assistant turn is spliced in with ``slice``/``concat``. (Catalyst may inline a
+    staged column into a lambda body, which would re-evaluate it per element.) The
+    ``ok`` flag depends only on the canonical roles and the one think split, so a
+    pushed-down ``where(ok)`` stays cheap.
     """
     base = F.transform(F.col(raw), lambda x: msg(canonical_role(first_nonempty(x["role"], x["from"])),
                                                  F.coalesce(first_nonempty(x["content"], x["value"]), F.lit(""))))
-    d = df.withColumn("_base", base).withColumn("_n_raw", F.size(raw))
+    d = df.withColumn("_base", base).withColumn("_n_raw", F.coalesce(F.size(raw), F.lit(0)))
     d = d.withColumn("_last", F.aggregate(
         F.transform("_base", lambda x, i: F.when(x["role"] == "assistant", i).otherwise(-1)),
         F.lit(-1), lambda a, b: F.greatest(a, b)))
     d = d.withColumn("_sp", think_split(F.try_element_at("_base", F.greatest(F.col("_last") + 1, F.lit(1)))["content"]))
-    last, sp = F.col("_last"), F.col("_sp")
-
-    def one(x, i):
-        at = i == last
-        return msg(x["role"],
-                   F.when(at, F.coalesce(sp["answer"], F.lit(""))).otherwise(x["content"]),
-                   F.when(at, sp["thinking"]))
-
-    d = d.withColumn(out_messages, F.transform("_base", one))
+    last, sp, n = F.col("_last"), F.col("_sp"), F.size("_base")
+    new_last = msg(F.lit("assistant"), F.coalesce(sp["answer"], F.lit("")), sp["thinking"])
+    spliced = F.concat(F.slice("_base", F.lit(1), F.greatest(last, F.lit(0))), F.array(new_last),
+                       F.slice("_base", last + 2, F.greatest(n - last - 1, F.lit(0))))
+    d = d.withColumn(out_messages, F.when(last >= 0, spliced).otherwise(F.col("_base")))
     trunc = (last >= 0) & F.coalesce(sp["truncated"], F.lit(False))
-    ok = (F.col("_n_raw") > 0) & ~trunc & _has_roles(F.col(out_messages))
+    ok = (F.col("_n_raw") > 0) & ~trunc & _has_roles(F.col("_base"))
     return d.withColumn(out_ok, F.coalesce(ok, F.lit(False))).drop("_base", "_n_raw", "_last", "_sp")
 
 
