@@ -54,5 +54,5 @@ def test_trace_reduce(spark):
     r = M.reduce_trace(df, "m", "r").collect()[0]
     assert r.r_thinking == "think" and r.r_response == "done" and r.r_output_type == "tool_use"
     assert r.r_messages[0].content == "hi /home/user/x" and r.r_messages[3].role == "unknown"
-    ctx = df.select(M.render_context(F.lit(None)).alias("x"))  # null-safe
-    assert ctx.collect()[0].x is None
+    ctx = M.reduce_trace(df, "m", "r").select(M.render_context("r_messages").alias("x")).collect()[0].x
+    assert ctx == "USER: hi /home/user/x\nASSISTANT: done\nUNKNOWN: not json"
