@@ -27,6 +27,16 @@ def signature_key(a: ColumnOrName, a_len: int, b: ColumnOrName, b_len: int) -> C
                           F.substring(F.coalesce(col(b), F.lit("")), 1, b_len)))
 
 
+def _winners(keyed: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Smallest order tuple per ``_dk``. A single numeric order column aggregates with
+    ``min`` in a hash aggregate; a tuple needs ``min(struct)`` (sort aggregate)."""
+    if len(order_cols) == 1:
+        c = order_cols[0]
+        return keyed.groupBy("_dk").agg(F.min(c).alias(c)).select(c)
+    return (keyed.groupBy("_dk").agg(F.min(F.struct(*order_cols)).alias("_w"))
+            .select(*[F.col(f"_w.{c}").alias(c) for c in order_cols]))
+
+
 def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
                     out_col: str = "is_first", eligible: Column | None = None) -> DataFrame:
     """Add boolean ``out_col``: row is the first (smallest ``order_cols``) of its key.
@@ -40,10 +50,7 @@ def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
         cands = keyed.where(F.col("_elig"))
     else:
         cands = keyed
-    winners = (cands.groupBy("_dk")
-               .agg(F.min(F.struct(*order_cols)).alias("_w"))
-               .select(*[F.col(f"_w.{c}").alias(c) for c in order_cols])
-               .withColumn("_win", F.lit(True)))
+    winners = _winners(cands, order_cols).withColumn("_win", F.lit(True))
     out = keyed.join(winners, order_cols, "left")
     flag = F.coalesce(F.col("_win"), F.lit(False))
     if eligible is not None:
@@ -54,7 +61,5 @@ def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
 def keep_first_seen(df: DataFrame, key: Column, order_cols: list[str]) -> DataFrame:
     """Drop later copies; ``exact_dedup`` of the reference."""
     keyed = df.withColumn("_dk", key)
-    winners = (keyed.groupBy("_dk")
-               .agg(F.min(F.struct(*order_cols)).alias("_w"))
-               .select(*[F.col(f"_w.{c}").alias(c) for c in order_cols]))
+    winners = _winners(keyed, order_cols)
     return keyed.join(winners, order_cols, "left_semi").drop("_dk")
