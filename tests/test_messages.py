@@ -56,3 +56,12 @@ def test_trace_reduce(spark):
     assert r.r_messages[0].content == "hi /home/user/x" and r.r_messages[3].role == "unknown"
     ctx = M.reduce_trace(df, "m", "r").select(M.render_context("r_messages").alias("x")).collect()[0].x
     assert ctx == "USER: hi /home/user/x\nASSISTANT: done\nUNKNOWN: not json"
+
+
+def test_render_by_family(spark):
+    df = spark.createDataFrame([("qwen3", [("user", "q", None), ("assistant", "a", None)]),
+                                ("unknown-family", [("user", "x", None)])],
+                               "fam string, m array<struct<role:string,content:string,thinking:string>>")
+    got = {r.fam: r.text for r in M.render_by_family(df, "m", "fam").collect()}
+    direct = df.select("fam", M.render_chat("m").alias("t")).collect()
+    assert got == {r.fam: r.t for r in direct}

@@ -248,6 +248,26 @@ def render_chat(m: ColumnOrName, template: tuple[str, str, str] = CHATML) -> Col
         F.lit(pre), x["role"], F.lit(sep), F.coalesce(x["content"], F.lit("")), F.lit(suf))), "")
 
 
+def template_table(spark) -> "DataFrame":
+    """Family -> (prefix, sep, suffix) as a small table; aliases map to one template."""
+    rows = [(name, *t) for name, t in TEMPLATES.items()]
+    return spark.createDataFrame(rows, "family string, t_prefix string, t_sep string, t_suffix string")
+
+
+def render_by_family(df: DataFrame, messages: str, family_col: str, out_col: str = "text") -> DataFrame:
+    """P28 per row: the template is looked up by family name (broadcast join with the
+    template table, bounded by the number of families; unknown families fall back to ChatML)."""
+    t = F.broadcast(template_table(df.sparkSession))
+    j = df.join(t, df[family_col] == t["family"], "left")
+    pre = F.coalesce(F.col("t_prefix"), F.lit(CHATML[0]))
+    sep = F.coalesce(F.col("t_sep"), F.lit(CHATML[1]))
+    suf = F.coalesce(F.col("t_suffix"), F.lit(CHATML[2]))
+    # the template columns are plain column references, cheap to read per element
+    rendered = F.array_join(F.transform(F.col(messages), lambda x: F.concat(
+        pre, x["role"], sep, F.coalesce(x["content"], F.lit("")), suf)), "")
+    return j.withColumn(out_col, rendered).drop("family", "t_prefix", "t_sep", "t_suffix")
+
+
 def assistant_spans(m: ColumnOrName, template: tuple[str, str, str] = CHATML) -> Column:
     """``array<struct<start,end>>`` char offsets of assistant content in ``render_chat``.
 

@@ -131,10 +131,14 @@ def _repr_conversations(spark, sf_dir):
                                         F.lit("]")).alias("messages"))
 
 
-@register("repr_messages_decode")
+@register("repr_messages_decode", "WITH " + S.TAGGED + " SELECT conv_id, (count(*) > 0 AND NOT bool_or(role = "
+          "'assistant' AND contains(text, '<think>') AND NOT contains(text, '</think>')) AND bool_or(role = 'user') AND "
+          "bool_or(role = 'assistant')) AS ok, count(*) FILTER (WHERE role = 'assistant' OR coalesce(text, '') <> '' OR "
+          "role IN ('user', 'system'))::BIGINT AS n_msgs FROM tagged GROUP BY conv_id")
 def repr_messages_decode(spark, sf_dir):
     """P5: Python-repr message lists decoded by an Arrow UDF, then normalised natively
-    (reasoning field; an embedded tag only when no reasoning; blank non-user turns dropped)."""
+    (reasoning field; an embedded tag only when no reasoning; blank non-user turns dropped).
+    The oracle computes the same outcome from the turns the repr text was built from."""
     from threadmill.functions.udfs import decode_repr_messages
     r = _repr_conversations(spark, sf_dir).withColumn("raw", decode_repr_messages("messages"))
 
