@@ -132,3 +132,19 @@ def test_near_dedup_recall(spark):
     # LSH is probabilistic: nearly every true pair must lose a member
     hit = sum(1 for r in exact if r.a in dropped or r.b in dropped)
     assert exact and hit / len(exact) >= 0.9
+
+
+def test_oversized_buckets_exact(spark):
+    """Forcing every bucket through the prefix-filter path gives the same verified pairs
+    as expanding all bucket pairs."""
+    from threadmill.functions.text import word_count
+    from threadmill.operators.near_dedup import (candidate_pairs, minhash, shingle_hashes, shingle_words,
+                                                 verified_pairs)
+    from threadmill.sources.tables import table
+    d = table(spark, SF_SMALL, "documents").select("doc_id", "text").where(word_count("text").between(20, 400))
+    s = (d.withColumn("_w", shingle_words(F.col("text"))).withColumn("_sh", shingle_hashes(F.col("_w")))
+         .withColumn("sig", minhash(F.col("_sh"))).drop("_w", "text"))
+    s = s.checkpoint()
+    full = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=10**6), "doc_id").collect()}
+    pref = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=0), "doc_id").collect()}
+    assert full and full == pref

@@ -20,8 +20,10 @@ Pipeline (all DataFrame operations):
    iterated joins until no row is undecided, with the state checkpointed per round.
 
 Bucket sizes: a bucket of m rows yields m(m-1)/2 pairs. Buckets up to
-``max_bucket`` rows are expanded fully; a larger bucket links each member to the
-bucket's smallest id only (O(m)), so no task holds a quadratic group.
+``max_bucket`` rows are expanded fully. Larger buckets are joined by prefix
+filtering on frequency-ordered shingles, an exact candidate generator for
+Jaccard >= t (Bayardo et al. 2007; Xiao et al. 2008): every pair that can pass the
+verification is produced, without listing all m(m-1)/2 pairs of the bucket.
 """
 
 from __future__ import annotations
@@ -63,21 +65,46 @@ def minhash(h: Column, num_perm: int = NUM_PERM) -> Column:
 
 
 def candidate_pairs(sig: DataFrame, id_col: str, bands: int = BANDS, rows: int = ROWS,
-                    max_bucket: int = 256) -> DataFrame:
-    """Pairs ``(a < b)`` sharing at least one LSH bucket."""
+                    max_bucket: int = 256, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs ``(a < b)`` sharing at least one LSH bucket.
+
+    Buckets up to ``max_bucket`` members are expanded into all their pairs. Larger
+    buckets are not expanded: their members are joined by prefix filtering (tokens
+    ordered by frequency; two sets with Jaccard >= t must share a token among the
+    first ``|A| - ceil(t |A|) + 1`` of either), which yields every pair of the bucket
+    that can pass verification and no quadratic pair list for the rest.
+    """
     b = sig.select(id_col, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                                                     lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows))))
                    .alias("band", "bh"))
-    sizes = b.groupBy("band", "bh").agg(F.count(F.lit(1)).alias("_m"), F.min(id_col).alias("_first"))
+    sizes = b.groupBy("band", "bh").agg(F.count(F.lit(1)).alias("_m"))
     b = b.join(sizes, ["band", "bh"])
     small = b.where(F.col("_m") <= max_bucket).select("band", "bh", id_col)
     l, r = small.alias("l"), small.alias("r")
     full = (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.bh") == F.col("r.bh"))
                    & (F.col(f"l.{id_col}") < F.col(f"r.{id_col}")))
             .select(F.col(f"l.{id_col}").alias("a"), F.col(f"r.{id_col}").alias("b")))
-    star = (b.where((F.col("_m") > max_bucket) & (F.col(id_col) != F.col("_first")))
-            .select(F.col("_first").alias("a"), F.col(id_col).alias("b")))
-    return full.unionByName(star).distinct()
+    big = b.where(F.col("_m") > max_bucket).select("band", "bh", id_col)
+    return full.unionByName(_prefix_filter_pairs(sig, big, id_col, threshold)).distinct()
+
+
+def _prefix_filter_pairs(sig: DataFrame, big: DataFrame, id_col: str, threshold: float) -> DataFrame:
+    """Pairs within oversized buckets that share a prefix token (exact candidate set for
+    Jaccard >= threshold). Token order: ascending frequency among those members, then hash."""
+    members = big.select(id_col).distinct().join(sig.select(id_col, "_sh"), id_col)
+    toks = members.select(id_col, F.explode("_sh").alias("h"))
+    freq = toks.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    ranked = toks.join(freq, "h").groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct("f", "h"))).alias("_ord"))
+    n = F.size("_ord")
+    plen = n - F.ceil(F.lit(threshold) * n).cast("int") + 1
+    prefix = ranked.select(id_col, F.explode(F.transform(F.slice("_ord", F.lit(1), plen), lambda x: x["h"]))
+                           .alias("h"))
+    keyed = prefix.join(big, id_col)  # (id, h, band, bh): prefix tokens within each oversized bucket
+    l, r = keyed.alias("l"), keyed.alias("r")
+    return (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.bh") == F.col("r.bh"))
+                   & (F.col("l.h") == F.col("r.h")) & (F.col(f"l.{id_col}") < F.col(f"r.{id_col}")))
+            .select(F.col(f"l.{id_col}").alias("a"), F.col(f"r.{id_col}").alias("b")))
 
 
 def verified_pairs(rows: DataFrame, pairs: DataFrame, id_col: str, threshold: float = THRESHOLD) -> DataFrame:
@@ -137,7 +164,8 @@ def near_dedup(df: DataFrame, id_col: str, text_col: str, thinking_col: str,
                 .withColumn("_sh", shingle_hashes(F.col("_w"))).drop("_w"))
     eligible = eligible.withColumn("sig", minhash(F.col("_sh"))).drop("_t")
     eligible = eligible.checkpoint()
-    pairs = verified_pairs(eligible, candidate_pairs(eligible, id_col, max_bucket=max_bucket), id_col, threshold)
+    pairs = verified_pairs(eligible, candidate_pairs(eligible, id_col, max_bucket=max_bucket, threshold=threshold),
+                           id_col, threshold)
     drops = resolve_drops(eligible, pairs, id_col, "_th")
     return (df.join(drops, id_col, "left")
             .withColumn("near_dup", F.coalesce(F.col("dropped"), F.lit(False))).drop("dropped"))
