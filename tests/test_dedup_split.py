@@ -148,3 +148,13 @@ def test_oversized_buckets_exact(spark):
     full = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=10**6), "doc_id").collect()}
     pref = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=0), "doc_id").collect()}
     assert full and full == pref
+
+
+def test_rank_without_global_window(spark):
+    from threadmill.operators.history import ranked
+    vals = [(i, float((i * 37) % 11) if i % 13 else None) for i in range(300)]
+    df = spark.createDataFrame(vals, "id long, v double")
+    got = {r.id: r.rank for r in ranked(df, "v", buckets=4).collect()}
+    nn = [v for _, v in vals if v is not None]
+    want = {i: (1 + sum(1 for x in nn if x > v)) if v is not None else len(nn) + 1 for i, v in vals}
+    assert got == want

@@ -11,15 +11,15 @@ from threadmill.functions.text import ColumnOrName, col
 
 def reward_delta(logs: DataFrame, run_col: str, step_col: str, reward_col: str, k: int = 5) -> DataFrame:
     """Per run, mean of the last k minus mean of the first k logged rewards (null
-    if fewer than k logs). Row numbers from both ends; windows are per run (a run's
-    log is bounded by its step count)."""
-    asc = Window.partitionBy(run_col).orderBy(step_col)
-    desc = Window.partitionBy(run_col).orderBy(F.desc(step_col))
-    r = (logs.where(F.col(reward_col).isNotNull())
-         .withColumn("_a", F.row_number().over(asc)).withColumn("_d", F.row_number().over(desc)))
-    g = r.groupBy(run_col).agg(F.count(F.lit(1)).alias("n_logs"),
-                               F.avg(F.when(F.col("_a") <= k, F.col(reward_col))).alias("initial"),
-                               F.avg(F.when(F.col("_d") <= k, F.col(reward_col))).alias("final"))
+    if fewer than k logs). The first and last k per run are found with the salted
+    first-n operator (no window over a whole run, which may be a hot key)."""
+    from threadmill.operators.splits import first_n_per_group
+    r = logs.where(F.col(reward_col).isNotNull()).select(run_col, step_col, reward_col)
+    n = r.groupBy(run_col).agg(F.count(F.lit(1)).alias("n_logs"))
+    head = first_n_per_group(r, run_col, step_col, k).groupBy(run_col).agg(F.avg(reward_col).alias("initial"))
+    rev = r.withColumn("_neg", -F.col(step_col))
+    tail = first_n_per_group(rev, run_col, "_neg", k).groupBy(run_col).agg(F.avg(reward_col).alias("final"))
+    g = n.join(head, run_col).join(tail, run_col)
     ok = F.col("n_logs") >= k
     return g.select(run_col, "n_logs", F.when(ok, F.col("initial")).alias("initial"),
                     F.when(ok, F.col("final")).alias("final"),
@@ -52,10 +52,33 @@ def eval_summary(results: DataFrame, name_col: str, delta_col: str, score_col: s
                        F.max_by(name_col, score_col).alias("top_model"))
 
 
-def ranked(results: DataFrame, delta_col: str) -> DataFrame:
-    """Rank by delta, descending. A global rank is one ordered pass; result tables
-    are one row per evaluated model, so this window is bounded by the model count."""
-    return results.withColumn("rank", F.rank().over(Window.orderBy(F.desc(delta_col))))
+def ranked(results: DataFrame, value_col: str, out_col: str = "rank", buckets: int = 1024) -> DataFrame:
+    """``rank()`` by ``value_col`` descending, without a global window over the rows.
+
+    rank(v) = 1 + number of rows with a larger value. Rows are first reduced to
+    distinct values with counts (a hot value collapses map-side); the distinct values
+    are cut into ``buckets`` value ranges by approximate quantiles, per-bucket totals
+    give offsets (a table of ``buckets`` rows), and a running count inside each bucket
+    finishes the rank. Each window holds one bucket of distinct values. Null values
+    rank last, as in SQL ``ORDER BY ... DESC``.
+    """
+    v = F.col(value_col)
+    dv = results.where(v.isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = dv.agg(F.percentile_approx(value_col, qs, 10000).alias("_q"))
+    # bucket index: number of boundaries strictly below the value (0 .. buckets-1)
+    dvb = dv.select("*", bounds.select("_q").scalar().alias("_q"))
+    dvb = dvb.withColumn("_b", F.size(F.filter("_q", lambda q: q < v))).drop("_q")
+    tot = dvb.groupBy("_b").agg(F.sum("_c").alias("_bt"))
+    above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(above), F.lit(0))).drop("_bt")
+    within = Window.partitionBy("_b").orderBy(F.desc(value_col)).rowsBetween(Window.unboundedPreceding, -1)
+    rk = (dvb.join(F.broadcast(off), "_b")
+          .withColumn(out_col, (F.col("_off") + F.coalesce(F.sum("_c").over(within), F.lit(0)) + 1).cast("long"))
+          .select(value_col, out_col))
+    n_non_null = dv.agg(F.sum("_c")).scalar()
+    out = results.join(rk, value_col, "left")
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), (n_non_null + 1).cast("long")))
 
 
 def totals_with_rollup(df: DataFrame, type_col: str, *measures: str) -> DataFrame:

@@ -76,11 +76,11 @@ def _results(spark, sf_dir):
     return r.withColumn("delta", F.col("top1_trained") - F.col("top1_base"))
 
 
-@register("eval_ranked", "WITH " + _RES_SQL + " SELECT model, round(delta, 6) AS delta, rank() OVER (ORDER BY delta "
-          "DESC) AS rank FROM ok")
+@register("eval_ranked", "WITH " + _RES_SQL + " SELECT model, round(delta, 6) AS delta, rank() OVER (ORDER BY "
+          "round(delta, 12) DESC) AS rank FROM ok")
 def eval_ranked(spark, sf_dir):
     """S11 filters + W4: result rows (SMOKE_ runs and rows without a trained score skipped), ranked by delta."""
-    r = H.ranked(_results(spark, sf_dir), "delta")
+    r = H.ranked(_results(spark, sf_dir).withColumn("delta", F.round("delta", 12)), "delta")
     return r.select("model", F.round("delta", 6).alias("delta"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -198,14 +198,13 @@ def game_stats(spark, sf_dir):
 
 
 # step logs from events: run = user_id, step = order by (ts, event_id), reward = value
-_LOG_SQL = ("logs AS (SELECT user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, "
-            "value AS reward FROM events)")
+_LOG_SQL = "logs AS (SELECT user_id AS run, event_id AS step, value AS reward FROM events)"
 
 
 def _logs(spark, sf_dir):
+    """step logs from events: run = user_id, step = event_id (increasing in time), reward = value."""
     e = table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(F.col("user_id").alias("run"), F.row_number().over(w).alias("step"), F.col("value").alias("reward"))
+    return e.select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("reward"))
 
 
 @register("reward_delta", "WITH " + _LOG_SQL + ", r AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step) AS a, "
@@ -222,9 +221,11 @@ def reward_delta(spark, sf_dir):
 
 @register("log_history_explode", "WITH " + _LOG_SQL + " SELECT run, step, round(reward, 6) AS reward FROM logs")
 def log_history_explode(spark, sf_dir):
-    """Per-run ``log_history`` JSON arrays exploded back to (step, reward) rows."""
+    """``log_history`` JSON arrays exploded back to (step, reward) rows. The arrays
+    are built per run and block of 1000 steps, so no document holds a whole hot run."""
     logs = _logs(spark, sf_dir)
-    hist = logs.groupBy("run").agg(F.to_json(F.collect_list(F.struct("step", "reward"))).alias("log_history"))
+    hist = (logs.groupBy("run", F.floor(F.col("step") / 1000).alias("_blk"))
+            .agg(F.to_json(F.collect_list(F.struct("step", "reward"))).alias("log_history")))
     ex = hist.select("run", F.explode(F.from_json("log_history", "array<struct<step:long,reward:double>>")).alias("e"))
     return ex.select("run", F.col("e.step").alias("step"), F.round("e.reward", 6).alias("reward"))
 
