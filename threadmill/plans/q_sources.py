@@ -89,9 +89,20 @@ def problem_solution_chat(spark, sf_dir):
                     F.md5(M.render_chat(chat)).alias("text_md5"))
 
 
-@register("guess_parse")
+_OBJ = ("substring(text, strpos(text, '{'), length(text) - strpos(reverse(text), '}') + 1 - strpos(text, '{') + 1)")
+_GUESS_SQL = (
+    "SELECT conv_id, turn, CASE WHEN contains(text, 'guess') AND strpos(text, '{') > 0 THEN CASE WHEN "
+    "length(text) - strpos(reverse(text), '}') + 1 > strpos(text, '{') AND json_valid(" + _OBJ + ") THEN coalesce("
+    "CASE WHEN json_extract(" + _OBJ + ", '$.arguments') IS NOT NULL THEN json_extract_string(" + _OBJ + ", "
+    "'$.arguments.guess') ELSE json_extract_string(" + _OBJ + ", '$.guess') END, '') END ELSE coalesce(nullif("
+    "regexp_extract(text, '\\[([a-zA-Z]{5})\\]', 1), ''), substring(" + S.strip("text") + ", 1, 5)) END AS guess "
+    "FROM conversations WHERE role = 'assistant'"
+)
+
+
+@register("guess_parse", _GUESS_SQL)
 def guess_parse(spark, sf_dir):
     """Guesses parsed from assistant turns (JSON object, bracketed word or first five
-    characters). Rows-only: the JSON branch is Spark's JSON path semantics."""
+    characters)."""
     c = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
     return c.select("conv_id", "turn", parse_guess("text").alias("guess"))
