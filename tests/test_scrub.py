@@ -60,3 +60,12 @@ def test_boilerplate_and_stubs(spark):
     assert got[1].c == "then body"
     assert got[2].c == "Body"
     assert [r.s for r in got] == [False, False, False, True]
+
+
+def test_scrub_typed_tree(spark):
+    from threadmill.functions.scrub import scrub_typed
+    df = spark.createDataFrame([([{"function": {"name": "Bash", "arguments": "ls /home/bob/ me@x.org"}}],)],
+                               "tc array<struct<function:struct<name:string,arguments:string>>>")
+    dtype = df.schema["tc"].dataType
+    got = df.select(scrub_typed(F.col("tc"), dtype).alias("t")).collect()[0].t
+    assert got[0].function.name == "Bash" and got[0].function.arguments == "ls /home/user/ user@example.com"
