@@ -289,6 +289,24 @@ def assistant_spans(m: ColumnOrName, template: tuple[str, str, str] = CHATML) ->
     return F.aggregate(col(m), init, step)["spans"]
 
 
+def tool_call_text(arguments: Column) -> Column:
+    """``<tool_call>`` block naming the answer tool with the ``answer`` argument of a
+    JSON arguments string (JSON-encoded value; missing -> empty string)."""
+    ans = F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json(arguments), "$.answer", "variant")), F.lit('""'))
+    return F.concat(F.lit('<tool_call>\n{"name": "answer", "arguments": {"answer": '), ans, F.lit("}}\n</tool_call>"))
+
+
+def rollout_to_sft(m: ColumnOrName) -> Column:
+    """Drop ``tool`` turns; an assistant turn with tool calls becomes the text of its
+    first call; other turns pass through (role, content)."""
+    kept = F.filter(col(m), lambda x: x["role"] != "tool")
+    return F.transform(kept, lambda x: F.struct(
+        x["role"].alias("role"),
+        F.when((x["role"] == "assistant") & (F.coalesce(F.size(x["tool_calls"]), F.lit(0)) > 0),
+               tool_call_text(F.try_element_at(x["tool_calls"], F.lit(1))["function"]["arguments"]))
+        .otherwise(x["content"]).alias("content")))
+
+
 # ---------------------------------------------------------------------------
 # Trace reduction
 # ---------------------------------------------------------------------------

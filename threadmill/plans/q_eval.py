@@ -142,15 +142,26 @@ def rollout_stats(spark, sf_dir):
                  F.round(F.count_if(F.col("reward") > 0) / F.count(F.lit(1)), 6).alias("success_rate"))
 
 
-@register("rollout_sft_rows", "WITH " + _ROLL_SQL + " SELECT o_orderkey, '<tool_call>' || chr(10) || '{\"name\": "
-          "\"answer\", \"arguments\": {\"answer\": ' || CAST(json_extract(args, '$.answer') AS VARCHAR) || '}}' || "
-          "chr(10) || '</tool_call>' AS assistant FROM roll WHERE reward = 1.0")
+@register("rollout_sft_rows", "WITH " + _ROLL_SQL + " SELECT o_orderkey, 4::BIGINT AS n_msgs, '<tool_call>' || chr(10) "
+          "|| '{\"name\": \"answer\", \"arguments\": {\"answer\": ' || CAST(json_extract(args, '$.answer') AS VARCHAR) || "
+          "'}}' || chr(10) || '</tool_call>' AS assistant, 'done' AS final FROM roll WHERE reward = 1.0")
 def rollout_sft_rows(spark, sf_dir):
-    """Keep reward = 1.0 episodes; the first tool call becomes ``<tool_call>`` JSON text."""
+    """Keep reward = 1.0 episodes; tool turns dropped, the first tool call of an
+    assistant turn becomes ``<tool_call>`` JSON text."""
+    from threadmill.functions.messages import rollout_to_sft
     r = _rollouts(spark, sf_dir).where(F.col("reward") == 1.0)
-    ans = F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json("args"), "$.answer", "variant")), F.lit('""'))
-    text = F.concat(F.lit('<tool_call>\n{"name": "answer", "arguments": {"answer": '), ans, F.lit("}}\n</tool_call>"))
-    return r.select("o_orderkey", text.alias("assistant"))
+    tc = F.array(F.struct(F.struct(F.lit("answer").alias("name"), F.col("args").alias("arguments")).alias("function")))
+    none = F.lit(None).cast("array<struct<function:struct<name:string,arguments:string>>>")
+
+    def turn(role, content, calls=none):
+        return F.struct(F.lit(role).alias("role"), content.alias("content"), calls.alias("tool_calls"))
+
+    msgs = F.array(turn("system", F.lit("You are a solver.")),
+                   turn("user", F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"))),
+                   turn("assistant", F.lit(""), tc), turn("tool", F.lit("ok")), turn("assistant", F.lit("done")))
+    sft = r.select("o_orderkey", rollout_to_sft(msgs).alias("m"))
+    return sft.select("o_orderkey", F.size("m").cast("long").alias("n_msgs"),
+                      F.col("m")[2]["content"].alias("assistant"), F.col("m")[3]["content"].alias("final"))
 
 
 # games from conversations: cumulative feedback per turn, invalid moves every 4th turn
