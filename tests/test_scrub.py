@@ -49,7 +49,7 @@ def test_deep_scrub_keys_untouched(spark):
 
 
 def test_boilerplate_and_stubs(spark):
-    pre = "Drawing from the autonomous, frontier-level reasoning characteristic of Claude Mythos"
+    from threadmill.functions.scrub import PREAMBLE_TEXT as pre
     rows = [(pre + " (x), with care and ethical guardrails. Body text here",),
             (pre + " then body",),
             ("Body *This response was generated to exemplify things for training purposes.*",),

@@ -66,9 +66,8 @@ def extract_answer(text: ColumnOrName) -> Column:
 
 
 # Normalisation rewrites, in order (Python ``re`` pattern, Java replacement).
-_FRAC_ARG = r"([^{}]*(?:\{[^{}]*\}[^{}]*)*)"
 NORMALIZE_RULES = [
-    (r"\\frac\s*\{" + _FRAC_ARG + r"\}\s*\{" + _FRAC_ARG + r"\}", "$1/$2"),
+    (r"\\frac\s*\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}\s*\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}", "$1/$2"),
     (r"\\text\s*\{([^}]+)\}", "$1"),
     (r"\\mathrm\s*\{([^}]+)\}", "$1"),
     (r"\\sqrt\s*\{([^}]+)\}", "sqrt($1)"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadmill.functions.scrub import PREAMBLE_TEXT
 from threadmill.functions.text import ColumnOrName, ascii_share, col
 from threadmill.operators.splits import first_n_per_group
 
@@ -36,7 +37,7 @@ def length_stats(df: DataFrame, length: ColumnOrName, limits: tuple[int, ...] =
 AUDIT_SAMPLE = 2000
 AGENTIC_MARKERS = ["tool_calls", '"Bash"', '"Read"', '"Edit"', '"Write"', "sessionId",
                    "<think>", "reasoning_content", "[Tool:", "[tool:"]
-LARP = "Drawing from the autonomous, frontier-level reasoning characteristic of Claude Mythos"
+LARP = PREAMBLE_TEXT  # the synthetic corpus opener
 RESPONSE_KEYS = ["output", "response", "completion", "solution", "content", "text"]
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from threadmill.functions import messages as M
 from threadmill.functions import rewards as R
 from threadmill.functions.answers import py_float
-from threadmill.functions.scrub import has_stub_marker, scrub, strip_boilerplate
+from threadmill.functions.scrub import (CLOSING_PATTERN, PREAMBLE_PATTERN, PREAMBLE_TEXT, STUB_MARKERS,
+                                        has_stub_marker, scrub, strip_boilerplate)
 from threadmill.functions.text import json_list_lines, slug, strip, sum_of_integers, word_count
 from threadmill.operators.dedup import flag_first_seen, signature_key
 from threadmill.plans import sqltext as S
@@ -111,7 +112,7 @@ def extraction_failures(spark, sf_dir):
 
 
 # synthetic corpus from documents: canned opener (full sentence or clause only), closing tag, stub markers
-_PRE = "Drawing from the autonomous, frontier-level reasoning characteristic of Claude Mythos"
+_PRE = PREAMBLE_TEXT
 _SYN_SQL = (
     "syn AS (SELECT doc_id, substring(text, 1, 200) AS u, (CASE WHEN doc_id % 4 = 0 THEN '" + _PRE + " (distilled), I "
     "approach this with multi-layered analysis and ethical guardrails. ' || substring(text, 201) WHEN doc_id % 4 = 1 "
@@ -122,15 +123,14 @@ _SYN_SQL = (
 
 
 def _bp_sql(a: str) -> str:
-    first = S.strip(f"regexp_replace({a}, {S.q(S.detect_pattern(r'(?s)Drawing from the autonomous, frontier-level reasoning characteristic of Claude Mythos.*?(?:ethical guardrails\.|\bguardrails\.)'))}, '', 'g')")
+    first = S.strip(f"regexp_replace({a}, {S.q(S.detect_pattern('(?s)' + PREAMBLE_PATTERN))}, '', 'g')")
     fb = S.strip(f"replace({a}, '{_PRE}', '')")
     c = f"CASE WHEN {first} = {S.strip(a)} THEN {fb} ELSE {first} END"
-    c = S.strip(f"regexp_replace({c}, {S.q(r'(?s)\*?This response was generated to exemplify.*?purposes\.\*?')}, '', 'g')")
+    c = S.strip(f"regexp_replace({c}, {S.q('(?s)' + CLOSING_PATTERN)}, '', 'g')")
     return S.scrub(c)
 
 
-_STUBS = " OR ".join(f"contains(a, {S.q(m)})" for m in ["Full implementation would be", "200+ LOC", "would be 200",
-                                                          "// Full implementation", "23.4M ops/sec"])
+_STUBS = " OR ".join(f"contains(a, {S.q(m)})" for m in STUB_MARKERS)
 _SYN_CLEAN = (
     "WITH " + _SYN_SQL + ", s1 AS (SELECT doc_id, " + S.scrub("u") + " AS user, a FROM syn), s2 AS (SELECT *, CASE WHEN "
     "user = '' OR a = '' THEN 'empty' WHEN " + _STUBS + " THEN 'stub' END AS r0, " + _bp_sql("a") + " AS clean FROM s1), "
