@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadmill.functions.text import ColumnOrName, col, strip, words
+from threadmill.functions.text import ColumnOrName, col, nz, strip, words
 
 _PY = "(?Ud)"  # Python-like classes and '\n'-only line ends
 
@@ -56,12 +56,16 @@ TRAILING_NUMBER = r"=\s*([+-]?\d+(?:\.\d+)?)\s*$"
 
 
 def extract_answer(text: ColumnOrName) -> Column:
-    """Boxed content if non-empty, else the first matching pattern's group, else a trailing number."""
+    """Boxed content if non-empty, else the first matching pattern's group, else a trailing number.
+
+    Every pattern's group needs at least one character, so an empty extract means no
+    match and each pattern runs once per row.
+    """
     t = col(text)
-    choices = [F.when(t != "", F.when(extract_boxed(t) != "", extract_boxed(t)))]
+    choices = [nz(extract_boxed(t))]
     for p in ANSWER_PATTERNS + [TRAILING_NUMBER]:
-        jp = _PY + p
-        choices.append(F.when(t.rlike(jp), strip(F.regexp_extract(t, jp, 1))))
+        raw = F.regexp_extract(t, _PY + p, 1)
+        choices.append(F.when(raw != "", strip(raw)))
     return F.when(t.isNotNull() & (t != ""), F.coalesce(*choices))
 
 

@@ -45,18 +45,18 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
     d = d.withColumn("_fmt", F.when(has_msgs, "messages").when(has_qt, "thinking").otherwise("prompt"))
     # messages route
     d = M.reduce_trace(d.withColumn("_raw", F.when(F.col("_fmt") == "messages", F.col("_raw"))), "_raw", "_red")
-    # query/thinking route
-    q = scrub(_field("_v", "query"))
-    th = scrub(_field("_v", "thinking"))
-    resp_qt = scrub(F.coalesce(_field("_v", "response"), _field("_v", "solution")))
-    # prompt/response route
-    user_pr = scrub(F.coalesce(_field("_v", "prompt"), _field("_v", "instruction"), _field("_v", "user_prompt")))
-    resp_pr = scrub(F.coalesce(_field("_v", "response"), _field("_v", "output"), _field("_v", "solution"),
-                               _field("_v", "completion")))
+    # query/thinking and prompt/response routes: pick the raw fields per format first,
+    # then scrub each of user / response / thinking once
     is_qt, is_pr = F.col("_fmt") == "thinking", F.col("_fmt") == "prompt"
-    d = d.withColumn("_q", F.struct(F.when(is_qt, q).alias("q"), F.when(is_qt, th).alias("th"),
-                                    F.when(is_qt, resp_qt).alias("r"), F.when(is_pr, user_pr).alias("u"),
-                                    F.when(is_pr, resp_pr).alias("pr")))
+    raw_user = (F.when(is_qt, _field("_v", "query"))
+                .when(is_pr, F.coalesce(_field("_v", "prompt"), _field("_v", "instruction"),
+                                        _field("_v", "user_prompt"))))
+    raw_resp = (F.when(is_qt, F.coalesce(_field("_v", "response"), _field("_v", "solution")))
+                .when(is_pr, F.coalesce(_field("_v", "response"), _field("_v", "output"), _field("_v", "solution"),
+                                        _field("_v", "completion"))))
+    raw_think = F.when(is_qt, _field("_v", "thinking"))
+    d = d.withColumn("_q", F.struct(scrub(raw_user).alias("u"), scrub(raw_resp).alias("r"),
+                                    scrub(raw_think).alias("th")))
     null_tc = F.lit(None).cast("string")
 
     def turn(role, content):
@@ -64,17 +64,15 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
 
     qx = F.col("_q")
     msgs = (F.when(F.col("_fmt") == "messages", F.col("_red_messages"))
-            .when(F.col("_fmt") == "thinking",
-                  F.array(turn("user", qx["q"]), turn("assistant", F.coalesce(nz(qx["r"]), qx["th"]))))
-            .otherwise(F.array(turn("user", qx["u"]), turn("assistant", qx["pr"]))))
+            .when(is_qt, F.array(turn("user", qx["u"]), turn("assistant", F.coalesce(nz(qx["r"]), qx["th"]))))
+            .otherwise(F.array(turn("user", qx["u"]), turn("assistant", qx["r"]))))
     thinking = (F.when(F.col("_fmt") == "messages", F.col("_red_thinking"))
-                .when(F.col("_fmt") == "thinking", qx["th"]).otherwise(F.lit("")))
-    response = (F.when(F.col("_fmt") == "messages", F.col("_red_response"))
-                .when(F.col("_fmt") == "thinking", qx["r"]).otherwise(qx["pr"]))
+                .when(is_qt, qx["th"]).otherwise(F.lit("")))
+    response = F.when(F.col("_fmt") == "messages", F.col("_red_response")).otherwise(qx["r"])
     otype = F.when(F.col("_fmt") == "messages", F.col("_red_output_type")).otherwise(F.lit("text"))
     d = d.select("*", msgs.alias("messages"), thinking.alias("thinking"), response.alias("response"),
                  otype.alias("_otype0"))
-    empty_pr = (F.col("_fmt") == "prompt") & (qx["u"] == "") & (qx["pr"] == "")
+    empty_pr = (F.col("_fmt") == "prompt") & (qx["u"] == "") & (qx["r"] == "")
     reason = (F.when(F.col("_v").isNull(), "noparse")
               .when(~F.col("_obj"), "empty")
               .when(F.col("_decoy"), "decoy")
