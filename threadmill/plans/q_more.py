@@ -112,7 +112,7 @@ def staged_samples(spark, sf_dir):
     s = r.select(F.when(F.col("hr") <= first, 1).otherwise(2 + F.floor((F.col("hr") - first - 1) / per)).alias("stage"))
     c = s.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("stage").rowsBetween(Window.unboundedPreceding, 0)
-    return c.select(F.col("stage").cast("int").alias("stage"), "n", F.sum("n").over(w).alias("cumulative"))
+    return c.select(F.col("stage").cast("long").alias("stage"), "n", F.sum("n").over(w).alias("cumulative"))
 
 
 def _repr_conversations(spark, sf_dir):
