@@ -62,3 +62,40 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = split.groupBy("domain", "split").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     return counts.select("domain", "split", "n", F.round(F.col("n") / total, 6).alias("share"))
+
+
+def build_corpus(spark: SparkSession, sources: list[tuple[DataFrame, str, str]], out_path: str | None = None,
+                 min_answer_len: int = 50, test_size: float = 0.05) -> DataFrame:
+    """Entry 1 end to end: load + tag sources (S1) -> schema dispatch (P3/P4/P6/P8) ->
+    quality filter (P9) -> exact dedup on the first user text (D1) -> near dedup (D2) ->
+    domain tags (P22) -> stratified split (W2) -> sft/grpo layout (P25, S7).
+
+    Returns rows per (config, split). Row order for "first seen" is (source rank, row id).
+    """
+    from threadmill.functions import messages as M
+    from threadmill.operators.near_dedup import near_dedup
+    from threadmill.plans.q_sources import normalize_any
+    from threadmill.sources.io import load_sources
+
+    norm = [(normalize_any(df).where("ok").select("_rid", "messages"), src, model) for df, src, model in sources]
+    u = load_sources(spark, norm)
+    u = u.withColumn("_order", F.col("source_rank") * F.lit(1 << 40) + F.col("_rid"))
+    last = M.last_message("messages")
+    u = u.withColumn("_q", quality_reason(last["content"], min_answer_len)).where(F.col("_q").isNull()).drop("_q")
+    u = u.withColumn("_user", F.coalesce(M.first_user_text("messages"), F.lit("")))
+    u = materialize(u.withColumn("_th", last["thinking"]), "corpus_build_rows")
+    from threadmill.operators.dedup import keep_first_seen
+    u = keep_first_seen(u, sha256_key("_user"), ["_order"])
+    nd = near_dedup(u.select("_order", "_user", "_th"), "_order", "_user", "_th")
+    u = u.join(nd.where(~F.col("near_dup")).select("_order"), "_order", "left_semi")
+    u = materialize(u.withColumn("domain", tag_domain("_user")), "corpus_build_kept")
+    split = stratified_split(u, "domain", "_order", test_size)
+    sft = split.select("messages", "source", "domain", "model", "split")
+    grpo = split.select(M.prompt_only("messages").alias("prompt"), "source", "domain", "model", "split")
+    if out_path:
+        from threadmill.sources.io import write_layout
+        write_layout({s: sft.where(F.col("split") == s).drop("split") for s in ("train", "test")},
+                     {s: grpo.where(F.col("split") == s).drop("split") for s in ("train", "test")}, out_path)
+    counts = split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return (counts.select(F.lit("sft").alias("config"), "split", "n")
+            .unionByName(counts.select(F.lit("grpo").alias("config"), "split", "n")))

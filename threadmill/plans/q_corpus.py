@@ -133,3 +133,18 @@ def consumer_filter(spark, sf_dir):
     s = corpus.kept_tagged_split(spark, sf_dir).where(F.col("split") == "train")
     return s.where((F.col("domain") == "general") & F.contains("source", F.lit("1")) & F.col("thinking").isNotNull()) \
         .select("doc_id")
+
+
+@register("corpus_build_full")
+def corpus_build_full(spark, sf_dir):
+    """Entry 1 end to end over documents (flat rows) and conversations (turn arrays), with
+    near dedup and the sft/grpo layout written to the shared checkpoint folder.
+    Rows-only (the near-dedup step has no SQL twin)."""
+    import uuid
+
+    from threadmill.plans.fixtures import conv_raw, flat_qa
+    from threadmill.session import checkpoint_dir
+    docs = flat_qa(spark, sf_dir).drop("source").withColumnRenamed("doc_id", "_rid")
+    convs = conv_raw(spark, sf_dir).withColumnRenamed("conv_id", "_rid")
+    out = f"{checkpoint_dir(spark).rstrip('/')}/layouts/corpus-{uuid.uuid4().hex}"
+    return corpus.build_corpus(spark, [(docs, "documents", "model-a"), (convs, "conversations", "model-b")], out)
