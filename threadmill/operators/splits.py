@@ -9,6 +9,7 @@ from threadmill.functions.text import ColumnOrName, col, nz
 from threadmill.operators.ranking import flag_first_k, md5_order_key
 
 SPLIT_SEED = 42  # fixed value: the reference's split seed
+MAX_BROADCAST_GROUPS = 100_000  # per-group tables up to this many rows are broadcast
 
 
 def holdout_key(session_id: ColumnOrName, completion: ColumnOrName) -> Column:
@@ -40,17 +41,20 @@ def stratified_split(df: DataFrame, strata_col: str, id_col: str, test_size: flo
     """Per stratum, the first max(1, floor(n * t)) rows in seeded hash order are 'test'.
 
     If any stratum has fewer than 2 rows the whole set is split at random instead
-    (same seeded order, one stratum). Strata here are a fixed tag set, so the
-    per-stratum table is broadcast.
+    (same seeded order, one stratum). The per-stratum table is counted and broadcast
+    only below ``MAX_BROADCAST_GROUPS`` rows; otherwise AQE plans the join.
     """
     keyed = df.withColumn("_ok", md5_order_key(seed, id_col))
     sizes = keyed.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_sn"))
-    sizes = sizes.withColumn("_strat", F.min("_sn").over(Window.partitionBy()) >= 2)
+    sizes = sizes.withColumn("_strat", F.min("_sn").over(Window.partitionBy()) >= 2).checkpoint()
+    # the per-stratum table is broadcast only when its size is checked to be small
+    small = sizes.count() <= MAX_BROADCAST_GROUPS
     eff = F.when(F.col("_strat"), F.col(strata_col).cast("string")).otherwise(F.lit("*"))
-    keyed = (keyed.join(F.broadcast(sizes.select(strata_col, "_strat")), strata_col)
+    st = sizes.select(strata_col, "_strat")
+    keyed = (keyed.join(F.broadcast(st) if small else st, strata_col)
              .withColumn("_stratum", eff).drop("_strat"))
     k = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(test_size)))
-    flagged = flag_first_k(keyed, "_ok", ["_stratum"], k, "_is_test", small_groups=True)
+    flagged = flag_first_k(keyed, "_ok", ["_stratum"], k, "_is_test", small_groups=small)
     return (flagged.withColumn(out_col, F.when(F.col("_is_test"), "test").otherwise("train"))
             .drop("_ok", "_stratum", "_is_test"))
 

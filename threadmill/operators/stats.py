@@ -65,17 +65,22 @@ def with_audit_response(df: DataFrame, json_col: str) -> DataFrame:
     d = d.withColumn("_keyed", F.when(F.col("_obj"), keyed))
     d = d.withColumn("_think", F.when(F.col("_obj") & F.try_variant_get("_v", "$.thinking", "variant").isNotNull(),
                                       F.coalesce(F.try_variant_get("_v", "$.thinking", "string"), F.lit(""))))
+    # a session-style row: its ``message`` value as JSON text (compact JSON, not Python's spacing)
+    d = d.withColumn("_sess", F.when(F.col("_obj") & F.try_variant_get("_v", "$.message", "variant").isNotNull(),
+                                     F.substring(F.to_json(F.try_variant_get("_v", "$.message", "variant")), 1, 4000)))
     raw = F.substring(rj, 1, 4000)
     from_msgs = F.when(F.col("_long") != "", F.col("_long")).otherwise(F.try_element_at("_msgs", F.lit(-1)))
     t = (F.when(F.col("_v").isNull(), raw).when(F.col("_has_msgs"), from_msgs)
          .when(F.col("_think").isNotNull(), F.col("_think"))
-         .when(F.col("_keyed").isNotNull(), F.col("_keyed.t")).otherwise(raw))
+         .when(F.col("_keyed").isNotNull(), F.col("_keyed.t"))
+         .when(F.col("_sess").isNotNull(), F.col("_sess")).otherwise(raw))
     fmt = (F.when(F.col("_v").isNull(), "raw").when(F.col("_has_msgs"), "messages")
            .when(F.col("_think").isNotNull(), "thinking")
-           .when(F.col("_keyed").isNotNull(), F.col("_keyed.f")).otherwise("other"))
+           .when(F.col("_keyed").isNotNull(), F.col("_keyed.f"))
+           .when(F.col("_sess").isNotNull(), "session").otherwise("other"))
     mk = F.when(F.col("_think").isNotNull() & ~F.col("_has_msgs"), F.lit(True)).otherwise(F.col("_mk0"))
     return (d.withColumn("t", t).withColumn("mk", mk).withColumn("fmt", fmt)
-            .drop("_v", "_mk0", "_obj", "_msgs", "_has_msgs", "_long", "_keyed", "_think"))
+            .drop("_v", "_mk0", "_obj", "_msgs", "_has_msgs", "_long", "_keyed", "_think", "_sess"))
 
 
 def source_audit(rows: DataFrame, source_col: str, id_col: str, json_col: str,
