@@ -24,7 +24,7 @@ KEYS = {
 }
 
 
-_SPREAD: dict[tuple[int, str], DataFrame] = {}
+_SPREAD: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    memo = (id(spark.sparkContext), path)
+    memo = (spark.sparkContext.applicationId, path)
     if memo not in _SPREAD:
         from threadmill.session import checkpoint_dir
         checkpoint_dir(spark)
