@@ -33,3 +33,11 @@ def test_rouge_udf(spark):
 def test_repr_decode():
     assert _decode_repr("[{'role': 'user', 'content': 'it\\'s'}]")[0]["content"] == "it's"
     assert _decode_repr("not a list") is None and _decode_repr("[]") is None
+
+
+def test_py_list_lines(spark):
+    from threadmill.functions.udfs import _py_lines, json_list_lines_py
+    assert _py_lines('[{"k": 1}, "a", true]') == "{'k': 1}\na\nTrue"
+    assert _py_lines('{"a": 1, "b": 2}') == "a\nb" and _py_lines("[1") == "[1" and _py_lines("5") == "5"
+    df = spark.createDataFrame([('["x", "y"]',), (None,)], "t string")
+    assert [r[0] for r in df.select(json_list_lines_py("t")).collect()] == ["x\ny", None]

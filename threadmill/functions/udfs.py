@@ -77,3 +77,23 @@ def whitespace_tokens(s: pd.Series) -> pd.Series:
     """Tokenizer hook for length statistics (A4/A5): whitespace token counts. A model
     tokenizer can be dropped in with the same Series[str] -> Series[int] shape."""
     return s.fillna("").map(lambda x: len(x.split())).astype("int64")
+
+
+def _py_lines(v):
+    import json
+    if v is None:
+        return None
+    try:
+        parsed = json.loads(v)
+        return "\n".join(str(x) for x in parsed)
+    except Exception:  # noqa: BLE001 - any failure renders the raw text, as the original does
+        return str(v)
+
+
+@F.pandas_udf(T.StringType())
+def json_list_lines_py(s: pd.Series) -> pd.Series:
+    """T6 with Python's own rendering: a JSON value is parsed and its elements printed
+    with ``str`` one per line (dicts as ``{'k': 1}``; iterating an object yields its
+    keys, a string its characters); anything that fails renders as the raw text.
+    Python's ``str`` of nested values has no Spark built-in, hence the Arrow UDF."""
+    return s.map(_py_lines)

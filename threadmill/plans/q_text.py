@@ -12,7 +12,7 @@ from threadmill.functions import rewards as R
 from threadmill.functions.answers import py_float
 from threadmill.functions.scrub import (CLOSING_PATTERN, PREAMBLE_PATTERN, PREAMBLE_TEXT, STUB_MARKERS,
                                         has_stub_marker, scrub, strip_boilerplate)
-from threadmill.functions.text import json_list_lines, slug, strip, sum_of_integers, word_count
+from threadmill.functions.text import slug, strip, sum_of_integers, word_count
 from threadmill.operators.dedup import flag_first_seen, signature_key
 from threadmill.plans import sqltext as S
 from threadmill.plans.catalog import register
@@ -26,8 +26,11 @@ _XLAM_SQL = ("x AS (SELECT event_id, event_type AS query, CASE WHEN event_id % 9
 
 
 def _lines_sql(c: str) -> str:
+    # Python str() of the fixture's elements: strings print bare, flat {"k": n} objects
+    # print as {'k': n}
+    pyrepr = "replace(replace(CAST(e AS VARCHAR), '\"', ''''), ':', ': ')"
     return (f"CASE WHEN json_valid({c}) AND json_type({c}) = 'ARRAY' THEN array_to_string(list_transform(CAST({c} AS "
-            f"JSON[]), lambda e: CASE WHEN json_type(e) = 'VARCHAR' THEN e->>'$' ELSE CAST(e AS VARCHAR) END), chr(10)) "
+            f"JSON[]), lambda e: CASE WHEN json_type(e) = 'VARCHAR' THEN e->>'$' ELSE {pyrepr} END), chr(10)) "
             f"ELSE {c} END")
 
 
@@ -35,14 +38,16 @@ def _lines_sql(c: str) -> str:
           "chr(10) || '<tools>' || " + _lines_sql("tools") + " || '</tools>' || chr(10) || chr(10) || '<answers>' || "
           + _lines_sql("answers") + " || '</answers>' || '" + EOS + "' AS text FROM x")
 def function_call_render(spark, sf_dir):
-    """P29 + T6: ``<query>/<tools>/<answers>`` text; JSON lists one element per line, raw text otherwise."""
+    """P29 + T6: ``<query>/<tools>/<answers>`` text; JSON lists one element per line as
+    Python prints them, raw text when the value does not parse."""
+    from threadmill.functions.udfs import json_list_lines_py
     e = table(spark, sf_dir, "events")
     tools = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("["), "props")) \
         .otherwise(F.concat(F.lit("["), "props", F.lit(","), "props", F.lit("]")))
     answers = F.concat(F.lit('["call_'), F.col("event_id").cast("string"), F.lit('"]'))
     x = e.select("event_id", F.col("event_type").alias("query"), tools.alias("tools"), answers.alias("answers"))
-    text = F.concat(F.lit("<query>"), "query", F.lit("</query>\n\n<tools>"), json_list_lines("tools"),
-                    F.lit("</tools>\n\n<answers>"), json_list_lines("answers"), F.lit("</answers>" + EOS))
+    text = F.concat(F.lit("<query>"), "query", F.lit("</query>\n\n<tools>"), json_list_lines_py("tools"),
+                    F.lit("</tools>\n\n<answers>"), json_list_lines_py("answers"), F.lit("</answers>" + EOS))
     return x.select("event_id", text.alias("text"))
 
 
