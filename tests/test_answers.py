@@ -1,6 +1,5 @@
 """T2-T5, T8, T9 and R1-R3 on edge cases; expected values worked out by hand."""
 
-from pyspark.sql import functions as F
 
 from threadmill.functions import answers as A
 from threadmill.functions import rewards as R

@@ -1,6 +1,5 @@
 """Message normalisers and renderers on edge cases."""
 
-from pyspark.sql import functions as F
 
 from threadmill.functions import messages as M
 

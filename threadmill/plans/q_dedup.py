@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from threadmill.operators.near_dedup import near_dedup
 from threadmill.plans.catalog import register

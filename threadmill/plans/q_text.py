@@ -4,7 +4,6 @@ P38-P39, R2-R3, T6, T10, T15, L2, J3, D1c, A19, A20, A22, W8, S14)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadmill.functions import messages as M
@@ -12,7 +11,7 @@ from threadmill.functions import rewards as R
 from threadmill.functions.answers import py_float
 from threadmill.functions.scrub import (CLOSING_PATTERN, PREAMBLE_PATTERN, PREAMBLE_TEXT, STUB_MARKERS,
                                         has_stub_marker, scrub, strip_boilerplate)
-from threadmill.functions.text import slug, strip, sum_of_integers, word_count
+from threadmill.functions.text import slug, sum_of_integers
 from threadmill.operators.dedup import flag_first_seen, signature_key
 from threadmill.plans import sqltext as S
 from threadmill.plans.catalog import register
