@@ -38,13 +38,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("THREADMILL_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("THREADMILL_DRIVER_MEMORY", _local_heap()))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
 
 
+def _local_heap() -> str:
+    """Driver heap for local runs: 60 % of physical memory, at most 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
 
