@@ -158,3 +158,23 @@ def test_rank_without_global_window(spark):
     nn = [v for _, v in vals if v is not None]
     want = {i: (1 + sum(1 for x in nn if x > v)) if v is not None else len(nn) + 1 for i, v in vals}
     assert got == want
+
+
+@pytest.mark.parametrize("direct_limit", [0, 10**9])
+def test_first_k_edges(spark, direct_limit):
+    df = spark.createDataFrame([(i, "a" if i < 5 else "b") for i in range(8)], "id long, g string") \
+        .withColumn("key", md5_order_key(1, "id"))
+    none = flag_first_k(df, "key", ["g"], lambda n: F.lit(0), "in", direct_limit=direct_limit)
+    assert none.where("in").count() == 0
+    allr = flag_first_k(df, "key", ["g"], lambda n: n + 10, "in", direct_limit=direct_limit)
+    assert allr.where("in").count() == 8
+
+
+def test_first_seen_tuple_order(spark):
+    data = [(r, i, f"k{(r + i) % 3}") for r in range(3) for i in range(10)]
+    df = spark.createDataFrame(data, "rank int, id long, k string")
+    got = {(x.rank, x.id) for x in keep_first_seen(df, F.col("k"), ["rank", "id"]).collect()}
+    first = {}
+    for r, i, k in sorted(data):
+        first.setdefault(k, (r, i))
+    assert got == set(first.values())
