@@ -69,3 +69,10 @@ def test_scrub_typed_tree(spark):
     dtype = df.schema["tc"].dataType
     got = df.select(scrub_typed(F.col("tc"), dtype).alias("t")).collect()[0].t
     assert got[0].function.name == "Bash" and got[0].function.arguments == "ls /home/user/ user@example.com"
+
+
+def test_staged_scrub_equals_scrub(spark):
+    from threadmill.functions.scrub import scrub_columns
+    df = spark.createDataFrame([(c,) for c in CASES], "t string")
+    staged = [r[0] for r in scrub_columns(df, {"s": "t"}).select("s").collect()]
+    assert staged == [py_scrub(c) for c in CASES]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadmill.functions.domain import tag_domain
-from threadmill.functions.scrub import scrub
+from threadmill.functions.scrub import scrub_columns
 from threadmill.functions.text import first_nonempty
 from threadmill.operators.dedup import flag_first_seen, sha256_key
 from threadmill.operators.quality import quality_reason
@@ -25,10 +25,8 @@ from threadmill.session import materialize
 def scrubbed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat rows normalised (P2) and scrubbed (P11): ``doc_id, source, user, answer, thinking``."""
     qa = flat_qa(spark, sf_dir)
-    return qa.select("doc_id", "source",
-                     scrub(first_nonempty("problem")).alias("user"),
-                     scrub(first_nonempty("solution")).alias("answer"),
-                     first_nonempty("thinking").alias("thinking"))
+    qa = scrub_columns(qa, {"user": first_nonempty("problem"), "answer": first_nonempty("solution")})
+    return qa.select("doc_id", "source", "user", "answer", first_nonempty("thinking").alias("thinking"))
 
 
 def with_drop_reason(rows: DataFrame) -> DataFrame:

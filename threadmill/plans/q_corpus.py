@@ -50,11 +50,10 @@ def drop_reason_counts(spark, sf_dir):
           "length(" + S.scrub("text") + ")::BIGINT AS clean_len FROM noisy")
 def scrub_text(spark, sf_dir):
     """P11 over whole documents (noise appended to every fifth)."""
-    from threadmill.functions.scrub import scrub
+    from threadmill.functions.scrub import scrub_columns
     from threadmill.plans.fixtures import noisy_documents
-    d = noisy_documents(spark, sf_dir)
-    clean = scrub("text")
-    return d.select("doc_id", clean.alias("clean"), F.length(clean).cast("long").alias("clean_len"))
+    d = scrub_columns(noisy_documents(spark, sf_dir), {"clean": "text"})
+    return d.select("doc_id", "clean", F.length("clean").cast("long").alias("clean_len"))
 
 
 @register("exact_dedup_first_seen", "WITH d AS (SELECT doc_id, row_number() OVER (PARTITION BY sha256("
