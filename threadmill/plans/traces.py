@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.functions import messages as M
-from threadmill.functions.scrub import scrub
+from threadmill.functions.scrub import scrub_columns
 from threadmill.functions.text import nz
 from threadmill.operators.dedup import flag_first_seen, signature_key
 from threadmill.session import materialize
@@ -55,8 +55,9 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
                 .when(is_pr, F.coalesce(_field("_v", "response"), _field("_v", "output"), _field("_v", "solution"),
                                         _field("_v", "completion"))))
     raw_think = F.when(is_qt, _field("_v", "thinking"))
-    d = d.withColumn("_q", F.struct(scrub(raw_user).alias("u"), scrub(raw_resp).alias("r"),
-                                    scrub(raw_think).alias("th")))
+    d = scrub_columns(d, {"_qu": raw_user, "_qr": raw_resp, "_qth": raw_think})
+    d = d.withColumn("_q", F.struct(F.col("_qu").alias("u"), F.col("_qr").alias("r"), F.col("_qth").alias("th")))
+    d = d.drop("_qu", "_qr", "_qth")
     null_tc = F.lit(None).cast("string")
 
     def turn(role, content):
