@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.functions.scrub import scrub
+from threadmill.functions.scrub import scrub_columns
 
 STEP_LOG_SCHEMA = "ts timestamp, run string, step long, reward double, loss double"
 
@@ -28,7 +28,7 @@ def step_log_means(spark: SparkSession, log_dir: str, window: str = "1 hour",
 
 def incremental_clean(stream: DataFrame, text_col: str = "text") -> DataFrame:
     """Stateless clean columns on each micro-batch: scrub and the row-level drop reason."""
-    c = stream.withColumn("clean", scrub(text_col))
+    c = scrub_columns(stream, {"clean": text_col})
     return c.withColumn("drop_reason", F.when(F.col("clean") == "", F.lit("empty")))
 
 
