@@ -196,4 +196,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 def keep_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier does not reject."""
     model = train(docs, labels, "quality", sample_rows)
-    return docs.where(scorer(model)(text_bytes(docs["text"])) >= threshold)
+    return docs.where(scorer(model)(text_bytes()) >= threshold)

@@ -93,10 +93,10 @@ link AS (
   SELECT x, y FROM pair JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * n_both >= 75 * (a.n + b.n - n_both)),
 edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
 reach AS (
-  SELECT doc_id AS root, doc_id AS at FROM d
+  SELECT doc_id AS root, doc_id AS node FROM d
   UNION
-  SELECT root, y FROM reach JOIN edge ON x = at),
-c AS (SELECT root, min(at) AS component_id FROM reach GROUP BY root)
+  SELECT root, y FROM reach JOIN edge ON x = node),
+c AS (SELECT root, min(node) AS component_id FROM reach GROUP BY root)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.root = d.doc_id
 """
