@@ -13,9 +13,10 @@ verified in two steps, with full shingle sets, and without listing the pairs of
 1. Each member is compared with its bucket's leader, the member whose buckets are the most
    crowded (in a group of near copies, the text they were made from). Verified links make
    components.
-2. Only members of different components are left. For each the number of shingles that no
-   other document left has is counted; what remains bounds every intersection, and only pairs
-   that could still reach the threshold by their sizes and bounds are compared.
+2. Only members of different components are left. For each, its shingles fall into those it
+   shares with the leader (known from step 1), those that no other text left has, and the rest.
+   Two members can only share the smaller of their first parts and the smaller of their rests;
+   only pairs that could still reach the threshold by this bound are compared.
 
 So every bucket pair is either compared, in one component already, or proven to be no link.
 Components grow by propagating the smallest label with pointer jumping until nothing changes.
@@ -103,8 +104,8 @@ def _sketches(bands: int, rows: int, width: int):
 
 
 def _verify(width: int, percent: int):
-    """Keeps the pairs (a, b) whose full sets reach the threshold."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """For each pair (a, b): the size of the intersection of the full sets, and whether it reaches the threshold."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("linked", pa.bool_())])
 
     def run(batches):
         words, last, left = WordIds(), None, None
@@ -115,18 +116,18 @@ def _verify(width: int, percent: int):
                     last, left = a, shingles(x, words, width)
                 right = shingles(y, words, width)
                 both = len(np.intersect1d(left, right, assume_unique=True))
-                if both and 100 * both >= percent * (len(left) + len(right) - both):
-                    out.append((a, b))
+                out.append((a, b, both, bool(both) and 100 * both >= percent * (len(left) + len(right) - both)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of ids that reach the threshold on their full texts."""
+def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ids with the shingles their full texts share, and whether that makes a link."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("x"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(_verify(width, percent), "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(
+        _verify(width, percent), "a long, b long, shared long, linked boolean")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -184,26 +185,37 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     # i shared of m + n - i reach the threshold when (100 + percent) * i >= percent * (m + n)
     need = lambda i, total: (100 + percent) * i >= percent * total
     pairs = others.where(need(F.least("n", "leader_n"), F.col("n") + F.col("leader_n"))).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = scratch.write(verified(pairs, texts, width, percent), "links_1")
+    met = scratch.write(compared(pairs, texts, width, percent), "met")
+    links = met.where("linked").select("a", "b")
     labels = components(links, scratch, "labels_1")
 
     # step 2: members of different components, but for leaders, which have met everyone
     lab = labels.withColumnRenamed("node", "_node")
-    left = scratch.write(others.select("code", "rep", "n").join(lab, F.col("rep") == F.col("_node"), "left")
-                         .select("code", "rep", "n", F.coalesce("label", "rep").alias("label")), "labelled")
+    left = scratch.write(others.join(lab, F.col("rep") == F.col("_node"), "left")
+                         .select("code", "leader", "rep", "n", F.coalesce("label", "rep").alias("label")), "labelled")
     split = left.groupBy("code").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("n").alias("least")).where("x < y")
     left = scratch.write(left.join(scratch.write(split.select("code", "least"), "split"), "code"), "left")
-    ids = scratch.write(left.select(F.col("rep").alias("_rep")).distinct(), "left_ids")
+    ids = scratch.write(left.select(F.explode(F.array("rep", "leader")).alias("_rep")).distinct(), "left_ids")
     some = texts.join(ids, F.col("doc_id") == F.col("_rep"), "left_semi")
     alone = some.mapInArrow(_own_shingles(width), "shingle long, doc_id long").groupBy("shingle").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     alone = scratch.write(alone.where("a = b").groupBy("a").agg(F.count("*").alias("alone")).withColumnRenamed("a", "_a"), "alone")
     bound = left.join(alone, F.col("rep") == F.col("_a"), "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
-    bound = scratch.write(bound.where(need(F.col("most"), F.col("n") + F.col("least"))).select("code", "rep", "n", "label", "most"), "bounded")
+    bound = bound.where(need(F.col("most"), F.col("n") + F.col("least")))
+    first = met.select(F.col("a").alias("_l"), F.col("b").alias("_b"), "shared")
+    bound = bound.join(first, (F.col("leader") == F.col("_l")) & (F.col("rep") == F.col("_b")), "left")
+    # members too unlike their leader in size were not compared with it: no part of theirs is known
+    bound = scratch.write(bound.select("code", "rep", "n", "label", "most", F.coalesce("shared", "most").alias("core"),
+                                       (F.col("most") - F.coalesce("shared", F.lit(0))).alias("rest")), "bounded")
+    # a pair that meets in several buckets is taken in the one with the smallest code
+    codes = scratch.write(bound.groupBy(F.col("rep").alias("_c")).agg(F.collect_set("code").alias("codes")), "codes")
+    bound = bound.join(codes, F.col("rep") == F.col("_c"))
     p, q = bound.alias("p"), bound.alias("q")
+    total = F.col("p.n") + F.col("q.n")
     open_pairs = p.join(q, (F.col("p.code") == F.col("q.code")) & (F.col("p.rep") < F.col("q.rep")) & (F.col("p.label") != F.col("q.label"))
-                        & need(F.least("p.most", "q.most"), F.col("p.n") + F.col("q.n")))
-    open_pairs = open_pairs.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
-    more = scratch.write(verified(open_pairs, texts, width, percent), "links_2")
+                        & need(F.least("p.most", "q.most"), total) & need(F.least("p.core", "q.core") + F.least("p.rest", "q.rest"), total)
+                        & (F.col("p.code") == F.array_min(F.array_intersect("p.codes", "q.codes"))))
+    open_pairs = open_pairs.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
+    more = scratch.write(compared(open_pairs, texts, width, percent).where("linked").select("a", "b"), "links_2")
     if not more.isEmpty():
         labels = components(links.union(more), scratch, "labels_2")
 
