@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import WordIds, doc_bucket, signed, text_bytes
+from threadmill.llm.common import Scratch, WordIds, doc_bucket, signed, text_bytes
 from threadmill.llm.quality import labelled_sample
 
 SAMPLE_ROWS = 12_000
@@ -135,18 +135,31 @@ def fit(sets: list[np.ndarray], y: np.ndarray, epochs: int = 30, rate: float = 0
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Machine:
+    """The screening of terms is an aggregation; the driver gets the sample's rows with the chosen terms only."""
     @F.pandas_udf("array<long>")
     def hashed(body: pd.Series) -> pd.Series:
         words = Terms()
         return pd.Series([signed(words.of(x)) for x in body])
 
-    rows = labelled_sample(docs, labels, "toxic", sample_rows).select(hashed("body").alias("t"), "y").toPandas()
-    sets = [np.asarray(t, np.int64).view(np.uint64) for t in rows["t"]]
+    sample = Scratch(docs.sparkSession, "toxicity").write(labelled_sample(docs, labels, "toxic", sample_rows).select(hashed("body").alias("t"), "y"), "sample")
+    size = sample.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
+    n, share = size["n"], (size["pos"] or 0) / max(size["n"], 1)
+    stats = sample.select(F.explode("t").alias("term"), "y").groupBy("term").agg(F.count("*").alias("k"), F.sum("y").alias("pos")).where(F.col("k") >= LEAST_ROWS)
+    chi = F.pow(F.col("pos") - F.col("k") * share, 2) / F.greatest(F.col("k") * (share * (1 - share)) * (1 - F.col("k") / F.lit(n + 1.0)), F.lit(1e-9))
+    best = stats.withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI * 0.999).orderBy(F.desc("chi"), "term").limit(max_terms).toPandas()
+    known = np.sort(best["term"].to_numpy(np.int64))
+
+    @F.pandas_udf("array<long>")
+    def chosen(t: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(x)[np.isin(x, known)] for x in t])
+
+    rows = sample.select(chosen("t").alias("t"), "y").toPandas()
+    sets = [np.sort(np.asarray(t, np.int64).view(np.uint64)) for t in rows["t"]]
     y = rows["y"].to_numpy(np.float64)
     # rows arrive in any order: sort them, so that reruns agree
     order = sorted(range(len(sets)), key=lambda i: (y[i], sets[i].tobytes()))
-    return fit([sets[i] for i in order], y[order])
+    return fit([sets[i] for i in order], y[order], max_terms=max_terms)
 
 
 def scorer(model: Machine):
