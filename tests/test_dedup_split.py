@@ -39,15 +39,12 @@ def test_md5_mod20(spark):
     assert got == [int(hashlib.md5(k.encode()).hexdigest(), 16) % 20 == 0 for k in keys]
 
 
-import pytest
 
 
-@pytest.mark.parametrize("direct_limit", [0, 10**9])  # histogram path, direct window path
-def test_first_k_per_group_exact(spark, direct_limit):
+def test_first_k_per_group_exact(spark):
     data = [(i, "big" if i % 2 else f"g{i % 5}") for i in range(2000)]
     df = spark.createDataFrame(data, "id long, g string").withColumn("key", md5_order_key(7, "id"))
-    got = flag_first_k(df, "key", ["g"], lambda n: F.floor(n * 0.1) + 1, "in",
-                       direct_limit=direct_limit).where("in").collect()
+    got = flag_first_k(df, "key", ["g"], lambda n: F.floor(n * 0.1) + 1, "in").where("in").collect()
     groups = {}
     for i, g in data:
         groups.setdefault(g, []).append((hashlib.md5(f"7:{i}".encode()).hexdigest(), i))
@@ -56,8 +53,7 @@ def test_first_k_per_group_exact(spark, direct_limit):
         items.sort()
         want |= {i for _, i in items[: int(len(items) * 0.1) + 1]}
     assert {r.id for r in got} == want
-    glob = flag_first_k(df, "key", [], lambda n: F.ceil(n * 0.05), "in",
-                        direct_limit=direct_limit).where("in").collect()
+    glob = flag_first_k(df, "key", [], lambda n: F.ceil(n * 0.05), "in").where("in").collect()
     allk = sorted((hashlib.md5(f"7:{i}".encode()).hexdigest(), i) for i, _ in data)
     assert {r.id for r in glob} == {i for _, i in allk[:100]}
 
@@ -135,8 +131,7 @@ def test_near_dedup_recall(spark):
 
 
 def test_oversized_buckets_exact(spark):
-    """Forcing every bucket through the prefix-filter path gives the same verified pairs
-    as expanding all bucket pairs."""
+    """The prefix-filter candidates give the same verified pairs as expanding all bucket pairs."""
     from threadmill.functions.text import word_count
     from threadmill.operators.near_dedup import (candidate_pairs, minhash, shingle_hashes, shingle_words,
                                                  verified_pairs)
@@ -145,8 +140,12 @@ def test_oversized_buckets_exact(spark):
     s = (d.withColumn("_w", shingle_words(F.col("text"))).withColumn("_sh", shingle_hashes(F.col("_w")))
          .withColumn("sig", minhash(F.col("_sh"))).drop("_w", "text"))
     s = s.checkpoint()
-    full = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=10**6), "doc_id").collect()}
-    pref = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id", max_bucket=0), "doc_id").collect()}
+    from threadmill.operators.near_dedup import BANDS, ROWS
+    b = s.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                                                    lambda j: F.xxhash64(F.slice("sig", j * ROWS + 1, ROWS)))).alias("band", "bh"))
+    mates = (b.withColumnRenamed("doc_id", "a").join(b.withColumnRenamed("doc_id", "b"), ["band", "bh"]).where("a < b").select("a", "b").distinct())
+    full = {tuple(r) for r in verified_pairs(s, mates, "doc_id").collect()}
+    pref = {tuple(r) for r in verified_pairs(s, candidate_pairs(s, "doc_id"), "doc_id").collect()}
     assert full and full == pref
 
 
@@ -160,13 +159,12 @@ def test_rank_without_global_window(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("direct_limit", [0, 10**9])
-def test_first_k_edges(spark, direct_limit):
+def test_first_k_edges(spark):
     df = spark.createDataFrame([(i, "a" if i < 5 else "b") for i in range(8)], "id long, g string") \
         .withColumn("key", md5_order_key(1, "id"))
-    none = flag_first_k(df, "key", ["g"], lambda n: F.lit(0), "in", direct_limit=direct_limit)
+    none = flag_first_k(df, "key", ["g"], lambda n: F.lit(0), "in")
     assert none.where("in").count() == 0
-    allr = flag_first_k(df, "key", ["g"], lambda n: n + 10, "in", direct_limit=direct_limit)
+    allr = flag_first_k(df, "key", ["g"], lambda n: n + 10, "in")
     assert allr.where("in").count() == 8
 
 
@@ -178,3 +176,21 @@ def test_first_seen_tuple_order(spark):
     for r, i, k in sorted(data):
         first.setdefault(k, (r, i))
     assert got == set(first.values())
+
+
+def test_long_chain_resolves_like_the_loop(spark):
+    """100 versions whose strength falls: every second one drops, however long the chain."""
+    from threadmill.operators.near_dedup import resolve_drops
+    n = 100
+    rows = spark.createDataFrame([(i, n - i) for i in range(n)], "id long, th long")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "a long, b long")
+    got = {r.id for r in resolve_drops(rows, pairs, "id", "th").where("dropped").collect()}
+    assert got == set(range(1, n, 2))
+
+
+def test_null_groups_are_groups(spark):
+    from threadmill.operators.splits import first_n_per_group, stratified_split
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else "ab"[i % 2]) for i in range(100)], "id long, g string")
+    out = stratified_split(df, "g", "id", test_size=0.2)
+    assert out.count() == 100 and out.where("g is null and split = 'test'").count() == 5
+    assert sorted(r.id for r in first_n_per_group(df, "g", "id", 2).where("g is null").collect()) == [0, 4]

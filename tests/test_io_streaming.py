@@ -104,3 +104,11 @@ def test_incremental_clean_dedup_snapshot(spark, tmp_path):
     q.awaitTermination()
     snap = spark.read.parquet(out)
     assert snap.agg(F.sum("n")).collect()[0][0] == 30
+
+
+def test_stream_reads_folder_tables(spark, tmp_path):
+    """A table that is a folder of part files gives the same stream result as one file."""
+    from threadmill.plans.q_streams import stream_daily_snapshots
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    a, b = (sorted(map(tuple, stream_daily_snapshots(spark, d).collect())) for d in (str(tmp_path), "/root/testdata/sf0.001"))
+    assert a == b and a

@@ -334,14 +334,15 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
 
     Content is scrubbed; thinking is the last non-empty ``reasoning_content`` of an
     assistant turn, response the last non-empty assistant content; any tool call makes
-    the output type ``tool_use``. Tool-call trees are kept as JSON text. The parsed,
+    the output type ``tool_use``. Tool-call trees are kept as JSON text, with the
+    scrub rules run over that text. The parsed,
     scrubbed array is a column of its own so each element is parsed and scrubbed once.
     """
     msgs = F.transform(F.col(raw), lambda e: parse_trace_message(e))
     d = df.withColumn("_pm", msgs)
     d = d.withColumn("_sm", F.transform("_pm", lambda x: F.struct(
         x["role"].alias("role"), scrub(x["content"]).alias("content"),
-        F.when(_nonempty_tool_calls(x["tool_calls"]), x["tool_calls"]).alias("tool_calls"),
+        F.when(_nonempty_tool_calls(x["tool_calls"]), scrub(x["tool_calls"])).alias("tool_calls"),
         x["reasoning_content"].alias("reasoning_content"))))
     asst = F.filter("_sm", lambda x: x["role"] == "assistant")
     thinking = F.try_element_at(F.filter(asst, lambda x: nz(x["reasoning_content"]).isNotNull()), F.lit(-1))

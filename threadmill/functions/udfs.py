@@ -55,45 +55,37 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - bin(v).count("1")
 
 
-def rouge_l_f1(a: str | None, b: str | None) -> float:
-    x, y = (a or "").split(), (b or "").split()
-    if not x or not y:
-        return 0.0
-    lcs = lcs_length(x, y)
-    if lcs == 0:
-        return 0.0
-    p, r = lcs / len(x), lcs / len(y)
-    return 2 * p * r / (p + r)
+@F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in ("lcs", "left", "right")]))
+def _token_overlap(pred: pd.Series, gold: pd.Series) -> pd.DataFrame:
+    """Length of the longest common subsequence of whitespace tokens, and both token counts."""
+    sides = [s.fillna("").str.split() for s in (pred, gold)]
+    return pd.DataFrame({"lcs": [lcs_length(a, b) if a and b else 0 for a, b in zip(*sides)],
+                         "left": sides[0].str.len(), "right": sides[1].str.len()})
 
 
-@F.pandas_udf(T.DoubleType())
-def rouge_l(pred: pd.Series, gold: pd.Series) -> pd.Series:
-    """ROUGE-L F1 over whitespace tokens (LCS), one pair per row."""
-    return pd.Series([rouge_l_f1(a, b) for a, b in zip(pred, gold)], dtype="float64")
+def rouge_l(pred: str, gold: str):
+    """ROUGE-L F1 over whitespace tokens; only the subsequence length needs Python."""
+    o = _token_overlap(pred, gold)
+    precision, recall = o["lcs"] / o["left"], o["lcs"] / o["right"]
+    return F.when(o["lcs"] > 0, 2 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
 
 
-@F.pandas_udf(T.LongType())
-def whitespace_tokens(s: pd.Series) -> pd.Series:
-    """Tokenizer hook for length statistics (A4/A5): whitespace token counts. A model
-    tokenizer can be dropped in with the same Series[str] -> Series[int] shape."""
-    return s.fillna("").map(lambda x: len(x.split())).astype("int64")
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _printed_elements(s: pd.Series) -> pd.Series:
+    """``str`` of each element of a parsed JSON value; null where it has none or is not JSON."""
+    import json
 
+    def elements(text):
+        try:
+            return [*map(str, json.loads(text))]
+        except (TypeError, ValueError):
+            return None
 
-def _py_lines(v):
-    import json
-    if v is None:
-        return None
-    try:
-        parsed = json.loads(v)
-        return "\n".join(str(x) for x in parsed)
-    except Exception:  # noqa: BLE001 - any failure renders the raw text, as the original does
-        return str(v)
-
-
-@F.pandas_udf(T.StringType())
-def json_list_lines_py(s: pd.Series) -> pd.Series:
-    """T6 with Python's own rendering: a JSON value is parsed and its elements printed
-    with ``str`` one per line (dicts as ``{'k': 1}``; iterating an object yields its
-    keys, a string its characters); anything that fails renders as the raw text.
-    Python's ``str`` of nested values has no Spark built-in, hence the Arrow UDF."""
-    return s.map(_py_lines)
+    return s.map(elements)
+
+
+def json_list_lines_py(c: str):
+    """T6 with Python's own rendering: the elements of a JSON value printed with ``str``, one
+    per line (an object gives its keys, a string its characters); text without elements stays
+    as it is. ``str`` of nested values has no Spark built-in, hence the Arrow UDF."""
+    return F.coalesce(F.array_join(_printed_elements(c), "\n"), F.col(c))

@@ -65,31 +65,24 @@ def minhash(h: Column, num_perm: int = NUM_PERM) -> Column:
 
 
 def candidate_pairs(sig: DataFrame, id_col: str, bands: int = BANDS, rows: int = ROWS,
-                    max_bucket: int = 256, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs ``(a < b)`` sharing at least one LSH bucket.
-
-    Buckets up to ``max_bucket`` members are expanded into all their pairs. Larger
-    buckets are not expanded: their members are joined by prefix filtering (tokens
-    ordered by frequency; two sets with Jaccard >= t must share a token among the
-    first ``|A| - ceil(t |A|) + 1`` of either), which yields every pair of the bucket
-    that can pass verification and no quadratic pair list for the rest.
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs ``(a < b)`` sharing at least one LSH bucket that can pass verification.
+
+    All buckets with two or more members take one form: prefix filtering (tokens ordered
+    by frequency; two sets with Jaccard >= t must share a token among the first
+    ``|A| - ceil(t |A|) + 1`` of either). Texts that only share a bucket are not paired;
+    near-identical texts still are, one pair each.
     """
     b = sig.select(id_col, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                                                     lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows))))
                    .alias("band", "bh"))
     sizes = b.groupBy("band", "bh").agg(F.count(F.lit(1)).alias("_m"))
-    b = b.join(sizes, ["band", "bh"])
-    small = b.where(F.col("_m") <= max_bucket).select("band", "bh", id_col)
-    l, r = small.alias("l"), small.alias("r")
-    full = (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.bh") == F.col("r.bh"))
-                   & (F.col(f"l.{id_col}") < F.col(f"r.{id_col}")))
-            .select(F.col(f"l.{id_col}").alias("a"), F.col(f"r.{id_col}").alias("b")))
-    big = b.where(F.col("_m") > max_bucket).select("band", "bh", id_col)
-    return full.unionByName(_prefix_filter_pairs(sig, big, id_col, threshold)).distinct()
+    shared = b.join(sizes.where("_m > 1"), ["band", "bh"]).select("band", "bh", id_col)
+    return _prefix_filter_pairs(sig, shared, id_col, threshold).distinct()
 
 
 def _prefix_filter_pairs(sig: DataFrame, big: DataFrame, id_col: str, threshold: float) -> DataFrame:
-    """Pairs within oversized buckets that share a prefix token (exact candidate set for
+    """Pairs within buckets that share a prefix token (exact candidate set for
     Jaccard >= threshold). Token order: ascending frequency among those members, then hash."""
     members = big.select(id_col).distinct().join(sig.select(id_col, "_sh"), id_col)
     toks = members.select(id_col, F.explode("_sh").alias("h"))
@@ -100,7 +93,7 @@ def _prefix_filter_pairs(sig: DataFrame, big: DataFrame, id_col: str, threshold:
     plen = n - F.ceil(F.lit(threshold) * n).cast("int") + 1
     prefix = ranked.select(id_col, F.explode(F.transform(F.slice("_ord", F.lit(1), plen), lambda x: x["h"]))
                            .alias("h"))
-    keyed = prefix.join(big, id_col)  # (id, h, band, bh): prefix tokens within each oversized bucket
+    keyed = prefix.join(big, id_col)  # (id, h, band, bh): prefix tokens within each bucket
     l, r = keyed.alias("l"), keyed.alias("r")
     return (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.bh") == F.col("r.bh"))
                    & (F.col("l.h") == F.col("r.h")) & (F.col(f"l.{id_col}") < F.col(f"r.{id_col}")))
@@ -117,8 +110,12 @@ def verified_pairs(rows: DataFrame, pairs: DataFrame, id_col: str, threshold: fl
     return j.where(inter >= F.lit(threshold) * union).select("a", "b")
 
 
-def resolve_drops(rows: DataFrame, pairs: DataFrame, id_col: str, th_col: str, max_rounds: int = 64) -> DataFrame:
-    """Exact drop set of the sequential loop, from the neighbour pairs. Returns ``(id, dropped)``."""
+def resolve_drops(rows: DataFrame, pairs: DataFrame, id_col: str, th_col: str) -> DataFrame:
+    """Exact drop set of the sequential loop, from the neighbour pairs. Returns ``(id, dropped)``.
+
+    Every round settles at least the first undecided row, whose droppers all come earlier;
+    the loop ends when nothing is undecided.
+    """
     spark = rows.sparkSession
     th = rows.select(F.col(id_col).alias("_id"), F.col(th_col).alias("_th"))
     p = (pairs.join(th.select(F.col("_id").alias("a"), F.col("_th").alias("tha")), "a")
@@ -135,10 +132,8 @@ def resolve_drops(rows: DataFrame, pairs: DataFrame, id_col: str, th_col: str, m
                                    "_id", "left")
              .select("_id", F.when(F.col("_has").isNull(), F.lit(False)).alias("self")))
     state = state.checkpoint()
-    for _ in range(max_rounds):
-        undecided = state.where(F.col("self").isNull())
-        if undecided.limit(1).count() == 0:
-            break
+    undecided = state.where(F.col("self").isNull()).count()
+    while undecided:
         votes = (cand.join(state.select(F.col("_id").alias("m"), F.col("self").alias("sm")), "m")
                  .groupBy(F.col("j").alias("_id"))
                  .agg(F.count_if(F.col("sm") == F.lit(False)).alias("_f"),
@@ -148,13 +143,16 @@ def resolve_drops(rows: DataFrame, pairs: DataFrame, id_col: str, th_col: str, m
                          .when(F.col("_f") > 0, F.lit(True))
                          .when(F.col("_u") == 0, F.lit(False)).alias("self")))
         state = state.checkpoint()
+        before, undecided = undecided, state.where(F.col("self").isNull()).count()
+        if undecided >= before:
+            raise RuntimeError(f"near-dedup resolution made no progress with {undecided} rows undecided")
     out = state.join(fs, "_id", "left")
     return out.select(F.col("_id").alias(id_col),
                       (F.coalesce(F.col("self"), F.lit(False)) | F.col("first_strong").isNotNull()).alias("dropped"))
 
 
 def near_dedup(df: DataFrame, id_col: str, text_col: str, thinking_col: str,
-               threshold: float = THRESHOLD, min_words: int = MIN_WORDS, max_bucket: int = 256) -> DataFrame:
+               threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """``df`` with a boolean ``near_dup`` column (rows to drop). ``id_col`` is the
     processing order of the reference (first seen first)."""
     th = F.length(F.coalesce(F.col(thinking_col), F.lit("")))
@@ -164,7 +162,7 @@ def near_dedup(df: DataFrame, id_col: str, text_col: str, thinking_col: str,
                 .withColumn("_sh", shingle_hashes(F.col("_w"))).drop("_w"))
     eligible = eligible.withColumn("sig", minhash(F.col("_sh"))).drop("_t")
     eligible = eligible.checkpoint()
-    pairs = verified_pairs(eligible, candidate_pairs(eligible, id_col, max_bucket=max_bucket, threshold=threshold),
+    pairs = verified_pairs(eligible, candidate_pairs(eligible, id_col, threshold=threshold),
                            id_col, threshold)
     drops = resolve_drops(eligible, pairs, id_col, "_th")
     return (df.join(drops, id_col, "left")

@@ -11,7 +11,7 @@ of the hash. Each level is a partial (map-side combined) ``groupBy`` count over
 most 2**16 buckets per group, narrowing to the bucket that holds the k-th key. After
 two levels the remaining bucket holds about n / 2**32 rows and is ranked exactly.
 Every row is then compared with its group's cutoff key, a table with one row per
-group that is broadcast. Keys must be unique per row (an md5 over a unique id is).
+group. Keys must be unique per row (an md5 over a unique id is).
 """
 
 from __future__ import annotations
@@ -32,26 +32,24 @@ def md5_order_key(seed: int | str, *id_cols: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def _attach(rows: DataFrame, table: DataFrame, g: list[str], small: bool) -> DataFrame:
-    """Attach per-group values: broadcast equi-join, or scalar subqueries when ungrouped."""
+def _attach(rows: DataFrame, table: DataFrame, g: list[str], how: str = "inner") -> DataFrame:
+    """Attach per-group values: null-safe equi-join (a null group is a group; AQE broadcasts
+    what it measures to be small), or scalar subqueries when ungrouped."""
     if g:
-        return rows.join(F.broadcast(table) if small else table, g)
+        named = table.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], *[c for c in table.columns if c not in g])
+        same = F.lit(True)
+        for i, c in enumerate(g):
+            same = same & rows[c].eqNullSafe(F.col(f"_g{i}"))
+        return rows.join(named, same, how).drop(*[f"_g{i}" for i in range(len(g))])
     return rows.select("*", *[table.select(c).scalar().alias(c) for c in table.columns])
 
 
-# Largest group ranked directly with one window (its rows sort in one task); larger
-# groups take the histogram path. The group sizes are measured first.
-DIRECT_RANK_LIMIT = 2_000_000
-
-
 def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
-            k_of_n: Callable[[Column], Column], small_groups: bool = True,
-            direct_limit: int = DIRECT_RANK_LIMIT) -> DataFrame:
+            k_of_n: Callable[[Column], Column]) -> DataFrame:
     """Return ``(group..., _n, _k, _cut)`` where ``_cut`` is the k-th smallest key.
 
     ``k_of_n`` maps the group size to k; k is clipped to [0, n] and ``_cut`` is null
-    when k = 0. ``small_groups`` states that the group table is bounded (a fixed tag
-    set), so it is broadcast explicitly; otherwise AQE decides after measuring it.
+    when k = 0.
     """
     g = list(group_cols)
     keys = df.select(*g, F.col(key_col).alias("_key"))
@@ -62,20 +60,10 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
     # level so later levels do not re-derive earlier ones (the plan would otherwise
     # grow as 2**levels copies of the size aggregation).
     state = sizes.select(*g, "_n", "_k", F.col("_k").alias("_need")).checkpoint()
-    largest = state.agg(F.max("_n")).first()[0] or 0
-    if largest <= direct_limit:
-        w = Window.partitionBy(*g).orderBy("_key")
-        ranked = _attach(keys, state.select(*g, "_need") if g else state.select("_need"), g, small_groups)
-        last = (ranked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("_need"))
-                .select(*g, F.col("_key").alias("_cut")))
-        if g:
-            return state.select(*g, "_n", "_k").join(last, g, "left").checkpoint()
-        return state.select("_n", "_k", last.select("_cut").scalar().alias("_cut")).checkpoint()
     cand = keys
     bounds: list[str] = []
     for level, (start, length) in enumerate(_LEVELS):
-        rows = _attach(cand, state.drop("_n", "_k") if g else state.select(*bounds, "_need"), g,
-                       small_groups)
+        rows = _attach(cand, state.drop("_n", "_k") if g else state.select(*bounds, "_need"), g)
         for i, b in enumerate(bounds):
             rows = rows.where(F.substring("_key", *_LEVELS[i]) == F.col(b))
         p = F.substring("_key", start, length).alias("_p")
@@ -90,7 +78,7 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
         pick = pick.select(*g, F.col("_b._p").alias(bname), F.col("_b._r").alias("_need2"))
         keep = [*g, "_n", "_k", *bounds]
         if g:
-            state = state.select(*keep).join(pick, g, "left")
+            state = _attach(state.select(*keep), pick, g, "left")
         else:
             state = state.select(*keep).select("*", *[pick.select(c).scalar().alias(c)
                                                      for c in (bname, "_need2")])
@@ -98,7 +86,7 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
         bounds.append(bname)
         cand = keys
     rows = _attach(keys, state.select(*g, *bounds, "_need").where(F.col("_need").isNotNull()) if g
-                   else state.select(*bounds, "_need"), g, small_groups)
+                   else state.select(*bounds, "_need"), g)
     for i, b in enumerate(bounds):
         rows = rows.where(F.substring("_key", *_LEVELS[i]) == F.col(b))
     w = Window.partitionBy(*g).orderBy("_key")
@@ -106,15 +94,14 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
             .where(F.col("_rn") == F.col("_need"))
             .select(*g, F.col("_key").alias("_cut")))
     if g:
-        return state.select(*g, "_n", "_k").join(last, g, "left").checkpoint()
+        return _attach(state.select(*g, "_n", "_k"), last, g, "left").checkpoint()
     return state.select("_n", "_k", last.select("_cut").scalar().alias("_cut")).checkpoint()
 
 
 def flag_first_k(df: DataFrame, key_col: str, group_cols: list[str],
-                 k_of_n: Callable[[Column], Column], out_col: str,
-                 small_groups: bool = True, direct_limit: int = DIRECT_RANK_LIMIT) -> DataFrame:
+                 k_of_n: Callable[[Column], Column], out_col: str) -> DataFrame:
     """Add boolean ``out_col``: the row is among the k smallest keys of its group."""
-    cuts = kth_key(df, key_col, group_cols, k_of_n, small_groups, direct_limit).select(*group_cols, "_cut")
-    joined = _attach(df, cuts, list(group_cols), small_groups)
+    cuts = kth_key(df, key_col, group_cols, k_of_n).select(*group_cols, "_cut")
+    joined = _attach(df, cuts, list(group_cols))
     flag = F.coalesce(F.col(key_col) <= F.col("_cut"), F.lit(False))
     return joined.withColumn(out_col, flag).drop("_cut")

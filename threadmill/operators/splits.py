@@ -9,7 +9,6 @@ from threadmill.functions.text import ColumnOrName, col, nz
 from threadmill.operators.ranking import flag_first_k, md5_order_key
 
 SPLIT_SEED = 42  # fixed value: the reference's split seed
-MAX_BROADCAST_GROUPS = 100_000  # per-group tables up to this many rows are broadcast
 
 
 def holdout_key(session_id: ColumnOrName, completion: ColumnOrName) -> Column:
@@ -41,20 +40,17 @@ def stratified_split(df: DataFrame, strata_col: str, id_col: str, test_size: flo
     """Per stratum, the first max(1, floor(n * t)) rows in seeded hash order are 'test'.
 
     If any stratum has fewer than 2 rows the whole set is split at random instead
-    (same seeded order, one stratum). The per-stratum table is counted and broadcast
-    only below ``MAX_BROADCAST_GROUPS`` rows; otherwise AQE plans the join.
+    (same seeded order, one stratum). Rows with a null stratum form a stratum of their own.
     """
     keyed = df.withColumn("_ok", md5_order_key(seed, id_col))
     sizes = keyed.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_sn"))
     sizes = sizes.withColumn("_strat", F.min("_sn").over(Window.partitionBy()) >= 2).checkpoint()
-    # the per-stratum table is broadcast only when its size is checked to be small
-    small = sizes.count() <= MAX_BROADCAST_GROUPS
     eff = F.when(F.col("_strat"), F.col(strata_col).cast("string")).otherwise(F.lit("*"))
-    st = sizes.select(strata_col, "_strat")
-    keyed = (keyed.join(F.broadcast(st) if small else st, strata_col)
+    st = sizes.select(F.col(strata_col).alias("_st"), "_strat")
+    keyed = (keyed.join(st, keyed[strata_col].eqNullSafe(F.col("_st"))).drop("_st")
              .withColumn("_stratum", eff).drop("_strat"))
     k = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(test_size)))
-    flagged = flag_first_k(keyed, "_ok", ["_stratum"], k, "_is_test", small_groups=small)
+    flagged = flag_first_k(keyed, "_ok", ["_stratum"], k, "_is_test")
     return (flagged.withColumn(out_col, F.when(F.col("_is_test"), "test").otherwise("train"))
             .drop("_ok", "_stratum", "_is_test"))
 
@@ -79,8 +75,7 @@ def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = SPLIT_SEED) ->
 
 
 def first_n_per_group(df: DataFrame, group_col: str, order_col: str, n: int,
-                      out_col: str = "rn", salt_buckets: int = 256,
-                      small_groups: bool = False) -> DataFrame:
+                      out_col: str = "rn", salt_buckets: int = 256) -> DataFrame:
     """First n rows per group in ``order_col`` order (one scan, not one per group).
 
     A window over a whole group would put a hot group in one task. Instead the
@@ -95,7 +90,7 @@ def first_n_per_group(df: DataFrame, group_col: str, order_col: str, n: int,
     cands = narrow.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
     w2 = Window.partitionBy(group_col).orderBy(order_col)
     cuts = (cands.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n)
-            .groupBy(group_col).agg(F.max(order_col).alias("_cut")))
-    kept = (df.join(F.broadcast(cuts) if small_groups else cuts, group_col)
+            .groupBy(F.col(group_col).alias("_grp")).agg(F.max(order_col).alias("_cut")))
+    kept = (df.join(cuts, df[group_col].eqNullSafe(F.col("_grp"))).drop("_grp")
             .where(F.col(order_col) <= F.col("_cut")).drop("_cut"))
     return kept.withColumn(out_col, F.row_number().over(w2))

@@ -25,9 +25,14 @@ def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table file as a stream source (the folder, filtered to the table's file)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """The table as a stream source: a folder of part files itself, or the folder of a single
+    file, filtered to that file."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def _overwrite(path: str):

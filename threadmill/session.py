@@ -57,11 +57,13 @@ def _local_heap() -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
 
-    Only when the setting is absent (local tests) a scratch folder is created and
-    registered, so reliable ``checkpoint()`` works in both places.
+    A local master without the setting (tests) gets a scratch folder; any other master
+    raises, because executors on other machines would not see a local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="threadmill-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -14,43 +14,12 @@ TABLES = (
 ).split()
 
 
-# Row identity of each table: used to spread a scan that yields too few splits.
-KEYS = {
-    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
-    "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-    "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
-    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-    "labels": "doc_id", "conversations": "conv_id",
-}
-
-
-_SPREAD: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table.
-
-    Large inputs scan as many splits as they have row groups and are returned as is
-    (filters and projections then push into the parquet reader). A small input whose
-    files give fewer splits than the cluster has cores (one row group) would run all
-    CPU-heavy text work in one task, and Catalyst would push such work below any
-    repartition into that single scan task. Those inputs are hash-partitioned on the
-    table's key once and checkpointed (reliable, in the shared checkpoint folder), so
-    later stages start from ``cores`` partitions. The spread copy is reused per session.
-    """
+    """Scan one table: the plain Parquet scan, whatever its size, so that filters and
+    projections push into the reader on every input alike."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    memo = (spark.sparkContext.applicationId, path)
-    if memo not in _SPREAD:
-        from threadmill.session import checkpoint_dir
-        checkpoint_dir(spark)
-        _SPREAD[memo] = df.repartition(cores, KEYS[name]).checkpoint(eager=True)
-    return _SPREAD[memo]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
