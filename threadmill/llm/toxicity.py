@@ -17,14 +17,16 @@ rows of both classes the score is the smoothed share of label 1.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from threadmill.llm.common import Scratch, WordIds, doc_bucket, signed, text_bytes
+from threadmill.llm.common import Scratch, doc_bucket, signed, text_bytes
 from threadmill.llm.quality import labelled_sample
 
 SAMPLE_ROWS = 12_000
@@ -36,30 +38,30 @@ _EDGE = b".,;:!?\"'()[]{}<>*#$%&|-_/\\~`^+=@"
 
 
 class Terms(dict):
-    """word -> its hashed terms (with ``known``: their places there), remembered within a task."""
+    """word -> its hashed terms (with ``known``: only these), remembered within a task."""
 
     LIMIT = 200_000
 
     def __init__(self, known: np.ndarray | None = None):
         super().__init__()
-        self.ids, self.known = WordIds(limit=0), known
-
-    def __missing__(self, word: bytes) -> np.ndarray:
-        w = word.strip(_EDGE)
-        letters = w.decode("utf-8", "replace")
-        out = self.ids.of([w, *(b"^" + letters[:n].encode() for n in range(3, min(len(letters), 6) + 1))] if w else [])
-        if self.known is not None:
-            at = np.searchsorted(self.known, out)
-            at = at[at < len(self.known)] if len(self.known) else at[:0]
-            out = np.intersect1d(self.known[at], out, assume_unique=False)
+        self.known = None if known is None else set(known.tolist())
+
+    def __missing__(self, word: bytes) -> tuple:
+        w, out = word.strip(_EDGE), ()
+        if w:
+            letters = w.decode("utf-8", "replace")
+            keys = (w, *(b"^" + letters[:n].encode() for n in range(3, min(len(letters), 6) + 1)))
+            out = tuple(h for h in map(xxh3_64_intdigest, keys) if self.known is None or h in self.known)
         if len(self) < self.LIMIT:
             self[word] = out
         return out
 
     def of(self, body: bytes) -> np.ndarray:
         """The distinct hashed terms of a text, sorted."""
-        parts = [t for t in map(self.__getitem__, set(body.lower().split())) if len(t)]
-        return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+        found = set().union(*map(self.__getitem__, set(body.lower().split())))
+        out = np.fromiter(found, np.uint64, len(found))
+        out.sort()
+        return out
 
 
 @dataclass
@@ -138,9 +140,10 @@ def fit(sets: list[np.ndarray], y: np.ndarray, epochs: int = 30, rate: float = 0
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS) -> Machine:
     """The screening of terms is an aggregation; the driver gets the sample's rows with the chosen terms only."""
     @F.pandas_udf("array<long>")
-    def hashed(body: pd.Series) -> pd.Series:
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = Terms()
-        return pd.Series([signed(words.of(x)) for x in body])
+        for body in batches:
+            yield pd.Series([signed(words.of(x)) for x in body])
 
     sample = Scratch(docs.sparkSession, "toxicity").write(labelled_sample(docs, labels, "toxic", sample_rows).select(hashed("body").alias("t"), "y"), "sample")
     size = sample.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
@@ -165,10 +168,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
 def scorer(model: Machine):
     """Pandas UDF: the UTF-8 bytes of a text -> score."""
     @F.pandas_udf("double")
-    def score(body: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = Terms(model.known)
-        out = [model.score([words.of(x) for x in body[a:a + 512]]) for a in range(0, len(body), 512)]
-        return pd.Series(np.concatenate(out) if out else [], dtype="float64")
+        for body in batches:
+            out = [model.score([words.of(x) for x in body[a:a + 512]]) for a in range(0, len(body), 512)]
+            yield pd.Series(np.concatenate(out) if out else [], dtype="float64")
     return score
 
 
