@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadmill.operators.dedup import flag_first_seen, keep_first_seen
@@ -153,7 +154,7 @@ def test_rank_without_global_window(spark):
     from threadmill.operators.history import ranked
     vals = [(i, float((i * 37) % 11) if i % 13 else None) for i in range(300)]
     df = spark.createDataFrame(vals, "id long, v double")
-    got = {r.id: r.rank for r in ranked(df, "v", buckets=4).collect()}
+    got = {r.id: r.rank for r in ranked(df, "v").collect()}
     nn = [v for _, v in vals if v is not None]
     want = {i: (1 + sum(1 for x in nn if x > v)) if v is not None else len(nn) + 1 for i, v in vals}
     assert got == want
@@ -194,3 +195,24 @@ def test_null_groups_are_groups(spark):
     out = stratified_split(df, "g", "id", test_size=0.2)
     assert out.count() == 100 and out.where("g is null and split = 'test'").count() == 5
     assert sorted(r.id for r in first_n_per_group(df, "g", "id", 2).where("g is null").collect()) == [0, 4]
+
+
+def test_reward_delta_against_plain_lists(spark):
+    import random
+    from threadmill.operators.history import backfill, reward_delta
+    rng = random.Random(3)
+    logs = [(run, step, rng.random() if rng.random() > 0.1 else None) for run, n in (("a", 300), ("b", 4), (None, 20), ("c", 5)) for step in range(n)]
+    got = {r.run: (r.n_logs, r.initial, r.final) for r in reward_delta(spark.createDataFrame(logs, "run string, step long, reward double"), "run", "step", "reward", slices=4).collect()}
+    for run in ("a", "b", None, "c"):
+        x = [v for name, _, v in logs if name == run and v is not None]
+        n, first, last = got[run]
+        assert n == len(x)
+        if n < 5:
+            assert first is None and last is None
+        else:
+            assert abs(first - sum(x[:5]) / 5) < 1e-12 and abs(last - sum(x[-5:]) / 5) < 1e-12
+    reg = spark.createDataFrame([(1, None), (2, 1)], "id long, outcome int")
+    facts = spark.createDataFrame([(3, 0)], "id long, quality int")
+    assert backfill(reg, facts, "id", "outcome", "quality").where("outcome is null").count() == 1
+    with pytest.raises(Exception, match="no quality for id 1"):
+        backfill(reg, facts, "id", "outcome", "quality", strict=True).collect()

@@ -64,3 +64,29 @@ def test_render_by_family(spark):
     got = {r.fam: r.text for r in M.render_by_family(df, "m", "fam").collect()}
     direct = df.select("fam", M.render_chat("m").alias("t")).collect()
     assert got == {r.fam: r.t for r in direct}
+
+
+def test_normalisers_take_the_fields_that_are_there(spark):
+    from threadmill.plans.q_sources import normalize_any
+    gpt = spark.createDataFrame([([("human", "q"), ("gpt", "<think>t</think>a")],)], "conversations array<struct<from:string,value:string>>")
+    r = normalize_any(gpt).collect()[0]
+    assert r.ok and [tuple(x) for x in r.messages] == [("user", "q", None), ("assistant", "a", "t")]
+    think = spark.createDataFrame([([("user", "q", None), ("assistant", "a", "t")],)], "messages array<struct<role:string,content:string,thinking:string>>")
+    r = normalize_any(think).collect()[0]
+    assert r.ok and [tuple(x) for x in r.messages] == [("user", "q", None), ("assistant", "a", "t")]
+
+
+def test_list_content_is_kept_but_is_no_text(spark):
+    rows = ['{"role":"user","content":"hi"}', '{"role":"assistant","content":[{"type":"text","text":"/home/alice/x"}]}']
+    df = M.reduce_trace(spark.createDataFrame([(rows,)], "m array<string>"), "m", "r")
+    r = df.select("*", M.render_context("r_messages").alias("ctx"), M.has_assistant_output("r_messages").alias("out")).collect()[0]
+    assert (r.ctx, r.r_response, r.out) == ("USER: hi", "", True)
+    assert r.r_messages[1].content == "" and "/home/user/x" in r.r_messages[1].parts and "alice" not in r.r_messages[1].parts
+
+
+def test_text_messages_are_decoded(spark):
+    from threadmill.plans.q_sources import normalize_any
+    rows = [("[{'role': 'user', 'content': 'q'}, {'role': 'assistant', 'content': '<think>t</think>a'}, {'role': 'tool', 'content': ''}]",), ("no list",), (None,)]
+    got = [(r.ok, [tuple(x) for x in r.messages or []]) for r in normalize_any(spark.createDataFrame(rows, "messages string")).collect()]
+    assert got[0] == (True, [("user", "q", None), ("assistant", "a", "t")])
+    assert [g[0] for g in got[1:]] == [False, False]

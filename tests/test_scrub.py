@@ -76,3 +76,15 @@ def test_staged_scrub_equals_scrub(spark):
     df = spark.createDataFrame([(c,) for c in CASES], "t string")
     staged = [r[0] for r in scrub_columns(df, {"s": "t"}).select("s").collect()]
     assert staged == [py_scrub(c) for c in CASES]
+
+
+def test_filters_joins_and_aggregates_after_staged_scrub(spark):
+    """The plan stays small wherever the optimiser moves the scrubbed column."""
+    from threadmill.functions.scrub import scrub_columns
+    df = spark.createDataFrame([(1, "/home/alice/x a@b.co"), (2, " \x1b[31m "), (3, None), (4, "sk-" + "a" * 24)], "id long, t string")
+    clean = scrub_columns(df, {"s": "t"})
+    assert [tuple(r) for r in clean.where("s <> ''").select("id", "s").orderBy("id").collect()] == [
+        (1, "/home/user/x user@example.com"), (4, "<REDACTED_KEY>")]
+    twice = scrub_columns(clean.where("length(s) > 0"), {"u": "s"}).where("u = s")
+    assert twice.groupBy("u").count().count() == 2
+    assert clean.alias("a").join(clean.alias("b"), "s").count() == 6

@@ -76,19 +76,31 @@ def _has_roles(m: Column) -> Column:
     return F.exists(m, lambda x: x["role"] == "user") & F.exists(m, lambda x: x["role"] == "assistant")
 
 
-def normalize_thinking_field(raw: ColumnOrName) -> Column:
+TURN_FIELDS = ("role", "from", "content", "value", "thinking", "reasoning_content")
+
+
+def element_fields(df: DataFrame, column: str) -> list[str]:
+    """The field names of a column of turns, known when the plan is made."""
+    return df.schema[column].dataType.elementType.fieldNames()
+
+
+def _pick(x: Column, fields, *names: str) -> Column:
+    present = [x[n] for n in names if n in fields]
+    return first_nonempty(*present) if present else F.lit(None).cast("string")
+
+
+def normalize_thinking_field(raw: ColumnOrName, fields=TURN_FIELDS) -> Column:
     """Messages carrying a separate thinking field; an embedded tag overrides it.
 
-    ``raw`` elements need ``role, content`` and may have ``from, value, thinking,
-    reasoning_content`` (absent fields are passed as nulls by the caller's schema).
-    Returns ``struct(ok, messages)``; ok is false for truncated tags or a missing role.
+    ``raw`` elements have any of ``TURN_FIELDS``; ``fields`` names those that are there
+    (``element_fields``), the others count as null. Returns ``struct(ok, messages)``; ok is false for truncated tags or a missing role.
     """
     r = col(raw)
 
     def one(x):
-        role = canonical_role(first_nonempty(x["role"], x["from"]))
-        content = F.coalesce(first_nonempty(x["content"], x["value"]), F.lit(""))
-        thinking = first_nonempty(x["thinking"], x["reasoning_content"])
+        role = canonical_role(_pick(x, fields, "role", "from"))
+        content = F.coalesce(_pick(x, fields, "content", "value"), F.lit(""))
+        thinking = _pick(x, fields, "thinking", "reasoning_content")
         sp = think_split(content)
         has_tag = F.contains(content, F.lit(THINK_OPEN))
         a_think = F.when(has_tag & sp["thinking"].isNotNull(), sp["thinking"]).otherwise(thinking)
@@ -117,8 +129,9 @@ def normalize_conversations(df: DataFrame, raw: str, out_ok: str = "ok",
     ``ok`` flag depends only on the canonical roles and the one think split, so a
     pushed-down ``where(ok)`` stays cheap.
     """
-    base = F.transform(F.col(raw), lambda x: msg(canonical_role(first_nonempty(x["role"], x["from"])),
-                                                 F.coalesce(first_nonempty(x["content"], x["value"]), F.lit(""))))
+    fields = element_fields(df, raw)
+    base = F.transform(F.col(raw), lambda x: msg(canonical_role(_pick(x, fields, "role", "from")),
+                                                 F.coalesce(_pick(x, fields, "content", "value"), F.lit(""))))
     d = df.withColumn("_base", base).withColumn("_n_raw", F.coalesce(F.size(raw), F.lit(0)))
     d = d.withColumn("_last", F.aggregate(
         F.transform("_base", lambda x, i: F.when(x["role"] == "assistant", i).otherwise(-1)),
@@ -134,6 +147,33 @@ def normalize_conversations(df: DataFrame, raw: str, out_ok: str = "ok",
     return d.withColumn(out_ok, F.coalesce(ok, F.lit(False))).drop("_base", "_n_raw", "_last", "_sp")
 
 
+def normalize_repr(df: DataFrame, raw: str, out_ok: str = "ok", out_messages: str = "messages") -> DataFrame:
+    """P5 after decoding: turns with a reasoning field, an embedded tag read only where that
+    is empty; blank turns of other roles are dropped."""
+    fields = element_fields(df, raw)
+
+    def one(x):
+        role = canonical_role(_pick(x, fields, "role", "from"))
+        content = F.coalesce(_pick(x, fields, "content", "value"), F.lit(""))
+        reasoning = _pick(x, fields, "reasoning", "thinking")
+        sp = think_split(content)
+        use_tag = reasoning.isNull() & F.contains(content, F.lit(THINK_OPEN))
+        is_a = role == "assistant"
+        return F.struct(
+            F.when(is_a, "assistant").otherwise(role).alias("role"),
+            F.when(is_a, strip(F.when(use_tag, F.coalesce(nz(sp["answer"]), content)).otherwise(content)))
+            .otherwise(content).alias("content"),
+            F.when(is_a, F.when(use_tag, sp["thinking"]).otherwise(strip(reasoning))).alias("thinking"),
+            (is_a & use_tag & sp["truncated"]).alias("_trunc"),
+            (is_a | (content != "") | role.isin("user", "system")).alias("_keep"))
+
+    d = df.withColumn("_m", F.transform(raw, one))
+    d = d.withColumn("_trunc", F.exists("_m", lambda x: x["_trunc"])).withColumn("_m", F.filter("_m", lambda x: x["_keep"]))
+    ok = (F.coalesce(F.size("_m"), F.lit(0)) > 0) & ~F.coalesce("_trunc", F.lit(True)) & _has_roles(F.col("_m"))
+    clean = F.transform("_m", lambda x: msg(x["role"], x["content"], x["thinking"]))
+    return d.withColumn(out_ok, F.coalesce(ok, F.lit(False))).withColumn(out_messages, clean).drop("_m", "_trunc")
+
+
 def from_flat(user: ColumnOrName, answer: ColumnOrName, thinking: ColumnOrName | None = None,
               system: ColumnOrName | None = None) -> Column:
     """P2 + P8: flat triple -> struct(ok, messages); optional system turn first.
@@ -315,13 +355,20 @@ TRACE_ELEM = "struct<role:string,content:string,reasoning_content:string,tool_ca
 
 
 def parse_trace_message(e: Column) -> Column:
-    """JSON text element -> struct; unparsable text -> {role: 'unknown', content: text}."""
-    parsed = F.from_json(e, TRACE_ELEM)
-    valid = F.try_parse_json(e).isNotNull()
-    return F.when(valid, parsed).otherwise(
-        F.struct(F.lit("unknown").alias("role"), e.alias("content"),
-                 F.lit(None).cast("string").alias("reasoning_content"),
-                 F.lit(None).cast("string").alias("tool_calls")))
+    """JSON text element -> struct; unparsable text -> {role: 'unknown', content: text}.
+
+    Content that is no string (a list of parts, say) is not text: it is kept as JSON in
+    ``parts``, and ``content`` is null.
+    """
+    none = F.lit(None).cast("string")
+    v, parsed = F.try_parse_json(e), F.from_json(e, TRACE_ELEM)
+    is_text = F.coalesce(F.schema_of_variant(F.try_variant_get(v, "$.content", "variant")) == "STRING", F.lit(False))
+    known = F.struct(parsed["role"].alias("role"), F.when(is_text, parsed["content"]).alias("content"),
+                     F.when(~is_text, parsed["content"]).alias("parts"),
+                     parsed["reasoning_content"].alias("reasoning_content"), parsed["tool_calls"].alias("tool_calls"))
+    return F.when(v.isNotNull(), known).otherwise(
+        F.struct(F.lit("unknown").alias("role"), e.alias("content"), none.alias("parts"),
+                 none.alias("reasoning_content"), none.alias("tool_calls")))
 
 
 def _nonempty_tool_calls(tc: Column) -> Column:
@@ -342,6 +389,7 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
     d = df.withColumn("_pm", msgs)
     d = d.withColumn("_sm", F.transform("_pm", lambda x: F.struct(
         x["role"].alias("role"), scrub(x["content"]).alias("content"),
+        F.when(x["parts"].isNotNull(), scrub(x["parts"])).alias("parts"),
         F.when(_nonempty_tool_calls(x["tool_calls"]), scrub(x["tool_calls"])).alias("tool_calls"),
         x["reasoning_content"].alias("reasoning_content"))))
     asst = F.filter("_sm", lambda x: x["role"] == "assistant")
@@ -350,7 +398,7 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
     tool = F.exists("_sm", lambda x: x["tool_calls"].isNotNull())
     return d.select(
         "*",
-        F.transform("_sm", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),
+        F.transform("_sm", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), x["parts"].alias("parts"),
                                               x["tool_calls"].alias("tool_calls"))).alias(f"{prefix}_messages"),
         F.coalesce(scrub(thinking["reasoning_content"]), F.lit("")).alias(f"{prefix}_thinking"),
         F.coalesce(response, F.lit("")).alias(f"{prefix}_response"),
@@ -359,9 +407,10 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
 
 
 def has_assistant_output(m: ColumnOrName) -> Column:
-    """An assistant turn with content or a tool call."""
+    """An assistant turn with content (text or parts) or a tool call."""
     return F.exists(col(m), lambda x: (x["role"] == "assistant")
-                    & ((F.coalesce(x["content"], F.lit("")) != "") | x["tool_calls"].isNotNull()))
+                    & ((F.coalesce(x["content"], F.lit("")) != "") | ~F.coalesce(x["parts"], F.lit("[]")).isin("", "[]", "{}")
+                       | x["tool_calls"].isNotNull()))
 
 
 def render_context(m: ColumnOrName) -> Column:

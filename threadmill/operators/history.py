@@ -9,21 +9,25 @@ from threadmill.functions.rewards import invalid_move_reward
 from threadmill.functions.text import ColumnOrName, col
 
 
-def reward_delta(logs: DataFrame, run_col: str, step_col: str, reward_col: str, k: int = 5) -> DataFrame:
+def reward_delta(logs: DataFrame, run_col: str, step_col: str, reward_col: str, k: int = 5, slices: int = 256) -> DataFrame:
     """Per run, mean of the last k minus mean of the first k logged rewards (null
-    if fewer than k logs). The first and last k per run are found with the salted
-    first-n operator (no window over a whole run, which may be a hot key)."""
-    from threadmill.operators.splits import first_n_per_group
-    r = logs.where(F.col(reward_col).isNotNull()).select(run_col, step_col, reward_col)
-    n = r.groupBy(run_col).agg(F.count(F.lit(1)).alias("n_logs"))
-    head = first_n_per_group(r, run_col, step_col, k).groupBy(run_col).agg(F.avg(reward_col).alias("initial"))
-    rev = r.withColumn("_neg", -F.col(step_col))
-    tail = first_n_per_group(rev, run_col, "_neg", k).groupBy(run_col).agg(F.avg(reward_col).alias("final"))
-    g = n.join(head, run_col).join(tail, run_col)
-    ok = F.col("n_logs") >= k
-    return g.select(run_col, "n_logs", F.when(ok, F.col("initial")).alias("initial"),
-                    F.when(ok, F.col("final")).alias("final"),
-                    F.when(ok, F.col("final") - F.col("initial")).alias("delta"))
+    if fewer than k logs). One scan: a run is dealt into hash slices, the first and last
+    k of each slice are kept, and a run's list holds at most ``2 * k * slices`` of them."""
+    r = logs.where(F.col(reward_col).isNotNull()).select(run_col, step_col, F.col(reward_col).cast("double").alias(reward_col))
+    r = r.withColumn("_s", F.pmod(F.xxhash64(step_col), F.lit(slices)))
+    part = Window.partitionBy(run_col, "_s")
+    ends = r.select("*", F.row_number().over(part.orderBy(step_col, reward_col)).alias("_a"),
+                    F.row_number().over(part.orderBy(F.desc(step_col), F.desc(reward_col))).alias("_d"),
+                    F.count(F.lit(1)).over(part).alias("_n")).where((F.col("_a") <= k) | (F.col("_d") <= k))
+    per = ends.groupBy(run_col, "_s").agg(F.max("_n").alias("_n"), F.collect_list(F.struct(step_col, reward_col)).alias("_l"))
+    g = per.groupBy(run_col).agg(F.sum("_n").alias("n_logs"), F.sort_array(F.flatten(F.collect_list("_l"))).alias("_l"))
+
+    def mean(start: int) -> Column:
+        rewards = F.transform(F.slice("_l", start, k), lambda e: e[reward_col])
+        return F.when(F.col("n_logs") >= k, F.aggregate(rewards, F.lit(0.0), lambda x, y: x + y) / k)
+
+    g = g.select(run_col, "n_logs", mean(1).alias("initial"), mean(-k).alias("final"))
+    return g.withColumn("delta", F.col("final") - F.col("initial"))
 
 
 def appended_feedback(turns: DataFrame, game_col: str, turn_col: str, full_col: str,
@@ -45,40 +49,18 @@ def token_accuracy(pred: DataFrame, gold_col: str, top_col: str) -> list[Column]
 
 
 def eval_summary(results: DataFrame, name_col: str, delta_col: str, score_col: str) -> DataFrame:
-    """Improved count, mean delta, best delta and the model with the highest score."""
+    """Improved count, mean delta, best delta and the model with the highest score
+    (of equal scores, the last name)."""
     return results.agg(F.count_if(F.col(delta_col) > 0).alias("improved"),
                        F.round(F.avg(delta_col), 6).alias("mean_delta"),
                        F.round(F.max(delta_col), 6).alias("best_delta"),
-                       F.max_by(name_col, score_col).alias("top_model"))
-
-
-def ranked(results: DataFrame, value_col: str, out_col: str = "rank", buckets: int = 1024) -> DataFrame:
-    """``rank()`` by ``value_col`` descending, without a global window over the rows.
-
-    rank(v) = 1 + number of rows with a larger value. Rows are first reduced to
-    distinct values with counts (a hot value collapses map-side); the distinct values
-    are cut into ``buckets`` value ranges by approximate quantiles, per-bucket totals
-    give offsets (a table of ``buckets`` rows), and a running count inside each bucket
-    finishes the rank. Each window holds one bucket of distinct values. Null values
-    rank last, as in SQL ``ORDER BY ... DESC``.
-    """
-    v = F.col(value_col)
-    dv = results.where(v.isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = dv.agg(F.percentile_approx(value_col, qs, 10000).alias("_q"))
-    # bucket index: number of boundaries strictly below the value (0 .. buckets-1)
-    dvb = dv.select("*", bounds.select("_q").scalar().alias("_q"))
-    dvb = dvb.withColumn("_b", F.size(F.filter("_q", lambda q: q < v))).drop("_q")
-    tot = dvb.groupBy("_b").agg(F.sum("_c").alias("_bt"))
-    above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(above), F.lit(0))).drop("_bt")
-    within = Window.partitionBy("_b").orderBy(F.desc(value_col)).rowsBetween(Window.unboundedPreceding, -1)
-    rk = (dvb.join(F.broadcast(off), "_b")
-          .withColumn(out_col, (F.col("_off") + F.coalesce(F.sum("_c").over(within), F.lit(0)) + 1).cast("long"))
-          .select(value_col, out_col))
-    n_non_null = dv.agg(F.sum("_c")).scalar()
-    out = results.join(rk, value_col, "left")
-    return out.withColumn(out_col, F.coalesce(F.col(out_col), (n_non_null + 1).cast("long")))
+                       F.max_by(name_col, F.struct(score_col, name_col)).alias("top_model"))
+
+
+def ranked(results: DataFrame, value_col: str, out_col: str = "rank") -> DataFrame:
+    """``rank()`` by ``value_col`` descending, null values last. The table has one row per
+    evaluated model, so the one window over all of it is bounded by their number."""
+    return results.withColumn(out_col, F.rank().over(Window.orderBy(F.desc_nulls_last(value_col))).cast("long"))
 
 
 def totals_with_rollup(df: DataFrame, type_col: str, *measures: str) -> DataFrame:
@@ -89,12 +71,16 @@ def totals_with_rollup(df: DataFrame, type_col: str, *measures: str) -> DataFram
                     *measures)
 
 
-def backfill(registry: DataFrame, facts: DataFrame, key: str, value_col: str, fact_col: str) -> DataFrame:
-    """Fill null outcomes from keyed facts (left join + coalesce); rows still null
-    after the fill are the 'unknown key' failures the reference raises on."""
+def backfill(registry: DataFrame, facts: DataFrame, key: str, value_col: str, fact_col: str, strict: bool = False) -> DataFrame:
+    """Fill null outcomes from keyed facts (left join + coalesce). Rows still null after
+    the fill have an unknown key: with ``strict`` the job fails on them, else they stay null."""
     j = registry.join(facts.select(key, F.col(fact_col).alias("_fact")), key, "left")
+    value = F.coalesce(F.col(value_col), F.col("_fact"))
+    if strict:
+        unknown = F.concat(F.lit(f"no {fact_col} for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        value = F.when(value.isNull(), F.raise_error(unknown)).otherwise(value)
     return j.withColumn("filled", F.col(value_col).isNull() & F.col("_fact").isNotNull()) \
-            .withColumn(value_col, F.coalesce(F.col(value_col), F.col("_fact"))).drop("_fact")
+            .withColumn(value_col, value).drop("_fact")
 
 
 def win(done: ColumnOrName, reward: ColumnOrName) -> Column:

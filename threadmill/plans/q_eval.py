@@ -48,11 +48,11 @@ def token_accuracy(spark, sf_dir):
           "acc_trained, round(b.acc, 6)::DOUBLE AS acc_base, round(t.acc - b.acc, 6)::DOUBLE AS delta FROM t JOIN b "
           "ON t.example_id = b.example_id")
 def trained_vs_base(spark, sf_dir):
-    """Per-example accuracy of both models, paired by an inner equi-join, with deltas."""
+    """Per-example accuracy of both models with deltas. Both predictions are columns of one
+    table here, so one aggregation pairs them."""
     p = _pred(spark, sf_dir)
-    t = p.groupBy("example_id").agg(F.avg(F.when(F.col("gold") == F.col("top_t")[0], 1.0).otherwise(0.0)).alias("a"))
-    b = p.groupBy("example_id").agg(F.avg(F.when(F.col("gold") == F.col("top_b")[0], 1.0).otherwise(0.0)).alias("b"))
-    j = t.join(b, "example_id")
+    hit = lambda top: F.avg(F.when(F.col("gold") == F.col(top)[0], 1.0).otherwise(0.0))
+    j = p.groupBy("example_id").agg(hit("top_t").alias("a"), hit("top_b").alias("b"))
     return j.select("example_id", F.round("a", 6).alias("acc_trained"), F.round("b", 6).alias("acc_base"),
                     F.round(F.col("a") - F.col("b"), 6).alias("delta"))
 

@@ -141,28 +141,8 @@ def repr_messages_decode(spark, sf_dir):
     The oracle computes the same outcome from the turns the repr text was built from."""
     from threadmill.functions.udfs import decode_repr_messages
     r = _repr_conversations(spark, sf_dir).withColumn("raw", decode_repr_messages("messages"))
-
-    def one(x):
-        role = M.canonical_role(F.coalesce(nz(x["role"]), nz(x["from"])))
-        content = F.coalesce(nz(x["content"]), nz(x["value"]), F.lit(""))
-        reasoning = F.coalesce(nz(x["reasoning"]), nz(x["thinking"]))
-        sp = M.think_split(content)
-        use_tag = reasoning.isNull() & F.contains(content, F.lit("<think>"))
-        is_a = role == "assistant"
-        return F.struct(
-            F.when(is_a, "assistant").otherwise(role).alias("role"),
-            F.when(is_a, strip(F.when(use_tag, F.coalesce(nz(sp["answer"]), content)).otherwise(content)))
-            .otherwise(content).alias("content"),
-            F.when(is_a, F.when(use_tag, sp["thinking"]).otherwise(strip(reasoning))).alias("thinking"),
-            (is_a & use_tag & sp["truncated"]).alias("_trunc"),
-            (is_a | (content != "") | role.isin("user", "system")).alias("_keep"))
-
-    m = r.select("conv_id", F.transform("raw", one).alias("m"))
-    m = m.select("conv_id", F.filter("m", lambda x: x["_keep"]).alias("m"),
-                 F.exists("m", lambda x: x["_trunc"]).alias("trunc"))
-    ok = (F.coalesce(F.size("m"), F.lit(0)) > 0) & ~F.coalesce("trunc", F.lit(True)) & \
-        F.exists("m", lambda x: x["role"] == "user") & F.exists("m", lambda x: x["role"] == "assistant")
-    return m.select("conv_id", F.coalesce(ok, F.lit(False)).alias("ok"), F.size("m").cast("long").alias("n_msgs"))
+    n = M.normalize_repr(r, "raw", "ok", "m")
+    return n.select("conv_id", "ok", F.size("m").cast("long").alias("n_msgs"))
 
 
 @register("tool_call_scrub", "WITH " + S.TRACE_META + " SELECT event_id, " + S.scrub("row_json") + " AS row_json "

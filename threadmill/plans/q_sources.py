@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadmill.functions import messages as M
 from threadmill.functions.answers import parse_guess
 from threadmill.functions.text import first_nonempty
+from threadmill.functions.udfs import decode_repr_messages
 from threadmill.plans import sqltext as S
 from threadmill.plans.catalog import register
 from threadmill.plans.fixtures import conv_raw, flat_qa
@@ -17,13 +18,16 @@ from threadmill.sources.tables import table
 
 def normalize_any(df):
     """Pick the normaliser from the schema at plan time (not per row):
-    ``conversations`` -> P6, ``messages`` -> P4, otherwise flat columns -> P2/P8."""
+    ``conversations`` -> P6, ``messages`` as text -> P5, ``messages`` -> P4, otherwise flat columns -> P2/P8."""
     cols = set(df.columns)
     if "conversations" in cols:
         n = M.normalize_conversations(df, "conversations")
         return n.drop("conversations")
+    if "messages" in cols and df.schema["messages"].dataType.simpleString() == "string":
+        n = M.normalize_repr(df.withColumn("_turns", decode_repr_messages("messages")), "_turns")
+        return n.drop("_turns")
     if "messages" in cols:
-        n = df.withColumn("_n", M.normalize_thinking_field("messages"))
+        n = df.withColumn("_n", M.normalize_thinking_field("messages", M.element_fields(df, "messages")))
         return n.withColumn("ok", F.col("_n.ok")).withColumn("messages", F.col("_n.messages")).drop("_n")
 
     def pick(names):

@@ -2,8 +2,8 @@
 tables (``availableNow``) and return their sink contents as batch DataFrames.
 
 Sinks are parquet folders and stream checkpoints live under the shared checkpoint
-folder; nothing is collected into driver memory. Aggregations use complete/update
-modes through ``foreachBatch`` so the last event-time window is emitted as well.
+folder; nothing is collected into driver memory. X1 appends closed windows, X4 updates
+its running totals through ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -35,25 +35,19 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def _overwrite(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return write
-
-
 @register("stream_step_log_means", "SELECT user_id AS run, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, "
-          "round(avg(value), 6) AS mean_reward, count(*) AS n FROM events GROUP BY ALL")
+          "round(avg(value), 6) AS mean_reward, count(*) AS n FROM events WHERE date_trunc('day', ts) + INTERVAL 2 DAY "
+          "<= (SELECT max(ts) FROM events) GROUP BY ALL")
 def stream_step_log_means(spark, sf_dir):
-    """Event-time daily mean reward per run with a watermark (complete mode)."""
+    """Event-time daily mean reward per run; a day is emitted once the watermark (one day
+    behind the newest row) has passed its end, and its state goes."""
     out, ck = _paths(spark, "x1")
     src = _stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"),
                                                    F.col("user_id").cast("string").alias("run"),
                                                    F.col("event_id").alias("step"), F.col("value").alias("reward"),
                                                    F.lit(None).cast("double").alias("loss"))
-    agg = (src.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day").alias("w"), "run")
-           .agg(F.avg("reward").alias("mean_reward"), F.count(F.lit(1)).alias("n")))
-    q = (agg.writeStream.outputMode("complete").foreachBatch(_overwrite(out)).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
+    q = (J.step_windows(src, "1 day", "1 day").writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     r = spark.read.parquet(out)
     return r.select(F.col("run").cast("long").alias("run"), F.date_format("w.start", "yyyy-MM-dd").alias("day"),
@@ -89,7 +83,7 @@ def stream_incremental_dedup(spark, sf_dir):
 def stream_daily_snapshots(spark, sf_dir):
     """Per-batch daily totals appended idempotently (one partition per batch id)."""
     out, ck = _paths(spark, "x4")
-    totals = J.daily_totals(_stream(spark, sf_dir, "events"))
+    totals = J.daily_totals(_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
     q = (totals.writeStream.outputMode("update").foreachBatch(J.snapshot_writer(out))
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -61,7 +61,7 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
     null_tc = F.lit(None).cast("string")
 
     def turn(role, content):
-        return F.struct(F.lit(role).alias("role"), content.alias("content"), null_tc.alias("tool_calls"))
+        return F.struct(F.lit(role).alias("role"), content.alias("content"), null_tc.alias("parts"), null_tc.alias("tool_calls"))
 
     qx = F.col("_q")
     msgs = (F.when(F.col("_fmt") == "messages", F.col("_red_messages"))

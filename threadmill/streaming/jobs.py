@@ -19,8 +19,12 @@ def step_log_means(spark: SparkSession, log_dir: str, window: str = "1 hour",
                    watermark: str = "2 hours") -> DataFrame:
     """Append-only JSONL step logs -> per run, per event-time window mean reward/loss.
     Late rows older than the watermark are dropped; a window is emitted once closed."""
-    s = spark.readStream.schema(STEP_LOG_SCHEMA).json(log_dir)
-    return (s.withWatermark("ts", watermark)
+    return step_windows(spark.readStream.schema(STEP_LOG_SCHEMA).json(log_dir), window, watermark)
+
+
+def step_windows(logs: DataFrame, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
+    """X1 over any stream of step logs: means per run and event-time window."""
+    return (logs.withWatermark("ts", watermark)
             .groupBy(F.window("ts", window).alias("w"), "run")
             .agg(F.avg("reward").alias("mean_reward"), F.avg("loss").alias("mean_loss"),
                  F.count(F.lit(1)).alias("n")))
@@ -50,7 +54,7 @@ def snapshot_writer(path: str):
     return write
 
 
-def daily_totals(stream: DataFrame, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
-    """X4 input: per-day totals of each micro-batch."""
-    return stream.groupBy(F.to_date(ts_col).alias("day")).agg(F.count(F.lit(1)).alias("n"),
-                                                              F.sum(value_col).alias("total"))
+def daily_totals(stream: DataFrame, ts_col: str = "ts", value_col: str = "value", watermark: str = "2 days") -> DataFrame:
+    """X4 input: running totals per day; a day's state goes once the watermark has passed it."""
+    days = stream.withWatermark(ts_col, watermark).groupBy(F.window(ts_col, "1 day").alias("w"))
+    return days.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")).select(F.to_date("w.start").alias("day"), "n", "total")
