@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadmill.functions import messages as M
 from threadmill.functions.answers import answer_integer
-from threadmill.functions.text import nz, strip, word_count
+from threadmill.functions.text import strip, word_count
 from threadmill.operators.quality import has_target
 from threadmill.operators.splits import is_holdout
 from threadmill.plans import sqltext as S
