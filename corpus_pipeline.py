@@ -23,13 +23,18 @@ ORACLE_SQL = None
 
 
 def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id was kept, once per id; rows without an id stay."""
-    kept = verdicts.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = Scratch(docs.sparkSession, "kept").write(kept.withColumnRenamed("doc_id", "_id"), "ids")
-    out = docs.join(kept.select("_id"), docs["doc_id"].cast("long") == F.col("_id"), "left_semi")
-    if not kept.where("n > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    return out.unionByName(docs.where(docs["doc_id"].isNull()))
+    """Rows of ``docs`` whose id was kept, once per id; rows without an id stay.
+
+    The join is against the ids that go, which are fewer than those that stay: Spark broadcasts
+    them while their table is under its threshold, and else shuffles both sides.
+    """
+    per = verdicts.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.count_if("kept").alias("n"))
+    odd = Scratch(docs.sparkSession, "kept").write(per.where("n <> 1"), "ids")
+    gone = odd.where("n = 0").select("_id")
+    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_id"], "left_anti")
+    if odd.where("n > 1").isEmpty():
+        return out
+    return out.where(out["doc_id"].isNotNull()).dropDuplicates(["doc_id"]).unionByName(docs.where(docs["doc_id"].isNull()))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
