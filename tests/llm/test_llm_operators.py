@@ -335,6 +335,20 @@ def test_pipeline(spark, tmp_path, texts):
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
 
 
+def test_pipeline_drops_rows_by_verdict(spark):
+    from corpus_pipeline import _only
+    schema = "doc_id long, text string, _id int, n int"
+    verdicts = [(1, True), (2, False), (2, False), (3, True), (3, True), (4, True), (4, False), (None, False), (None, True), (9, False)]
+    docs = [(i, f"t{i}", 7, 0) for i, _ in verdicts]
+    ids = lambda keep, rows: sorted((r.doc_id for r in _only(spark.createDataFrame(rows, schema), spark.createDataFrame(keep, "doc_id long, kept boolean")).collect()), key=str)
+    assert ids(verdicts, docs) == [1, 3, 4, None, None]
+    # no id kept twice: rows are left as they are
+    once = [v for v in verdicts if v[0] != 3]
+    assert ids(once, [d for d in docs if d[0] != 3]) == [1, 4, 4, None, None]
+    assert ids([], []) == []
+    assert _only(spark.createDataFrame(docs, schema), spark.createDataFrame(verdicts, "doc_id long, kept boolean")).columns == ["doc_id", "text", "_id", "n"]
+
+
 def test_sql_forms_match(spark):
     import os
 
