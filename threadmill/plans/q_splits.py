@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadmill.operators import splits as SP
+from threadmill.operators.quality import has_target
 from threadmill.plans import sqltext as S
 from threadmill.plans.catalog import register
 from threadmill.sources.tables import table
@@ -39,16 +40,20 @@ def holdout_complement(spark, sf_dir):
                  F.count_if(~F.col("holdout")).alias("n_train"))
 
 
-@register("leakage_guard", "WITH h AS (SELECT doc_id, substring(text, 1, 200) AS k, (('0x' || md5(" + _HKEY_SQL
-          + "))::UHUGEINT % 20 = 0) AS holdout FROM documents) SELECT count(*) AS n_leaked FROM h t WHERE NOT "
-          "t.holdout AND t.k IN (SELECT k FROM h WHERE holdout)")
+@register("leakage_guard", "WITH h AS (SELECT " + _HKEY_SQL + " AS k, (('0x' || md5(" + _HKEY_SQL
+          + "))::UHUGEINT % 20 = 0) AS holdout, length(" + S.strip("coalesce(text, '')") + ") > 16 AS target FROM documents) "
+          "SELECT count(*) FILTER (WHERE holdout AND target) AS n_held, count(*) FILTER (WHERE NOT holdout) AS n_train, "
+          "count(*) FILTER (WHERE NOT holdout AND k IN (SELECT k FROM h WHERE holdout AND target)) AS n_leaked FROM h")
 def leakage_guard(spark, sf_dir):
-    """Train rows whose prompt key also occurs in the held-out set (left semi join, all rows)."""
-    d = (_sessions(spark, sf_dir).withColumn("holdout", SP.is_holdout("session_id", "text"))
-         .withColumn("k", F.substring("text", 1, 200)))
-    held = d.where("holdout").select("k").distinct()
-    leaked = d.where(~F.col("holdout")).join(held, "k", "left_semi")
-    return leaked.agg(F.count(F.lit(1)).alias("n_leaked"))
+    """Train rows whose held-out key (W1) also occurs among the evaluated held-out rows, over all rows.
+
+    Both sides are counted in one aggregation by key, which takes the place of a join.
+    """
+    d = _sessions(spark, sf_dir).withColumn("k", SP.holdout_key("session_id", "text"))
+    d = d.select("k", SP.is_holdout("session_id", "text").alias("holdout"), has_target("text").alias("target"))
+    keys = d.groupBy("k").agg(F.count_if(F.col("holdout") & F.col("target")).alias("held"), F.count_if(~F.col("holdout")).alias("train"))
+    return keys.agg(F.coalesce(F.sum("held"), F.lit(0)).alias("n_held"), F.coalesce(F.sum("train"), F.lit(0)).alias("n_train"),
+                    F.coalesce(F.sum(F.when(F.col("held") > 0, F.col("train"))), F.lit(0)).alias("n_leaked"))
 
 
 @register("global_split", "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY " + S.md5_key(42, "doc_id")
