@@ -90,3 +90,19 @@ def test_text_messages_are_decoded(spark):
     got = [(r.ok, [tuple(x) for x in r.messages or []]) for r in normalize_any(spark.createDataFrame(rows, "messages string")).collect()]
     assert got[0] == (True, [("user", "q", None), ("assistant", "a", "t")])
     assert [g[0] for g in got[1:]] == [False, False]
+
+
+def test_registries_by_name(spark):
+    import pytest
+
+    from threadmill.functions import rewards as R
+    df = spark.sql("SELECT array(named_struct('role', 'assistant', 'content', 'a', 'thinking', 't')) AS m, 'x' AS c, 'x' AS a")
+    r = df.select(*[M.adapt(f, "m").alias(f.replace(".", "_")) for f in M.ADAPTERS]).collect()[0]
+    assert r["qwen3"] == r["qwen3_5"] and r["qwen3"][0]["reasoning_content"] == "t"
+    assert r["lfm2"] == r["lfm2_5"] and r["lfm2"][0]["content"] == "<think>t</think>\na"
+    assert r["gemma4"][0]["role"] == "system" and r["gemma4"][1]["content"] == "a"
+    got = df.select(*R.rewards_by_name(["accuracy_reward", "format_reward"], "c", "a"))
+    assert got.columns == ["accuracy_reward", "format_reward"] and got.collect()[0][1] == 0.0
+    for call in (lambda: M.adapt("other", "m"), lambda: R.rewards_by_name(["other"], "c", "a")):
+        with pytest.raises(ValueError):
+            call()

@@ -275,6 +275,23 @@ def adapt_drop_thinking(m: ColumnOrName) -> Column:
     return F.transform(col(m), lambda x: msg(x["role"], x["content"]))
 
 
+# Model family -> the adapter of its chat rows.
+ADAPTERS = {
+    "qwen3.5": adapt_reasoning_field,
+    "qwen3": adapt_reasoning_field,
+    "lfm2": adapt_embed_think,
+    "lfm2.5": adapt_embed_think,
+    "gemma4": adapt_system_trigger,
+}
+
+
+def adapt(family: str, m: ColumnOrName) -> Column:
+    """K: the adapter of a model family, by name."""
+    if family not in ADAPTERS:
+        raise ValueError(f"unknown model family {family!r}; known: {', '.join(ADAPTERS)}")
+    return ADAPTERS[family](m)
+
+
 # Template parameters per family (P28): (turn prefix, text between role and content,
 # turn suffix). Real templates live in model tokenizers; ChatML is the default.
 CHATML = ("<|im_start|>", "\n", "<|im_end|>\n")

@@ -96,6 +96,21 @@ def tag_accuracy_reward(completion: ColumnOrName, answer: ColumnOrName) -> Colum
 INVALID_MOVE = "You attempted an invalid move"  # fixed value
 
 
+# Reward name -> Column of a completion and its reference answer.
+REWARDS = {
+    "format_reward": lambda completion, answer: tag_format_reward(completion),
+    "accuracy_reward": tag_accuracy_reward,
+}
+
+
+def rewards_by_name(names: list[str], completion: ColumnOrName, answer: ColumnOrName) -> list[Column]:
+    """K: the rewards of a run, given by name and in that order, each under its name."""
+    unknown = [n for n in names if n not in REWARDS]
+    if unknown:
+        raise ValueError(f"unknown rewards {unknown}; known: {', '.join(REWARDS)}")
+    return [REWARDS[n](completion, answer).alias(n) for n in names]
+
+
 def invalid_move_reward(feedback: ColumnOrName, reward: ColumnOrName) -> Column:
     """Reward forced to 0 when the new feedback reports an invalid move."""
     return F.when(F.contains(F.coalesce(col(feedback), F.lit("")), F.lit(INVALID_MOVE)), 0.0).otherwise(col(reward))
