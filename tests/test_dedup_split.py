@@ -216,3 +216,19 @@ def test_reward_delta_against_plain_lists(spark):
     assert backfill(reg, facts, "id", "outcome", "quality").where("outcome is null").count() == 1
     with pytest.raises(Exception, match="no quality for id 1"):
         backfill(reg, facts, "id", "outcome", "quality", strict=True).collect()
+
+
+def test_source_audit_reads_whole_sources(spark):
+    """A source that turns bad after its first 2,000 ids, and a long raw row."""
+    import json
+
+    from threadmill.operators.stats import AUDIT_CHARS, AUDIT_SAMPLE, source_audit
+    good = [("late", i, json.dumps({"response": f"{i} " + "word " * 200})) for i in range(2000)]
+    bad = [("late", i, json.dumps({"response": "same junk"})) for i in range(2000, 6000)]
+    raw = [("raw", i, f"{i} " + "x" * 5000) for i in range(4)]
+    df = spark.createDataFrame(good + bad + raw, "s string, id long, j string")
+    got = {r.s: r for r in source_audit(df, "s", "id", "j").collect()}
+    assert (got["late"].m, got["late"].uniq, got["late"].verdict) == (6000, round(2001 / 6000, 6), "DROP")
+    assert (got["late"].pfx_top, got["late"].mlen, got["raw"].mlen) == (round(4000 / 6000, 6), 9, 5002)
+    ref = {r.s: r for r in source_audit(df, "s", "id", "j", AUDIT_SAMPLE, AUDIT_CHARS).collect()}
+    assert (ref["late"].m, ref["late"].verdict, ref["raw"].mlen) == (2000, "DROP(non-agentic)", 4000)

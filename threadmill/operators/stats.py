@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadmill.functions.scrub import PREAMBLE_TEXT
 from threadmill.functions.text import ColumnOrName, ascii_share, col
 from threadmill.operators.splits import first_n_per_group
+from threadmill.session import materialize
 
 
 def count_share(df: DataFrame, key: str, out_key: str | None = None) -> DataFrame:
@@ -32,20 +33,26 @@ def length_stats(df: DataFrame, length: ColumnOrName, limits: tuple[int, ...] =
     return df.agg(*aggs)
 
 
-# Audit sample size, markers, the synthetic opener and the KEEP gate.
+# Markers, the synthetic opener and the KEEP gate; the reference's audit
+# reads the first rows of a source only, and a prefix of rows of unknown shape.
 AUDIT_SAMPLE = 2000
+AUDIT_CHARS = 4000
 AGENTIC_MARKERS = ["tool_calls", '"Bash"', '"Read"', '"Edit"', '"Write"', "sessionId",
                    "<think>", "reasoning_content", "[Tool:", "[tool:"]
 LARP = PREAMBLE_TEXT  # the synthetic corpus opener
 RESPONSE_KEYS = ["output", "response", "completion", "solution", "content", "text"]
 
 
-def with_audit_response(df: DataFrame, json_col: str) -> DataFrame:
+def with_audit_response(df: DataFrame, json_col: str, max_chars: int | None = None) -> DataFrame:
     """Adds ``t`` (text), ``mk`` (marker), ``fmt`` for one raw row: longest assistant
     content of a ``messages`` list (else the last message as JSON text), else
-    ``thinking``, else the first non-empty of six keys, else the raw text prefix (4000
-    chars). The JSON is parsed once per row into staged columns."""
+    ``thinking``, else the first non-empty of six keys, else the raw text, whole or its
+    first ``max_chars``. The JSON is parsed once per row into staged columns."""
     rj = F.col(json_col)
+
+    def cut(c):
+        return c if max_chars is None else F.substring(c, 1, max_chars)
+
     marker = F.lit(False)
     for m in AGENTIC_MARKERS:
         marker = marker | F.contains(rj, F.lit(m))
@@ -66,8 +73,8 @@ def with_audit_response(df: DataFrame, json_col: str) -> DataFrame:
                                       F.coalesce(F.try_variant_get("_v", "$.thinking", "string"), F.lit(""))))
     # a session-style row: its ``message`` value as JSON text (compact JSON, not Python's spacing)
     d = d.withColumn("_sess", F.when(F.col("_obj") & F.try_variant_get("_v", "$.message", "variant").isNotNull(),
-                                     F.substring(F.to_json(F.try_variant_get("_v", "$.message", "variant")), 1, 4000)))
-    raw = F.substring(rj, 1, 4000)
+                                     cut(F.to_json(F.try_variant_get("_v", "$.message", "variant")))))
+    raw = cut(rj)
     from_msgs = F.when(F.col("_long") != "", F.col("_long")).otherwise(F.try_element_at("_msgs", F.lit(-1)))
     t = (F.when(F.col("_v").isNull(), raw).when(F.col("_has_msgs"), from_msgs)
          .when(F.col("_think").isNotNull(), F.col("_think"))
@@ -83,26 +90,31 @@ def with_audit_response(df: DataFrame, json_col: str) -> DataFrame:
 
 
 def source_audit(rows: DataFrame, source_col: str, id_col: str, json_col: str,
-                 sample: int = AUDIT_SAMPLE) -> DataFrame:
-    """Per-source genuineness profile over the first ``sample`` rows of each source
-    (one scan, W3) and the KEEP/DROP gate. Per-source lists are bounded by ``sample``."""
-    s = first_n_per_group(rows.select(source_col, id_col, json_col), source_col, id_col, sample)
-    s = with_audit_response(s, json_col).select(source_col, "t", "mk", "fmt")
-    s = s.withColumn("eng", ascii_share("t") >= 0.9).withColumn("pfx", F.when(F.col("t") != "",
-                                                                          F.md5(F.substring("t", 1, 120))))
-    # one pass: aggregate per (source, prefix), then per source. Distinct texts never
-    # span two prefixes, so per-prefix distinct counts add up; the length lists are
-    # bounded by the sample size.
-    by_pfx = s.groupBy(source_col, "pfx").agg(
-        F.count(F.lit(1)).alias("c"), F.count_if("eng").alias("n_eng"), F.count_distinct("t").alias("n_uniq"),
-        F.count_if("mk").alias("n_marker"), F.count_if(F.contains("t", F.lit(LARP))).alias("n_larp"),
-        F.collect_list(F.length("t")).alias("_l"), F.bool_or(F.col("fmt") == "messages").alias("_hm"))
-    per = by_pfx.groupBy(source_col).agg(
-        F.sum("c").alias("m"), F.sum("n_eng").alias("n_eng"), F.sum("n_uniq").alias("n_uniq"),
-        F.sum("n_marker").alias("n_marker"), F.sum("n_larp").alias("n_larp"),
-        F.sort_array(F.flatten(F.collect_list("_l"))).alias("_lens"),
-        F.bool_or("_hm").alias("has_messages_fmt"),
-        F.max(F.when(F.col("pfx").isNotNull(), F.col("c"))).alias("top_c"))
+                 sample: int | None = None, max_chars: int | None = None) -> DataFrame:
+    """Per-source genuineness profile over all rows of each source and the KEEP/DROP
+    gate. ``sample`` and ``max_chars`` give the reference's form: the first ``sample`` ids
+    of a source, and a prefix of rows of unknown shape."""
+    s = rows.select(source_col, id_col, json_col)
+    if sample is not None:
+        s = first_n_per_group(s, source_col, id_col, sample)
+    s = with_audit_response(s, json_col, max_chars)
+    # stage boundary: one narrow row per input row (hashes, length, flags), read by two passes
+    s = materialize(s.select(
+        F.col(source_col).alias("_src"), F.md5("t").alias("_t"),
+        F.when(F.col("t") != "", F.md5(F.substring("t", 1, 120))).alias("pfx"), F.length("t").alias("len"),
+        (ascii_share("t") >= 0.9).alias("eng"), "mk", F.contains("t", F.lit(LARP)).alias("larp"),
+        (F.col("fmt") == "messages").alias("hm")), "audit_rows")
+    # equal texts share a prefix, so the distinct counts per prefix add up
+    by_pfx = (s.groupBy("_src", "pfx", "_t").agg(F.count(F.lit(1)).alias("c"))
+              .groupBy("_src", "pfx").agg(F.sum("c").alias("c"), F.count("_t").alias("n_uniq"))
+              .groupBy(F.col("_src").alias("_psrc"))
+              .agg(F.sum("n_uniq").alias("n_uniq"), F.max(F.when(F.col("pfx").isNotNull(), F.col("c"))).alias("top_c")))
+    # the upper median: the lower one of the lengths in descending order
+    per = s.groupBy("_src").agg(
+        F.count(F.lit(1)).alias("m"), F.count_if("eng").alias("n_eng"), F.count_if("mk").alias("n_marker"),
+        F.count_if("larp").alias("n_larp"), F.bool_or("hm").alias("has_messages_fmt"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY len DESC)").alias("mlen"))
+    per = per.join(by_pfx, F.col("_src").eqNullSafe(F.col("_psrc"))).withColumnRenamed("_src", source_col)
     m = F.col("m")
     out = per.select(
         source_col, m.cast("long").alias("m"),
@@ -110,7 +122,7 @@ def source_audit(rows: DataFrame, source_col: str, id_col: str, json_col: str,
         F.round(F.coalesce(F.col("top_c") / m, F.lit(1.0)), 6).alias("pfx_top"),
         F.round(F.col("n_uniq") / m, 6).alias("uniq"),
         F.round(F.col("n_marker") / m, 6).alias("agen"),
-        F.try_element_at("_lens", (F.floor(m / 2) + 1).cast("int")).cast("long").alias("mlen"),
+        F.col("mlen").cast("long").alias("mlen"),
         F.round(F.col("n_larp") / m, 6).alias("larp"), "has_messages_fmt")
     ok = ((F.col("eng") >= 0.8) & (F.col("pfx_top") <= 0.15) & (F.col("uniq") >= 0.6) & (F.col("larp") <= 0.02)
           & ((F.col("agen") >= 0.3) | (F.col("mlen") >= 800)))
