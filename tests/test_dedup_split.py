@@ -232,3 +232,23 @@ def test_source_audit_reads_whole_sources(spark):
     assert (got["late"].pfx_top, got["late"].mlen, got["raw"].mlen) == (round(4000 / 6000, 6), 9, 5002)
     ref = {r.s: r for r in source_audit(df, "s", "id", "j", AUDIT_SAMPLE, AUDIT_CHARS).collect()}
     assert (ref["late"].m, ref["late"].verdict, ref["raw"].mlen) == (2000, "DROP(non-agentic)", 4000)
+
+
+def test_signature_of_whole_texts(spark):
+    """Rows that agree in the reference's prefixes and differ later are no copies."""
+    import json
+
+    from threadmill.operators.dedup import signature_key
+    from threadmill.plans.traces import TRACE_PREFIX, clean_traces
+
+    def trace(tail):
+        return json.dumps({"messages": [{"role": "system", "content": "s" * 1200}, {"role": "user", "content": "q" + tail},
+                                        {"role": "assistant", "content": "a" * 600 + tail}]})
+    df = spark.createDataFrame([(i, "x", trace(t)) for i, t in enumerate(["1", "2", "1"])],
+                               "id long, first_source_dataset string, row_json string")
+
+    def dups(prefix):
+        return [r.id for r in clean_traces(df, "id", ["x"], None, prefix).where("drop_reason = 'dup'").orderBy("id").collect()]
+    assert (dups(None), dups(TRACE_PREFIX)) == ([2], [1, 2])
+    pairs = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "a string, b string")
+    assert pairs.select(signature_key("a", "b")).distinct().count() == 2

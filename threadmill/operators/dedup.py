@@ -21,10 +21,13 @@ def sha256_key(c: ColumnOrName) -> Column:
     return F.sha2(strip(F.coalesce(col(c), F.lit(""))), 256)
 
 
-def signature_key(a: ColumnOrName, a_len: int, b: ColumnOrName, b_len: int) -> Column:
-    """D1b/D1c key: md5(a[:a_len] || '||' || b[:b_len])."""
-    return F.md5(F.concat(F.substring(F.coalesce(col(a), F.lit("")), 1, a_len), F.lit("||"),
-                          F.substring(F.coalesce(col(b), F.lit("")), 1, b_len)))
+def signature_key(a: ColumnOrName, b: ColumnOrName, prefix: tuple[int, int] | None = None) -> Column:
+    """D1b/D1c key of two whole texts: md5(md5(a) || md5(b)). With ``prefix`` the reference's
+    form over their first characters: md5(a[:prefix[0]] || '||' || b[:prefix[1]])."""
+    a, b = F.coalesce(col(a), F.lit("")), F.coalesce(col(b), F.lit(""))
+    if prefix is None:
+        return F.md5(F.concat(F.md5(a), F.md5(b)))
+    return F.md5(F.concat(F.substring(a, 1, prefix[0]), F.lit("||"), F.substring(b, 1, prefix[1])))
 
 
 def _winners(keyed: DataFrame, order_cols: list[str]) -> DataFrame:

@@ -144,7 +144,12 @@ _SYN_CLEAN = (
 )
 
 
-def _synthetic_clean(spark, sf_dir):
+_SYN_PREFIX = (300, 400)   # the reference compares these prefixes of question and answer
+_SYN_WHOLE = _SYN_CLEAN.replace("md5(substring(user, 1, 300) || '||' || substring(clean, 1, 400))",
+                                "md5(user) || md5(clean)")
+
+
+def _synthetic_clean(spark, sf_dir, prefix=None):
     d = table(spark, sf_dir, "documents")
     k4 = F.col("doc_id") % 4
     body = F.expr("substring(text, 201)")
@@ -159,31 +164,54 @@ def _synthetic_clean(spark, sf_dir):
     r = (F.when((F.col("user") == "") | (F.col("a") == ""), "empty").when(has_stub_marker("a"), "stub")
          .when(F.length("clean") < 40, "empty"))
     s = s.withColumn("drop_reason", r)
-    s = flag_first_seen(s, signature_key("user", 300, "clean", 400), ["doc_id"], "_first",
+    s = flag_first_seen(s, signature_key("user", "clean", prefix), ["doc_id"], "_first",
                         eligible=F.col("drop_reason").isNull())
     return s.withColumn("drop_reason", F.coalesce("drop_reason", F.when(~F.col("_first"), F.lit("dup")))).drop("_first")
 
 
-@register("synthetic_clean", _SYN_CLEAN + " SELECT doc_id, coalesce(r1, CASE WHEN rn > 1 THEN 'dup' END) AS drop_reason, "
-          "length(clean)::BIGINT AS clean_len, md5(clean) AS clean_md5 FROM s4")
-def synthetic_clean(spark, sf_dir):
-    """P19 + P20 + D1c + P21: boilerplate strip, stub drop, short drop, signature dedup."""
-    s = _synthetic_clean(spark, sf_dir)
+_SYN_ROWS = (" SELECT doc_id, coalesce(r1, CASE WHEN rn > 1 THEN 'dup' END) AS drop_reason, "
+             "length(clean)::BIGINT AS clean_len, md5(clean) AS clean_md5 FROM s4")
+_SYN_RATE = (" SELECT count(*) FILTER (WHERE coalesce(r1, CASE WHEN rn > 1 THEN 'dup' END) "
+             "IS NULL) AS kept, count(*) AS total, round(count(*) FILTER (WHERE coalesce(r1, CASE WHEN rn > 1 THEN 'dup' "
+             "END) IS NULL) / count(*), 6) AS survivor_rate FROM s4")
+
+
+def _syn_rows(s):
     return s.select("doc_id", "drop_reason", F.length("clean").cast("long").alias("clean_len"),
                     F.md5("clean").alias("clean_md5"))
 
 
-@register("survivor_rate", _SYN_CLEAN + " SELECT count(*) FILTER (WHERE coalesce(r1, CASE WHEN rn > 1 THEN 'dup' END) "
-          "IS NULL) AS kept, count(*) AS total, round(count(*) FILTER (WHERE coalesce(r1, CASE WHEN rn > 1 THEN 'dup' "
-          "END) IS NULL) / count(*), 6) AS survivor_rate FROM s4")
-def survivor_rate(spark, sf_dir):
-    """Kept / total of the synthetic clean."""
-    s = _synthetic_clean(spark, sf_dir)
+def _syn_rate(s):
     kept = F.count_if(F.col("drop_reason").isNull())
     return s.agg(kept.alias("kept"), F.count(F.lit(1)).alias("total"),
                  F.round(kept / F.count(F.lit(1)), 6).alias("survivor_rate"))
 
 
+@register("synthetic_clean", _SYN_CLEAN + _SYN_ROWS)
+def synthetic_clean(spark, sf_dir):
+    """P19 + P20 + D1c + P21: boilerplate strip, stub drop, short drop, signature dedup in the
+    reference's form (prefixes); ``synthetic_clean_whole`` compares whole texts."""
+    return _syn_rows(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
+
+
+@register("synthetic_clean_whole", _SYN_WHOLE + _SYN_ROWS)
+def synthetic_clean_whole(spark, sf_dir):
+    """P19 + P20 + D1c + P21 with the signature of whole texts."""
+    return _syn_rows(_synthetic_clean(spark, sf_dir))
+
+
+@register("survivor_rate", _SYN_CLEAN + _SYN_RATE)
+def survivor_rate(spark, sf_dir):
+    """Kept / total of the synthetic clean (reference form)."""
+    return _syn_rate(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
+
+
+@register("survivor_rate_whole", _SYN_WHOLE + _SYN_RATE)
+def survivor_rate_whole(spark, sf_dir):
+    """Kept / total of the synthetic clean of whole texts."""
+    return _syn_rate(_synthetic_clean(spark, sf_dir))
+
+
 # flat rows with an optional system prompt and embedded think tags in some answers
 _FLATQA_SQL = (
     S.FLAT + ", fq AS (SELECT doc_id, problem, CASE WHEN doc_id % 7 = 3 THEN '<think>' || substring(solution, 1, 30) || "

@@ -22,15 +22,19 @@ from threadmill.session import materialize
 # Reference defaults for the keep-set and decoy rule are repository names of its
 # corpora; callers pass their own source values.
 DECOY_CATEGORY = "decoy"
+# The reference compares these prefixes of context and response.
+TRACE_PREFIX = (1000, 500)
 
 
 def _field(v, name: str):
     return F.try_variant_get(v, f"$.{name}", "string")
 
 
-def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_source: str | None) -> DataFrame:
+def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_source: str | None,
+                 prefix: tuple[int, int] | None = None) -> DataFrame:
     """``rows``: (id, first_source_dataset, row_json). Returns every kept-source row with
-    ``drop_reason`` and, for kept rows, the clean trace columns."""
+    ``drop_reason`` and, for kept rows, the clean trace columns. Duplicates agree in the whole
+    context and response, or with ``prefix`` in their first characters (``TRACE_PREFIX``)."""
     d = rows.where(F.col("first_source_dataset").isin(keep_sources))
     d = d.withColumn("_v", F.try_parse_json("row_json"))
     is_obj = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
@@ -88,7 +92,7 @@ def clean_traces(rows: DataFrame, id_col: str, keep_sources: list[str], decoy_so
          .withColumn("context_length", F.length("context"))
          .withColumn("response_length", F.length("response"))
          .withColumn("task_type", M.task_type("cot_length", "output_type")))
-    d = d.withColumn("_sig", signature_key("context", 1000, "response", 500))
+    d = d.withColumn("_sig", signature_key("context", "response", prefix))
     keep = [c for c in d.columns if c not in ("_v", "_raw", "_red_messages", "_red_thinking", "_red_response",
                                               "_red_output_type", "_q")]
     # stage boundary: every row-level step is done once and written to the shared
