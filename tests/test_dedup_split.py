@@ -252,3 +252,24 @@ def test_signature_of_whole_texts(spark):
     assert (dups(None), dups(TRACE_PREFIX)) == ([2], [1, 2])
     pairs = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "a string, b string")
     assert pairs.select(signature_key("a", "b")).distinct().count() == 2
+
+
+def test_corpus_rows_are_source_and_id(spark, monkeypatch):
+    """Ids that met a row of another source in source_rank * 2**40 + id: both sources keep theirs."""
+    from threadmill.plans import corpus
+    kept = []
+    split = corpus.stratified_split
+
+    def spy(u, *a):
+        kept.extend((r.source, r._user) for r in u.select("source", "_user").collect())
+        return split(u, *a)
+    monkeypatch.setattr(corpus, "stratified_split", spy)
+    big = 1 << 40
+    answer = "A long enough answer that passes the quality filter of the corpus build, word by word."
+
+    def source(rows):
+        return spark.createDataFrame([(i, u, answer) for i, u in rows], "_rid long, problem string, solution string")
+    first = source([(big + 5, "one"), (big - 1, "two"), (1, "three")])
+    second = source([(5, "three"), (-1, "four"), (7, "five")])
+    corpus.build_corpus(spark, [(first, "a", "m"), (second, "b", "m")]).collect()
+    assert sorted(kept) == [("a", "one"), ("a", "three"), ("a", "two"), ("b", "five"), ("b", "four")]

@@ -68,7 +68,8 @@ def build_corpus(spark: SparkSession, sources: list[tuple[DataFrame, str, str]],
     quality filter (P9) -> exact dedup on the first user text (D1) -> near dedup (D2) ->
     domain tags (P22) -> stratified split (W2) -> sft/grpo layout (P25, S7).
 
-    Returns rows per (config, split). Row order for "first seen" is (source rank, row id).
+    Returns rows per (config, split). Row order for "first seen", and the identity of a row, is
+    the pair (source rank, row id).
     """
     from threadmill.functions import messages as M
     from threadmill.operators.near_dedup import near_dedup
@@ -77,7 +78,7 @@ def build_corpus(spark: SparkSession, sources: list[tuple[DataFrame, str, str]],
 
     norm = [(normalize_any(df).where("ok").select("_rid", "messages"), src, model) for df, src, model in sources]
     u = load_sources(spark, norm)
-    u = u.withColumn("_order", F.col("source_rank") * F.lit(1 << 40) + F.col("_rid"))
+    u = u.withColumn("_order", F.struct("source_rank", "_rid"))
     last = M.last_message("messages")
     u = u.withColumn("_q", quality_reason(last["content"], min_answer_len)).where(F.col("_q").isNull()).drop("_q")
     u = u.withColumn("_user", F.coalesce(M.first_user_text("messages"), F.lit("")))
