@@ -93,6 +93,19 @@ def test_substring_dedup(spark, texts, window, seed):
     assert substring_dedup(table(spark, []), window, seed).count() == 0
 
 
+def test_substring_dedup_versions_of_one_id(spark):
+    """Rows of one id with different texts: each loses its own copied words only."""
+    from threadmill.llm.substring_dedup import substring_dedup
+    window = 6
+    passage = [f"p{i}" for i in range(30)]
+    long = [f"l{i}" for i in range(200)] + passage + ["end"]
+    short, other = ["s1", "s2"] + passage[:10] + ["s3"], [f"o{i}" for i in range(9)]
+    docs = [(1, passage), (2, long), (2, short), (2, other), (3, short)]
+    want = [(1, " ".join(passage)), (2, " ".join(long[:200] + ["end"])), (2, "s1 s2 s3"), (2, " ".join(other)), (3, "")]
+    got = substring_dedup(table(spark, [(i, " ".join(w), "s") for i, w in docs]), window, 2, texts=True).collect()
+    assert sorted((r.doc_id, r.kept_text) for r in got) == sorted(want)
+
+
 def brute_components(rows, percent=75):
     sets = {}
     for i, t in rows:

@@ -19,8 +19,8 @@ lookups join written tables, whose skewed partitions AQE splits. Hashes of words
 blocks and windows 128-bit together with their anchor.
 
 Defined results: null text has no words. A null id takes no part in comparisons and keeps all
-its words; rows that repeat an id are one document in comparisons, with a result each. An
-empty table gives an empty result; other columns are not read.
+its words; rows that repeat an id are one document in comparisons, with a result each; places in
+a text go by the id and the text's hash, as such rows may have different texts. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -86,40 +86,40 @@ def window_codes(ids: np.ndarray, window: int):
     return rolling(ids, window, _B1), rolling(mix64(ids ^ np.uint64(_B2)), window, _B2)
 
 
-_BLOCK = pa.schema([("doc_id", pa.int64()), ("anchor", pa.int64()), ("block", pa.int64()), ("first", pa.int32()), ("count", pa.int32())])
-_BLOCKS = "doc_id long, anchor long, block long, first int, count int"
+_BLOCK = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("anchor", pa.int64()), ("block", pa.int64()), ("first", pa.int32()), ("count", pa.int32())])
+_BLOCKS = "doc_id long, version long, anchor long, block long, first int, count int"
 
 
 def _blocks(window: int, seed: int):
     def run(batches):
         words = WordIds()
         for b in batches:
-            doc_ids, bodies = b.column(0).to_pylist(), b.column(1).to_pylist()
+            doc_ids, versions, bodies = (b.column(i).to_pylist() for i in range(3))
             for a in range(0, len(bodies), 256):
                 cols = []
-                for doc_id, body in zip(doc_ids[a:a + 256], bodies[a:a + 256]):
+                for doc_id, version, body in zip(doc_ids[a:a + 256], versions[a:a + 256], bodies[a:a + 256]):
                     ids = words.of(body.split())
                     anchor, place, first, count = anchors(ids, window, seed)
                     if len(anchor):
-                        cols.append((np.full(len(anchor), doc_id), signed(anchor), signed(block_codes(ids, place, first, count, window)),
-                                     first.astype(np.int32), count.astype(np.int32)))
+                        cols.append((np.full(len(anchor), doc_id), np.full(len(anchor), version), signed(anchor),
+                                     signed(block_codes(ids, place, first, count, window)), first.astype(np.int32), count.astype(np.int32)))
                 if cols:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*cols), _BLOCK.types)], schema=_BLOCK)
     return run
 
 
 def _windows(window: int):
-    """Windows of the listed blocks: (w1, w2, doc_id, at)."""
-    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())])
+    """Windows of the listed blocks: (w1, w2, doc_id, version, at)."""
+    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("at", pa.int32())])
 
     def run(batches):
         words = WordIds()
         for b in batches:
             cols = []
-            for doc_id, body, spans in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for doc_id, version, body, spans in zip(*(b.column(i).to_pylist() for i in range(4))):
                 w1, w2 = window_codes(words.of(body.split()), window)
                 at = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in spans])
-                cols.append((signed(w1[at]), signed(w2[at]), np.full(len(at), doc_id), at.astype(np.int32)))
+                cols.append((signed(w1[at]), signed(w2[at]), np.full(len(at), doc_id), np.full(len(at), version), at.astype(np.int32)))
             if cols:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*cols), schema.types)], schema=schema)
     return run
@@ -149,9 +149,15 @@ def _remove(window: int, texts: bool):
     return run
 
 
+def _source(docs: DataFrame) -> DataFrame:
+    """doc_id, version (the hash that tells texts of one id apart), body."""
+    body = text_bytes()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("version"), body.alias("body"))
+
+
 def duplicate_factors(docs: DataFrame, scratch: Scratch, window: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
-    """doc_id, first, count: runs of windows that an earlier document holds."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body")).where("doc_id is not null")
+    """doc_id, version, first, count: runs of windows that an earlier document holds."""
+    src = _source(docs).where("doc_id is not null")
     blocks = src.mapInArrow(_blocks(window, seed), _BLOCKS)
     # anchors in more than one document; "mixed" ones stand in several different blocks
     shared = blocks.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("block").alias("x"), F.max("block").alias("y"))
@@ -159,15 +165,15 @@ def duplicate_factors(docs: DataFrame, scratch: Scratch, window: int = WINDOW, s
     found = scratch.write(blocks.join(shared, "anchor"), "blocks")
     index = scratch.write(found.groupBy("anchor", "block").agg(F.min("doc_id").alias("holder")), "index")
     parsed = scratch.write(found.join(index, ["anchor", "block"]), "parsed")
-    copied = parsed.where("holder < doc_id").select("doc_id", "first", "count")
+    copied = parsed.where("holder < doc_id").select("doc_id", "version", "first", "count")
     # boundaries: windows of the first holders of blocks that differ around a shared anchor
     span = F.struct("first", "count")
-    lists = parsed.where("holder = doc_id and mixed").groupBy("doc_id").agg(F.collect_list(span).alias("spans"))
-    lists = scratch.write(lists.withColumnRenamed("doc_id", "_id"), "boundaries")
-    first_rows = src.join(lists, F.col("doc_id") == F.col("_id")).select("doc_id", "body", "spans")
-    windows = scratch.write(first_rows.mapInArrow(_windows(window), "w1 long, w2 long, doc_id long, at int"), "windows")
+    lists = parsed.where("holder = doc_id and mixed").groupBy("doc_id", "version").agg(F.collect_list(span).alias("spans"))
+    lists = scratch.write(lists, "boundaries")
+    first_rows = src.join(lists, ["doc_id", "version"]).select("doc_id", "version", "body", "spans")
+    windows = scratch.write(first_rows.mapInArrow(_windows(window), "w1 long, w2 long, doc_id long, version long, at int"), "windows")
     held = scratch.write(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("w1", "w2", "a"), "held")
-    edges = windows.join(held, ["w1", "w2"]).where("a < doc_id").select("doc_id", F.col("at").alias("first"), F.lit(1).alias("count"))
+    edges = windows.join(held, ["w1", "w2"]).where("a < doc_id").select("doc_id", "version", F.col("at").alias("first"), F.lit(1).alias("count"))
     return copied.unionByName(edges)
 
 
@@ -175,7 +181,6 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED_WORD
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, the kept text."""
     scratch = Scratch(docs.sparkSession, "substring_dedup")
     factors = duplicate_factors(docs, scratch, window, seed)
-    spans = scratch.write(factors.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("spans")).withColumnRenamed("doc_id", "_id"), "factors")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
-    j = src.join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "body", "spans")
+    spans = scratch.write(factors.groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "count")).alias("spans")), "factors")
+    j = _source(docs).join(spans, ["doc_id", "version"], "left").select("doc_id", "body", "spans")
     return j.mapInArrow(_remove(window, texts), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
