@@ -306,6 +306,21 @@ def test_classifiers_without_labels(spark, texts):
     assert keep_quality(df, labels).columns == df.columns
 
 
+def test_html_keeps_what_only_sounds_like_a_menu():
+    from threadmill.llm.html_text import main_text
+    text = "Words of an article, long enough to be found as the main text of this page."
+    for start in ('<h2 id="related-work">', '<h2 id="search-engines">', '<section id="form-and-function">',
+                  '<div class="social-sciences">', '<p class="share-price">', '<p class="notice">'):
+        end = f"</{re.match('<([a-z0-9]+)', start)[1]}>"
+        assert main_text(f"<article><p>{text}</p>{start}Inner words{end}<p>{text}</p></article>") == f"{text}\nInner words\n{text}"
+    for start in ('<div class="page-with-sidebar">', '<div class="content-sidebar">', '<div class="sidebar">', '<form action="x.aspx">'):
+        end = f"</{re.match('<([a-z0-9]+)', start)[1]}>"
+        for inner in (f"<p>{text}</p>", f"<main><p>{text}</p></main>"):
+            assert main_text(f'<body>{start}<nav><a href="/">Home</a></nav>{inner}{end}</body>') == text
+    side = '<div class="share-buttons">Share it</div><aside><article>Teaser</article></aside><div class="comments"><p>Long comment. ' + text * 3 + "</p></div>"
+    assert main_text(f"<body><article><p>{text}</p></article>{side}</body>") == text
+
+
 def test_html(spark):
     from threadmill.llm.html_text import extract_main_text, main_text
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="page-has-sidebar">

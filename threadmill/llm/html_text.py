@@ -2,7 +2,8 @@
 
 A page becomes a DOM (optional end tags implied, raw-text elements skipped). Elements that
 are never article text - menus, page headers and footers, sidebars, forms, scripts, and those
-whose class, id or role names an advert, a notice or comments - are cut off first. For every
+whose class, id or role names an advert, a notice or comments, headings and paragraphs aside -
+are cut off first, unless they hold most of the page. For every
 other node the composite density relates characters to tags, adjusted for link characters and
 link tags; the densities of its children add up to its density sum. The node with the largest
 sum leads; the smallest density on its path from the body is the threshold, and every node at
@@ -50,42 +51,81 @@ _WORDS = frozenset((
     "cookie cookies consent gdpr notice notices notification alert banner popup modal overlay newsletter subscribe subscription signup "
     "paywall login comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations "
     "widget widgets search searchbox form tags").split())
-_PLAIN = frozenset("html body article main".split())
+#: Fixed value: parts that form a compound with those names, as in ``share-buttons`` or ``main-nav``.
+_BOX = frozenset((
+    "box block bar wrap wrapper container section area list link links item items button buttons btn icon icons inner outer left right "
+    "top bottom main site page global primary secondary post posts entry article articles story stories slot unit zone row col column "
+    "text message thread count form field group panel title heading header head body footer google x").split())
+_PLAIN = frozenset("html body article main h1 h2 h3 h4 h5 h6 p".split())
+_LAYOUT = frozenset("no has with without".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "up", "kids", "cut", "chars", "tags", "links", "link_tags", "density", "sum")
+    __slots__ = ("tag", "up", "kids", "cut", "chars", "tags", "links", "link_tags", "density", "sum", "plain", "holds")
 
-    def __init__(self, tag, up, cut=False):
+    def __init__(self, tag, up, cut=0):
         self.tag, self.up, self.kids, self.cut = tag, up, [], cut
 
 
 def _names(value: str) -> bool:
     for token in value.split():
         parts = [p.lower() for p in _PARTS.findall(token)]
-        if parts and parts[0] not in ("no", "has", "with", "without") and (parts[0] in _WORDS or parts[-1] in _WORDS):
+        if not _LAYOUT.isdisjoint(parts):
+            continue
+        if any(p in _WORDS for p in parts) and all(p in _WORDS or p in _BOX for p in parts):
             return True
     return False
 
 
-def _surrounds(tag: str, attrs: str, inside_article: bool) -> bool:
+def _surrounds(tag: str, attrs: str, inside_article: bool) -> int:
+    """1: cut unless it turns out to be around the page; 2: not shown, always cut; 0: kept."""
+    if tag == "head" or _hidden(tag, attrs):
+        return 2
     if tag in _NEVER or (tag == "header" and not inside_article):
-        return True
+        return 1
     if attrs and not attrs.isspace():
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
             if key == "role" and value.lower() in _ROLES:
-                return True
-            if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and "display:none" in value.replace(" ", "").lower()):
-                return tag not in ("html", "body")
+                return 1
             if key in ("class", "id") and _names(value):
-                if tag not in _PLAIN or "comment" in value.lower():
-                    return True
+                if tag not in _PLAIN or tag in ("article", "main", "body", "html") and "comment" in value.lower():
+                    return 1
+    return 0
+
+
+def _hidden(tag: str, attrs: str) -> bool:
+    if not attrs or attrs.isspace() or tag in ("html", "body"):
+        return False
+    for key, value in _ATTR.findall(attrs):
+        key, value = key.lower(), value.strip("\"'").replace(" ", "").lower()
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value):
+            return True
     return False
 
 
+def _keep_wrappers(root: _Node) -> None:
+    """Marked elements around the page are kept: those that hold an article or most of the
+    text outside links, where the articles that stand outside hold little."""
+    order, stack = [], [(root, False, False, False)]
+    rest = 0                                      # text of articles outside marked elements
+    while stack:
+        n, link, article, marked = stack.pop()
+        order.append(n)
+        link, article, marked = link or n.tag == "a", article or n.tag in ("article", "main"), marked or n.cut > 0
+        n.plain = 0 if link else sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+        n.holds = n.tag in ("article", "main")
+        rest += n.plain if article and not marked else 0
+        stack.extend((k, link, article, marked) for k in n.kids if isinstance(k, _Node) and k.cut < 2)
+    for n in reversed(order[1:]):
+        n.up.plain, n.up.holds = n.up.plain + n.plain, n.up.holds or n.holds
+    for n in order:
+        if n.cut and (n.holds or 2 * n.plain > root.plain) and 4 * rest < n.plain:
+            n.cut = 0
+
+
 def parse(page: str) -> _Node:
     """DOM of a page; the root stands above ``html``. Text nodes are plain strings."""
     root = at = _Node("", None)
@@ -129,7 +169,7 @@ def parse(page: str) -> _Node:
             node = opened(*_ENDS[tag])
             if node is not None:
                 close(node)
-        node = _Node(tag, at, at.cut or _surrounds(tag, m.group(4), articles > 0))
+        node = _Node(tag, at, _surrounds(tag, m.group(4), articles > 0))
         at.kids.append(node)
         if not m.group(4).endswith("/") or tag not in ("path", "use", "circle"):
             at = node
@@ -137,6 +177,7 @@ def parse(page: str) -> _Node:
     rest = page[where:]
     if rest:
         at.kids.append(_BREAKS_OFF.sub("", rest))
+    _keep_wrappers(root)
     return root
 
 
