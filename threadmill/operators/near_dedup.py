@@ -19,11 +19,11 @@ Pipeline (all DataFrame operations):
    Only ``self`` recurses (along strictly richer earlier rows); it is resolved by
    iterated joins until no row is undecided, with the state checkpointed per round.
 
-Bucket sizes: a bucket of m rows yields m(m-1)/2 pairs. Buckets up to
-``max_bucket`` rows are expanded fully. Larger buckets are joined by prefix
-filtering on frequency-ordered shingles, an exact candidate generator for
-Jaccard >= t (Bayardo et al. 2007; Xiao et al. 2008): every pair that can pass the
-verification is produced, without listing all m(m-1)/2 pairs of the bucket.
+Bucket sizes: a bucket of m rows has m(m-1)/2 pairs. All buckets are joined by prefix
+filtering on frequency-ordered shingles (Bayardo et al. 2007; Xiao et al. 2008): every
+pair of a bucket that can pass the verification is produced, without listing all pairs.
+This is exact within the buckets only: a pair of Jaccard s shares a bucket with
+probability 1 - (1 - s^16)^8, which is 0.46 at 0.85, 0.81 at 0.9 and 0.99 at 0.95.
 """
 
 from __future__ import annotations
