@@ -82,6 +82,24 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup(scan(spark, sf_dir, "documents"))
 
 
+@_query(sql.COLLOCATIONS)
+def op11_collocations(spark, sf_dir):
+    from threadmill.llm.collocations import mine_collocations
+    return mine_collocations(scan(spark, sf_dir, "documents"))
+
+
+@_query(sql.SPELLING)
+def op12_spelling_variants(spark, sf_dir):
+    from threadmill.llm.spelling import group_variants
+    return group_variants(scan(spark, sf_dir, "documents"))
+
+
+@_query(sql.WARC)
+def op13_warc(spark, sf_dir):
+    from threadmill.llm.warc import archive_round_trip
+    return archive_round_trip(scan(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query()
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -100,3 +100,81 @@ c AS (SELECT root, min(node) AS component_id FROM reach GROUP BY root)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.root = d.doc_id
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, {_ASCII_LOWER} AS t FROM documents),
+piece AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
+g AS (
+  SELECT lang, w[i:i + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE f >= 30 AND len(g) > 1),
+cut AS (
+  SELECT c.lang, c.g, c.a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f)) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, g[i:i + k - 1] AS g, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, len(g) - k + 2)) AS i FROM (SELECT *, unnest(range(2, len(g))) AS k FROM c WHERE len(g) > 2))
+  GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.g = b.g WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * b.a),
+o AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ') COLLATE "binary") AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+# crc32 by its byte table (polynomial 0xEDB88320), folded over the bytes of a string
+SPELLING = rf"""
+WITH RECURSIVE bits AS (
+  SELECT i AS b, i::BIGINT AS v, 0 AS s FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL
+  SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, s + 1 FROM bits WHERE s < 8),
+tbl AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE s = 8),
+run AS (
+  SELECT doc_id, r, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_ASCII_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents)
+  GROUP BY ALL),
+hx AS (SELECT r, c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || r)) AS x FROM run),
+h AS (
+  SELECT r, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+                               lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h
+  FROM hx, tbl),
+edited AS (
+  SELECT CASE WHEN h % 97 = 0 THEN r[1:(h % length(r))::BIGINT] || r[(h % length(r))::BIGINT + 2:] ELSE r END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM edited WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cutv AS (SELECT DISTINCT word, n, word[1:i - 1] || word[i + 1:] AS cut, i FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pair AS (
+  SELECT a.word AS a, b.word AS b, b.n AS bn FROM cutv a JOIN cutv b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cutv a JOIN v b ON a.cut = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cutv a JOIN v b ON a.cut = b.word),
+near AS (SELECT a AS word, count(*) AS n_near, max(bn) AS m FROM pair GROUP BY a),
+best AS (SELECT p.a AS word, min(p.b COLLATE "binary") AS b, any_value(p.bn) AS bn FROM pair p JOIN near ON near.word = p.a AND near.m = p.bn GROUP BY p.a),
+form AS (
+  SELECT v.word, v.n, coalesce(near.n_near, 0)::BIGINT AS n_near, CASE WHEN bn >= 2 * v.n THEN b END AS form, CASE WHEN bn >= 2 * v.n THEN bn END AS form_n
+  FROM v LEFT JOIN near USING (word) LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM form
+  UNION ALL
+  SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.at WHERE form.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN form ON form.word = walk.at WHERE form.form IS NULL)
+SELECT form.word, form, root, n, n_near, form_n FROM form JOIN ends USING (word)
+"""
