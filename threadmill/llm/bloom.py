@@ -11,7 +11,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Upper bound of a filter that is sent to every executor: 16 MB.
 MAX_BITS = 1 << 27
@@ -45,26 +44,32 @@ def contains(words: np.ndarray, h: np.ndarray, block: np.ndarray) -> np.ndarray:
     return at
 
 
+#: Blocks of the filter that one task builds and that travel to the driver as one row: 64 KB.
+SEGMENT = 2048
+
+
 def build(keys: DataFrame, placed, blocks: int) -> np.ndarray:
     """The filter of ``keys``; ``placed`` turns a batch of them into (hashes, blocks).
 
-    Lanes are united by an aggregation, so the driver receives at most the filter itself.
+    Keys are routed by the part of the filter they fall into, so each part is built once and
+    the driver receives the filter itself, one row a part.
     """
-    schema = pa.schema([("at", pa.int64()), ("bits", pa.int64())])
+    schema = pa.schema([("segment", pa.int64()), ("block", pa.int64()), ("h", pa.int64())])
 
-    def run(batches):
+    def route(batches):
         for b in batches:
             h, block = placed(b)
-            if not len(h):
-                continue
-            at = np.concatenate([block * 8 + lane for lane in range(8)])
-            bits = np.concatenate([_bit(h, lane) for lane in range(8)])
-            order = np.argsort(at, kind="stable")
-            at, bits = at[order], bits[order]
-            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            yield pa.RecordBatch.from_arrays([pa.array(at[first]), pa.array(np.bitwise_or.reduceat(bits, first).astype(np.int64))], schema=schema)
-
-    got = keys.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(blocks * 8, np.uint32)
-    words[got["at"].to_numpy()] = got["bits"].to_numpy().astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array(block // SEGMENT), pa.array(block), pa.array(h.view(np.int64))], schema=schema)
+
+    def unite(key, keys):
+        bits = np.zeros(SEGMENT * 8, np.uint32)
+        h, at = keys["h"].to_numpy().view(np.uint64), (keys["block"].to_numpy() % SEGMENT) * 8
+        for lane in range(8):
+            np.bitwise_or.at(bits, at + lane, _bit(h, lane))
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    parts = keys.mapInArrow(route, "segment long, block long, h long").groupBy("segment").applyInArrow(unite, "segment long, bits binary")
+    words = np.zeros(-(-blocks // SEGMENT) * SEGMENT * 8, np.uint32)
+    for segment, bits in parts.collect():
+        words[segment * SEGMENT * 8:(segment + 1) * SEGMENT * 8] = np.frombuffer(bits, np.uint32)
     return words

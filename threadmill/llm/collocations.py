@@ -42,7 +42,7 @@ DEPTH = 4
 MINIMUM = 30
 TOP = 2000
 #: Words of one chunk, suffix rows of one sorting partition, and of a bucket that is split.
-CHUNK_WORDS, PART_ROWS, HOT_ROWS = 1 << 20, 300_000, 150_000
+CHUNK_WORDS, PART_ROWS, HOT_ROWS = 1 << 18, 200_000, 100_000
 
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _CUTS + b"\t", bytes(range(97, 123)) + b"\n" * len(_CUTS) + b" ")
@@ -216,9 +216,11 @@ def _sorted_counts(depth: int, minimum: int):
             lang = np.fromiter(map(langs.__getitem__, b.column(0).to_pylist()), np.int64, b.num_rows) + 1
             rows = np.zeros((b.num_rows, depth + 2), np.int64)   # language, words, end
             rows[:, 0] = lang
-            for i, p in enumerate(b.column(1).to_pylist()):
-                w = p.split(b" ")
-                rows[i, 1:len(w) + 1] = [vocab[x] for x in w]
+            words = pc.split_pattern(b.column(1), b" ")
+            n = pc.list_value_length(words).to_numpy()
+            coded = pc.list_flatten(words).dictionary_encode()
+            ids = np.fromiter(map(vocab.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
+            rows[np.repeat(np.arange(len(n)), n), np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n) + 1] = ids
             hot, weight = b.column(3).to_numpy(zero_copy_only=False), b.column(2).to_numpy()
             for h in (True, False):
                 if (hot == h).any():

@@ -33,8 +33,8 @@ from threadmill.llm.common import Scratch, mix64, text_bytes
 LEAST_LENGTH, LEAST_COUNT, RATIO, MODULUS = 5, 3, 2, 97
 #: Words longer than this share one shard of the filter.
 LONG = 48
-#: Probes made at once, and distinct words that a task counts before it passes them on.
-PROBES, HELD_WORDS = 1 << 20, 200_000
+#: Probes made at once, distinct words that a task counts before it passes them on, words of one task of edits.
+PROBES, HELD_WORDS, PART_WORDS = 1 << 20, 100_000, 50_000
 
 # A-Z and U+00C0 to U+00FF, as UTF-8 after A-Z became a-z (the lead byte 0xC3 is never a second byte).
 _RUN = re.compile(rb"(?:[a-z]+|\xc3[\x80-\xbf])+")
@@ -166,7 +166,8 @@ def near_pairs(vocab: DataFrame, scratch: Scratch, least: int = LEAST_LENGTH, ma
         return shards.place(w.hash, w.len)
 
     filt = sc.broadcast(bloom.build(vocab.select("word"), placed, shards.total))
-    maybe = scratch.write(vocab.mapInArrow(_edits(filt, shards, letters, least, probes), "word string, n long, near string"), "positives")
+    dealt = vocab.repartition(max(1, -(-sum(r["count"] for r in lengths) // PART_WORDS)))    # edits cost far more than the words' bytes
+    maybe = scratch.write(dealt.mapInArrow(_edits(filt, shards, letters, least, probes), "word string, n long, near string"), "positives")
     exact = vocab.select(F.col("word").alias("near"), F.col("n").alias("n_b"))
     return maybe.join(exact, "near").select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("near").alias("b"), "n_b")
 
