@@ -9,8 +9,8 @@ winners are merged by rank. Every candidate of every block is scored: no pruning
 Defined results: vectors that are null, or hold null or non-finite components, take no part;
 shorter vectors count missing terms as 0. Rows that repeat an id are separate candidates, but
 a query never meets its own id. Fewer than k candidates: all of them. Products are 64-bit
-integers; components are clipped to the range of 32 bits, which floats from embeddings never
-reach. An empty table gives an empty result.
+integers; where one may not fit, the job fails with an overflow error instead of giving another
+order. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,6 +64,8 @@ def block_top(query_ids, queries, cand_ids, cands, k: int, chunk: int = 64):
     pad = lambda x: np.pad(x, ((0, 0), (0, width - x.shape[1])))
     queries, cands = pad(queries), pad(cands)
     peak = float(np.abs(queries).max(initial=0)) * float(np.abs(cands).max(initial=0)) * width
+    if peak >= 2.0**63:
+        raise OverflowError("exact_top_k: an inner product may not fit 64 bits")
     kind = np.int32 if peak < 2**31 else np.int64
     queries, cands = queries.astype(kind), cands.astype(kind)
     lists, n = postings(cands), len(cands)
@@ -89,8 +91,8 @@ def exact_top_k(rows: DataFrame, k: int = 20, query_filter="vec_id % 20 = 0", sc
     """The ``k`` best rows for each row that ``query_filter`` selects: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
     scratch = Scratch(spark, "top_k")
-    top = F.lit(2.0**31 - 1)
-    x = F.transform(F.col("embedding").cast("array<double>"), lambda v: F.greatest(F.least(F.floor(v * scale).cast("double"), top), -top).cast("int"))
+    wide = F.raise_error(F.lit("exact_top_k: a scaled component does not fit 64 bits")).cast("long")
+    x = F.transform(F.col("embedding").cast("array<double>"), lambda v: F.when(F.abs(v * scale) < 2.0**62, F.floor(v * scale)).otherwise(wide))
     valid = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     vecs = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & valid).select("vec_id", x.alias("x"))
