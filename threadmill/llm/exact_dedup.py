@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import SPACE, Scratch, text_bytes, text_length
+from threadmill.llm.common import SPACE, Scratch, text_bytes, text_length, text_version
 
 #: Bytes of edges that one trie holds before it spills a subtree.
 TRIE_BYTES = 48 << 20
@@ -163,14 +163,6 @@ def _own(budget: int):
     return lambda batches: _batches(rows(batches), schema, 16384, None)
 
 
-def _digest(batches):
-    for b in batches:
-        keys = [raw.translate(None, SPACE) for raw in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(k) for k in keys], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in keys], pa.string())],
-            names=["doc_id", "n_bytes", "text_sha256"])
-
-
 def owners(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
     """One row per distinct normalised text: length, digest, owner's size and id, copies."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"), text_length().alias("n"))
@@ -183,13 +175,14 @@ def owners(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
-    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and the text's code_points and version."""
     scratch = Scratch(docs.sparkSession, "exact_dedup")
     # only texts with copies are looked up; written, so that AQE may split or broadcast either side
     many = scratch.write(owners(docs, budget).where("copies > 1").withColumnRenamed("n_bytes", "_n").withColumnRenamed("text_sha256", "_h"), "owners")
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body")).mapInArrow(
-        _digest, "doc_id long, n_bytes long, text_sha256 string")
+    norm = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACE.decode(), "")
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(norm).cast("long").alias("n_bytes"),
+                        F.sha2(norm.cast("binary"), 256).alias("text_sha256"), text_length().alias("n"), text_version().alias("version"))
     j = every.join(many, (F.col("n_bytes") == F.col("_n")) & (F.col("text_sha256") == F.col("_h")), "left")
     keep = F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("owner_id"))
     return j.select("doc_id", keep.alias("keep_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("group_size"),
-                    F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
+                    F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", F.col("n").alias("code_points"), "version")
