@@ -58,7 +58,7 @@ def test_exact_dedup(spark, texts):
                    for i, t in rows), key=repr)
     df = table(spark, [(i, t, "s") for i, t in rows])
     for budget in (48 << 20, 2000):           # the small budget spills subtrees all the time
-        assert sorted(map(tuple, exact_dedup(df, budget).collect()), key=repr) == want
+        assert sorted(map(tuple, exact_dedup(df, budget).drop("code_points", "version").collect()), key=repr) == want
     assert exact_dedup(table(spark, [])).count() == 0
 
 
@@ -137,13 +137,38 @@ def test_minhash_dedup(spark, texts):
             v[rnd.randrange(90)] = f"e{rnd.randrange(40)}"
         hot.append(" ".join(v))
     rows = list(enumerate([*texts, *hot]))
-    got = sorted(map(tuple, minhash_dedup(table(spark, [(i, t, "s") for i, t in rows])).collect()))
+    got = sorted(map(tuple, minhash_dedup(table(spark, [(i, t, "s") for i, t in rows])).drop("version", "group").collect()))
     assert got == sorted(brute_components(rows))
     extra = minhash_dedup(table(spark, [(None, "a b", "s"), (4, "q r s", "s"), (4, "q r s", "s"), (9, "Q  r s", "s")])).collect()
     assert sorted(((r.doc_id, r.component_id, r.kept) for r in extra), key=repr) == sorted([(None, None, True), (4, 4, True), (4, 4, True), (9, 4, False)], key=repr)
     assert minhash_dedup(table(spark, [])).count() == 0
 
 
+def test_minhash_dedup_of_an_id_with_two_texts(spark):
+    from threadmill.llm.minhash_dedup import minhash_dedup
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, "w x y z v u"), (4, "a b c d e f g"), (4, "")]
+    got = minhash_dedup(table(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [
+        (1, 56, 1, True), (1, 56, 1, True), (2, 57, 1, False), (3, 57, 1, False), (4, 0, 4, True), (4, 2, 4, True), (4, 3, 4, True)]
+    # the smallest id of a component names it, also where one id has a text in each of two components
+    rows = [(7, a), (5, a + " n"), (7, b), (9, b + " n")]
+    got = minhash_dedup(table(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(5, 5, True), (7, 5, False), (7, 7, True), (9, 7, False)]
+
+
+def test_byte_slices():
+    import pyarrow as pa
+
+    from threadmill.llm.common import byte_slices
+    sizes = [0, 3, 5, 100, 0, 0, 2, 2, 2, 2, 1]
+    b = pa.RecordBatch.from_arrays([pa.array(range(11)), pa.array([b"x" * n for n in sizes], pa.binary())], names=["i", "x"])
+    for limit in (1, 4, 8, 1000):
+        parts = list(byte_slices(b, [1], limit))
+        assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(11))
+        assert all(p.num_rows == 1 or sum(map(len, p.column(1).to_pylist())) <= limit for p in parts)
+
+
 def test_sketch_estimates_similarity():
     from threadmill.llm.minhash_dedup import sketch
     rnd = np.random.default_rng(1)
@@ -181,6 +206,20 @@ def test_mixing(spark, texts):
     assert all(abs(took[s] - aim[s]) <= longest for s in names) and sum(took.values()) <= sum(aim.values()) + 1e-6
     assert mix(table(spark, [])).count() == 0
     assert [r.taken for r in mix(table(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
+    # one id on very many rows, and rows without an id: no range holds them all, every row counts by itself
+    many = [(4, f"w{i % 7} x", "a") for i in range(3000)] + [(None, "one two three", "b")] * 2000 + [(None, f"t{i} u", "c") for i in range(2000)]
+    hot = mix(table(spark, many), range_rows=50).collect()
+    assert len(hot) == len(many) and all(0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size for r in hot)
+    for s in "abc":
+        assert abs(sum(r.taken for r in hot if r.source == s) - next(r.target for r in hot if r.source == s)) <= 6
+    # rows that repeat an id keep their own copies: each text is taken as often as its row
+    rows = [(1, "w " * 100, "s"), (1, "w", "s"), (1, "w", "s"), (2, "v v", "s"), (None, "n " * 9, "z"), (None, "n " * 9, "z"), (3, None, "z")]
+    clash = table(spark, rows).withColumnRenamed("rep", "_number").withColumnRenamed("code", "_copies")
+    plan = Counter()
+    for r in mix(clash).collect():
+        plan[r.doc_id, r.size] += r.copies
+    taken = Counter((r.doc_id, len(words(r.text))) for r in mixed_documents(clash).collect())
+    assert taken == Counter({k: n for k, n in plan.items() if n}) and mixed_documents(clash).columns == clash.columns
     out = mixed_documents(numbered(spark, texts))
     assert out.columns == df.columns and out.count() == sum(r.copies for r in mix(numbered(spark, texts)).collect())
 
@@ -279,6 +318,12 @@ def test_top_k(spark):
         assert sorted(map(tuple, exact_top_k(df, block_rows=b, block_queries=2).collect())) == want
     assert exact_top_k(df.limit(0)).count() == 0
     assert exact_top_k(df.where("vec_id in (0, 1, 2)")).count() == 2
+    # components beyond 32 bits are scored as they are; beyond 64 bits the job fails
+    big = lambda rows: exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1)
+    assert [tuple(r) for r in big([(20, [1.0]), (1, [2e9]), (2, [4e9])]).orderBy("rank").collect()] == [(20, 1, 2, 4 * 10**9), (20, 2, 1, 2 * 10**9)]
+    for rows in ([(20, [4e9]), (1, [4e9])], [(20, [1.0]), (1, [1e30])]):
+        with pytest.raises(Exception, match="64 bits"):
+            big(rows).collect()
 
 
 def test_quality_and_toxicity_on_held_out_rows(spark):
@@ -363,18 +408,45 @@ def test_pipeline(spark, tmp_path, texts):
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
 
 
-def test_pipeline_drops_rows_by_verdict(spark):
+def test_pipeline_keeps_rows_by_their_own_verdict(spark):
     from corpus_pipeline import _only
+
+    from threadmill.llm.common import text_version
     schema = "doc_id long, text string, _id int, n int"
-    verdicts = [(1, True), (2, False), (2, False), (3, True), (3, True), (4, True), (4, False), (None, False), (None, True), (9, False)]
-    docs = [(i, f"t{i}", 7, 0) for i, _ in verdicts]
-    ids = lambda keep, rows: sorted((r.doc_id for r in _only(spark.createDataFrame(rows, schema), spark.createDataFrame(keep, "doc_id long, kept boolean")).collect()), key=str)
-    assert ids(verdicts, docs) == [1, 3, 4, None, None]
-    # no id kept twice: rows are left as they are
-    once = [v for v in verdicts if v[0] != 3]
-    assert ids(once, [d for d in docs if d[0] != 3]) == [1, 4, 4, None, None]
-    assert ids([], []) == []
-    assert _only(spark.createDataFrame(docs, schema), spark.createDataFrame(verdicts, "doc_id long, kept boolean")).columns == ["doc_id", "text", "_id", "n"]
+
+    def left(rows):
+        """rows: id, text, team, rank, kept."""
+        docs = spark.createDataFrame([(i, t, n, 0) for n, (i, t, *_) in enumerate(rows)], schema)
+        verdicts = spark.createDataFrame(rows, "doc_id long, text string, team string, rank long, kept boolean").withColumn("version", text_version())
+        out = _only(docs, verdicts)
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text, r._id) for r in out.collect()), key=str)
+
+    rows = [(4, "a", "g", 0, True), (4, "b", "h", 0, False), (5, "c", "i", 0, True), (6, "c", "i", 0, False), (None, "d", None, 0, True), (None, "e", "j", 0, False)]
+    want = [(4, "a", 0), (5, "c", 2), (None, "d", 4)]
+    assert left(rows) == want
+    # another id kept twice changes nothing for id 4; equal rows become one, the smallest by all columns
+    assert left([*rows, (8, "x", "k", 0, True), (8, "x", "k", 0, True)]) == sorted([*want, (8, "x", 6)], key=str)
+    # of two kept rows of one team the smaller rank stays, whatever the ids of the rows
+    assert left([*rows, (8, "x y", "k", -3, True), (8, "xy", "k", -2, True)]) == sorted([*want, (8, "x y", 6)], key=str)
+    # different teams, same id: both stay
+    assert left([(8, "p", "k", 0, True), (8, "q", "l", 0, True)]) == [(8, "p", 0), (8, "q", 1)]
+    assert left([(None, "p", None, 0, True), (None, "q", None, 0, True)]) == [(None, "p", 0), (None, "q", 1)]
+    assert left([(1, None, "k", 0, True), (2, "", "k", 0, False)]) == [(1, None, 0)]
+
+
+def test_pipeline_stages_with_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as P
+    one = {n: f for n, f in P.STAGES}
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a b"), (1, "a  b"), (1, "a  b"), (1, "other"), (None, "a b"), (2, long), (2, "unlike " * 9), (3, long + " x"), (None, long), (None, None), (None, None)]
+    docs = table(spark, [(i, t, "s") for i, t in rows])
+    kept = sorted(((r.doc_id, r.text) for r in one["exact_dedup"](spark, docs, str(tmp_path)).collect()), key=str)
+    assert kept == sorted([(1, "a  b"), (1, "other"), (2, long), (2, "unlike " * 9), (3, long + " x"), (None, None)], key=str)
+    near = sorted(((r.doc_id, r.text) for r in one["minhash_dedup"](spark, docs, str(tmp_path)).collect()), key=str)
+    # the two rows of id 1 are one component with one row left; rows without an id stay, equal ones as one
+    assert [x for x in near if x[0] != 1] == sorted([(2, long), (2, "unlike " * 9), (None, "a b"), (None, long), (None, None)], key=str)
+    assert len([x for x in near if x[0] == 1]) == 2 and (1, "other") in near
 
 
 def test_sql_forms_match(spark):

@@ -6,6 +6,7 @@ import hashlib
 import uuid
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +57,26 @@ def text_length(col="text"):
     return F.coalesce(F.length(F.col(col).cast("string")), F.lit(0)).cast("long")
 
 
+def text_version(col="text"):
+    """A hash of the whole text: with the id, it tells rows that repeat an id apart."""
+    return F.xxhash64(text_bytes(col))
+
+
 def doc_bucket(modulus: int, col="doc_id"):
     """``crc32`` of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def byte_slices(batch, columns: list[int], limit: int = 1 << 19):
+    """Slices of a record batch whose binary ``columns`` hold at most ``limit`` bytes together (one row at least)."""
+    ends = np.r_[0, np.cumsum(sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy().astype(np.int64) for c in columns))]
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + limit, "right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 class WordIds(dict):
     """word -> 64-bit id (keyed BLAKE2b), remembered for the first ``limit`` words of a task."""
 

@@ -7,7 +7,7 @@ shingles, so that no bin stays empty; the share of equal bins is concentrated ar
 Jaccard similarity. Bands of ``rows`` bins are bucket codes: a pair at similarity 0.75 misses
 all 24 bands of 3 with probability 2e-6.
 
-Texts with equal shingle sets are one class, represented by their smallest id. Buckets are
+Texts with equal shingle sets are one class, represented by the text of its smallest id. Buckets are
 verified in two steps, with full shingle sets, and without listing the pairs of a bucket:
 
 1. Each member is compared with its bucket's leader, the member whose buckets are the most
@@ -23,7 +23,8 @@ Components grow by propagating the smallest label with pointer jumping until not
 
 Defined results: null text, and text without words, has an empty set and is its own component.
 Fewer than five words are one shingle. A null id takes no part: null component, kept. Rows that
-repeat an id are one document. Shingles are 64-bit hashes. Other columns are not read.
+repeat an id are compared each by its own text; where their components differ, so do their
+rows. Shingles are 64-bit hashes. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import Scratch, WordIds, mix64, rolling, signed, text_bytes
+from threadmill.llm.common import Scratch, WordIds, byte_slices, mix64, rolling, signed, text_bytes, text_version
 
 SHINGLE = 5
 BANDS, ROWS = 24, 3
@@ -48,6 +49,10 @@ def shingles(body: bytes, words: WordIds, width: int = SHINGLE) -> np.ndarray:
     return np.unique(rolling(ids, min(width, len(ids)), _BASE))
 
 
+#: Shingles that are hashed at once, and words that a task remembers.
+STEP, WORDS = 1 << 17, 50_000
+
+
 def sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
     """One row of ``bins`` values for each non-empty set, of all sets at once."""
     n = len(sets)
@@ -56,12 +61,12 @@ def sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
     flat, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
     high = np.uint64(0xFFFFFFFFFFFFFFFF)
     for i in range(2 * bins):
-        h = mix64(flat ^ mix64(np.array([i + 1], np.uint64)))
-        into = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64) if i < bins else np.full(len(h), i - bins)
-        # the low half orders, the high half chose the bin: put the low half first
-        key = (h << np.uint64(32)) | (h >> np.uint64(32))
-        best = np.full(n * bins, high)
-        np.minimum.at(best, owner * bins + into, key)
+        best, salt = np.full(n * bins, high), mix64(np.array([i + 1], np.uint64))
+        for a in range(0, len(flat), STEP):
+            h = mix64(flat[a:a + STEP] ^ salt)
+            into = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64) if i < bins else i - bins
+            # the low half orders, the high half chose the bin: put the low half first
+            np.minimum.at(best, owner[a:a + STEP] * bins + into, (h << np.uint64(32)) | (h >> np.uint64(32)))
         best = best.reshape(n, bins)
         new = empty & (best != high)
         out[new] = mix64(best[new] + np.uint64(i))
@@ -81,24 +86,23 @@ def band_codes(sk: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return code
 
 
-_SKETCH = "doc_id long, n long, c1 long, c2 long, bands array<long>"
+_SKETCH = "doc_id long, version long, n long, c1 long, c2 long, bands array<long>"
 
 
 def _sketches(bands: int, rows: int, width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
-        words = WordIds()
-        for b in batches:
-            doc_ids, bodies = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a in range(0, len(bodies), 128):
-                sets = [shingles(x, words, width) for x in bodies[a:a + 128]]
+        words = WordIds(limit=WORDS)
+        for batch in batches:
+            for b in byte_slices(batch, [1]):
+                sets = [shingles(x, words, width) for x in b.column(1).to_pylist()]
                 full = [s for s in sets if len(s)]
                 codes = iter(signed(band_codes(sketch(full, bands * rows), bands, rows)) if full else ())
                 c1 = [int(signed(mix64(s).sum(keepdims=True))[0]) if len(s) else 0 for s in sets]
                 c2 = [int(signed(mix64(s ^ np.uint64(_BASE)).sum(keepdims=True))[0]) if len(s) else 0 for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_ids[a:a + 128], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
+                    b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
                     pa.array([next(codes) if len(s) else [] for s in sets], pa.list_(pa.int64()))], schema=schema)
     return run
 
@@ -108,24 +112,24 @@ def _verify(width: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("linked", pa.bool_())])
 
     def run(batches):
-        words, last, left = WordIds(), None, None
+        words, last, left = WordIds(limit=WORDS), None, None
         for batch in batches:
-            out = []
-            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if a != last:
-                    last, left = a, shingles(x, words, width)
-                right = shingles(y, words, width)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                out.append((a, b, both, bool(both) and 100 * both >= percent * (len(left) + len(right) - both)))
-            if out:
+            for rows in byte_slices(batch, [2, 3]):
+                out = []
+                for a, b, x, y in zip(*(rows.column(i).to_pylist() for i in range(4))):
+                    if a != last:
+                        last, left = a, shingles(x, words, width)
+                    right = shingles(y, words, width)
+                    both = len(np.intersect1d(left, right, assume_unique=True))
+                    out.append((a, b, both, bool(both) and 100 * both >= percent * (len(left) + len(right) - both)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
     return run
 
 
 def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of ids with the shingles their full texts share, and whether that makes a link."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("x"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("y"))
+    left = texts.select(F.col("rep").alias("a"), F.col("body").alias("x"))
+    right = texts.select(F.col("rep").alias("b"), F.col("body").alias("y"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(
         _verify(width, percent), "a long, b long, shared long, linked boolean")
 
@@ -148,13 +152,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _own_shingles(width: int):
-    schema = pa.schema([("shingle", pa.int64()), ("doc_id", pa.int64())])
+    schema = pa.schema([("shingle", pa.int64()), ("rep", pa.int64())])
 
     def run(batches):
-        words = WordIds()
+        words = WordIds(limit=WORDS)
         for b in batches:
-            for a in range(0, b.num_rows, 256):
-                s = b.slice(a, 256)
+            for s in byte_slices(b, [1]):
                 ids = s.column(0).to_pylist()
                 sets = [shingles(x, words, width) for x in s.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sets)), pa.int64()),
@@ -163,19 +166,26 @@ def _own_shingles(width: int):
 
 
 def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
+    """Per row: doc_id, n_shingles, component_id, kept, the version (hash) of its text, and its group.
+
+    A group is the number of the component, null for a text that is alone: components that share
+    their smallest id, because it has several texts, differ in it.
+    """
     scratch = Scratch(docs.sparkSession, "minhash_dedup")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"), text_version().alias("version"))
     sketches = scratch.write(src.mapInArrow(_sketches(bands, rows, width), _SKETCH), "sketches")
-    # classes of equal sets; equal sets have equal bands
-    rep = F.min(F.struct("doc_id", "bands"))
-    classes = sketches.where("n > 0 and doc_id is not null").groupBy("c1", "c2", "n").agg(rep.alias("r"), F.count("*").alias("size"))
-    classes = scratch.write(classes.select("c1", "c2", "n", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"), "size"), "classes")
+    # classes of equal sets, numbered; equal sets have equal bands, and one row's text stands for all
+    first = F.min(F.struct("doc_id", "version", "bands"))
+    classes = sketches.where("n > 0 and doc_id is not null").groupBy("c1", "c2", "n").agg(first.alias("r"), F.count("*").alias("size"))
+    classes = scratch.write(classes.select("c1", "c2", "n", F.monotonically_increasing_id().alias("rep"), F.col("r.doc_id").alias("first"),
+                                           F.col("r.version").alias("version"), F.col("r.bands").alias("bands"), "size"), "classes")
     dealt = classes.select("rep", "n", F.explode("bands").alias("code"))
     crowd = scratch.write(dealt.groupBy("code").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count("*").alias("crowd")).where("x < y").select("code", "crowd"), "crowd")
     members = scratch.write(dealt.join(crowd, "code"), "members")
     busy = scratch.write(members.groupBy("rep").agg(F.sum("crowd").alias("busy")).withColumnRenamed("rep", "_rep"), "busy")
-    texts = scratch.write(src.join(busy.select("_rep"), F.col("doc_id") == F.col("_rep"), "left_semi").dropDuplicates(["doc_id"]), "texts")
+    shown = scratch.write(classes.join(busy, F.col("rep") == F.col("_rep"), "left_semi").select(F.col("first").alias("_id"), F.col("version").alias("_v"), "rep"), "shown")
+    texts = src.join(shown, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")))
+    texts = scratch.write(texts.select("rep", "body").dropDuplicates(["rep"]), "texts")
 
     # step 1: everyone in a bucket against its leader
     ranked = members.join(busy, F.col("rep") == F.col("_rep")).select("code", "rep", "n", "busy")
@@ -196,8 +206,8 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     split = left.groupBy("code").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("n").alias("least")).where("x < y")
     left = scratch.write(left.join(scratch.write(split.select("code", "least"), "split"), "code"), "left")
     ids = scratch.write(left.select(F.explode(F.array("rep", "leader")).alias("_rep")).distinct(), "left_ids")
-    some = texts.join(ids, F.col("doc_id") == F.col("_rep"), "left_semi")
-    alone = some.mapInArrow(_own_shingles(width), "shingle long, doc_id long").groupBy("shingle").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    some = texts.join(ids, F.col("rep") == F.col("_rep"), "left_semi")
+    alone = some.mapInArrow(_own_shingles(width), "shingle long, rep long").groupBy("shingle").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     alone = scratch.write(alone.where("a = b").groupBy("a").agg(F.count("*").alias("alone")).withColumnRenamed("a", "_a"), "alone")
     bound = left.join(alone, F.col("rep") == F.col("_a"), "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
     bound = bound.where(need(F.col("most"), F.col("n") + F.col("least")))
@@ -219,13 +229,15 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     if not more.isEmpty():
         labels = components(links.union(more), scratch, "labels_2")
 
-    # every row of a class has the component of its representative; classes that stay alone need no lookup
-    lab = labels.withColumnRenamed("node", "_node")
-    known = classes.join(lab, F.col("rep") == F.col("_node"), "left").select(
-        F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("n").alias("_n"), "rep", F.coalesce("label", "rep").alias("component"), "size")
-    known = scratch.write(known.where("size > 1 or component <> rep").select("_c1", "_c2", "_n", "component"), "known")
+    # every row of a class has the component of its class, named by the smallest id in it; classes that stay alone need no lookup
+    lab = scratch.write(classes.join(labels.withColumnRenamed("node", "_node"), F.col("rep") == F.col("_node"), "left")
+                        .where("size > 1 or label is not null").select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("n").alias("_n"), "first", F.coalesce("label", "rep").alias("_label")), "labelled_classes")
+    name = lab.groupBy("_label").agg(F.min("first").alias("component"))
+    known = scratch.write(lab.join(name, "_label").select("_c1", "_c2", "_n", "_label", "component"), "known")
+    scratch.drop("texts", "members", "others", "met", "labelled", "left", "bounded", "codes", "alone")
     same = (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")) & (F.col("n") == F.col("_n"))
-    j = sketches.select("doc_id", "n", "c1", "c2").join(known, same, "left")
+    j = sketches.select("doc_id", "version", "n", "c1", "c2").join(known, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return j.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                    F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "version",
+                    F.when(F.col("doc_id").isNotNull(), F.col("_label")).alias("group"))

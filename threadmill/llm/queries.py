@@ -73,13 +73,13 @@ def op8_html_text(spark, sf_dir):
 @_query(sql.MINHASH_DEDUP)
 def op9_minhash_dedup(spark, sf_dir):
     from threadmill.llm.minhash_dedup import minhash_dedup
-    return minhash_dedup(scan(spark, sf_dir, "documents"))
+    return minhash_dedup(scan(spark, sf_dir, "documents")).drop("version", "group")
 
 
 @_query(sql.EXACT_DEDUP)
 def op10_exact_dedup(spark, sf_dir):
     from threadmill.llm.exact_dedup import exact_dedup
-    return exact_dedup(scan(spark, sf_dir, "documents"))
+    return exact_dedup(scan(spark, sf_dir, "documents")).drop("code_points", "version")
 
 
 @_query(sql.COLLOCATIONS)
