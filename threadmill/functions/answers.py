@@ -150,3 +150,34 @@ def parse_guess(text: ColumnOrName) -> Column:
     use_json = F.contains(t, F.lit("guess")) & (i > 0)
     return F.when(use_json, F.when(j > i, from_json)).otherwise(plain)
 
+
+
+def boxed_contents(text: ColumnOrName) -> Column:
+    """T2 for every box: ``array<string>`` with the content of each ``\\boxed{`` in order of the
+    markers, stripped; null where its brace never closes.
+
+    One pass over the text cut behind its braces: a stack holds the open ones, and a closing
+    brace that meets a box gives its span, so nested and unbalanced boxes cost no second look.
+    """
+    parts = F.split(F.coalesce(col(text), F.lit("")), r"(?<=[{}])")
+    init = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<start:int,box:boolean>>").alias("open"),
+                    F.array().cast("array<struct<start:int,end:int>>").alias("shut"), F.array().cast("array<int>").alias("marks"))
+
+    def step(acc, part):
+        end = acc["pos"] + F.length(part)
+        opens, shuts = part.endswith("{"), part.endswith("}")
+        box = part.endswith("\\boxed{") | part.endswith("\\boxed {")
+        top = F.try_element_at(acc["open"], F.lit(-1))
+        held = F.size(acc["open"])
+        stack = (F.when(opens, F.concat(acc["open"], F.array(F.struct(end.alias("start"), box.alias("box")))))
+                 .when(shuts & (held > 0), F.slice(acc["open"], F.lit(1), held - 1)).otherwise(acc["open"]))
+        shut = F.when(shuts & F.coalesce(top["box"], F.lit(False)),
+                      F.concat(acc["shut"], F.array(F.struct(top["start"].alias("start"), (end - 1).alias("end"))))).otherwise(acc["shut"])
+        marks = F.when(opens & box, F.concat(acc["marks"], F.array(end))).otherwise(acc["marks"])
+        return F.struct(end.alias("pos"), stack.alias("open"), shut.alias("shut"), marks.alias("marks"))
+
+    def contents(acc):
+        ends = F.map_from_arrays(F.transform(acc["shut"], lambda x: x["start"]), F.transform(acc["shut"], lambda x: x["end"]))
+        return F.transform(acc["marks"], lambda m: strip(F.substring(col(text), m + 1, F.try_element_at(ends, m) - m)))
+
+    return F.aggregate(parts, init, step, contents)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.functions.scrub import scrub
+from threadmill.functions.scrub import scrub_guarded, scrub_json_texts
 from threadmill.functions.text import ColumnOrName, col, first_nonempty, nz, strip
 
 MSG_TYPE = "array<struct<role:string,content:string,thinking:string>>"
@@ -398,16 +398,19 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
 
     Content is scrubbed; thinking is the last non-empty ``reasoning_content`` of an
     assistant turn, response the last non-empty assistant content; any tool call makes
-    the output type ``tool_use``. Tool-call trees are kept as JSON text, with the
-    scrub rules run over that text. The parsed,
-    scrubbed array is a column of its own so each element is parsed and scrubbed once.
+    the output type ``tool_use``. Tool-call trees and content parts are kept as JSON text and
+    scrubbed leaf by leaf, keys untouched. The parsed, scrubbed array is a column of its own so
+    each element is parsed and scrubbed once.
     """
     msgs = F.transform(F.col(raw), lambda e: parse_trace_message(e))
     d = df.withColumn("_pm", msgs)
-    d = d.withColumn("_sm", F.transform("_pm", lambda x: F.struct(
-        x["role"].alias("role"), scrub(x["content"]).alias("content"),
-        F.when(x["parts"].isNotNull(), scrub(x["parts"])).alias("parts"),
-        F.when(_nonempty_tool_calls(x["tool_calls"]), scrub(x["tool_calls"])).alias("tool_calls"),
+    # JSON trees leave the array for the Arrow helper; rows without any send it nothing
+    trees = F.flatten(F.transform("_pm", lambda x: F.array(x["parts"], F.when(_nonempty_tool_calls(x["tool_calls"]), x["tool_calls"]))))
+    d = d.withColumn("_trees", trees)
+    d = d.withColumn("_trees", scrub_json_texts(F.when(F.exists("_trees", lambda t: t.isNotNull()), F.col("_trees"))))
+    d = d.withColumn("_sm", F.transform("_pm", lambda x, i: F.struct(
+        x["role"].alias("role"), scrub_guarded(x["content"]).alias("content"),
+        F.try_element_at("_trees", 2 * i + 1).alias("parts"), F.try_element_at("_trees", 2 * i + 2).alias("tool_calls"),
         x["reasoning_content"].alias("reasoning_content"))))
     asst = F.filter("_sm", lambda x: x["role"] == "assistant")
     thinking = F.try_element_at(F.filter(asst, lambda x: nz(x["reasoning_content"]).isNotNull()), F.lit(-1))
@@ -417,10 +420,10 @@ def reduce_trace(df: DataFrame, raw: str, prefix: str = "_red") -> DataFrame:
         "*",
         F.transform("_sm", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), x["parts"].alias("parts"),
                                               x["tool_calls"].alias("tool_calls"))).alias(f"{prefix}_messages"),
-        F.coalesce(scrub(thinking["reasoning_content"]), F.lit("")).alias(f"{prefix}_thinking"),
+        F.coalesce(scrub_guarded(thinking["reasoning_content"]), F.lit("")).alias(f"{prefix}_thinking"),
         F.coalesce(response, F.lit("")).alias(f"{prefix}_response"),
         F.when(tool, "tool_use").otherwise("text").alias(f"{prefix}_output_type"),
-    ).drop("_pm", "_sm")
+    ).drop("_pm", "_sm", "_trees")
 
 
 def has_assistant_output(m: ColumnOrName) -> Column:

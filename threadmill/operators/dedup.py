@@ -3,13 +3,16 @@
 "First seen" is the smallest order tuple (source rank, row id). The winner per key
 is found with ``min(struct(order))`` in a ``groupBy``: partial aggregation collapses a
 hot key (say, a third of all rows sharing an empty prompt) to one row per map task
-before the shuffle, so no task ever holds a whole group. Winners are then matched
-back on the unique order tuple, which spreads evenly. A ``row_number`` window
+before the shuffle, so no task ever holds a whole group. The rows that are not first, usually
+few, are then matched back on key and order tuple, which together spread evenly. A ``row_number`` window
 partitioned by the key would instead send every copy of a hot key to one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,39 +33,48 @@ def signature_key(a: ColumnOrName, b: ColumnOrName, prefix: tuple[int, int] | No
     return F.md5(F.concat(F.substring(a, 1, prefix[0]), F.lit("||"), F.substring(b, 1, prefix[1])))
 
 
-def _winners(keyed: DataFrame, order_cols: list[str]) -> DataFrame:
-    """Smallest order tuple per ``_dk``. A single numeric order column aggregates with
-    ``min`` in a hash aggregate; a tuple needs ``min(struct)`` (sort aggregate)."""
-    if len(order_cols) == 1:
-        c = order_cols[0]
-        return keyed.groupBy("_dk").agg(F.min(c).alias(c)).select(c)
-    return (keyed.groupBy("_dk").agg(F.min(F.struct(*order_cols)).alias("_w"))
-            .select(*[F.col(f"_w.{c}").alias(c) for c in order_cols]))
+def _order(order_cols: list[str]) -> Column:
+    """The order tuple, nulls last in every column."""
+    return F.struct(*[f(c) for c in order_cols for f in (lambda c: F.col(c).isNull().alias(f"{c}_null"), F.col)])
+
+
+def _later(keyed: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Keys and order tuples of the rows of ``keyed`` that are not the first of their key ``_dk``.
+
+    Only keys that occur twice are joined, on narrow columns; a key without copies, the common
+    case, leaves after the aggregation.
+    """
+    first = keyed.groupBy("_dk").agg(F.min(_order(order_cols)).alias("_w"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = keyed.select("_dk", *order_cols).join(first.select(F.col("_dk").alias("_k"), "_w"), F.col("_dk") == F.col("_k"))
+    return rows.where(_order(order_cols) != F.col("_w")).select(F.col("_dk").alias("_ld"), *[F.col(c).alias(f"_l{i}") for i, c in enumerate(order_cols)]).distinct()
+
+
+def _same_order(df: DataFrame, order_cols: list[str]) -> Column:
+    return reduce(and_, [df[c].eqNullSafe(F.col(f"_l{i}")) for i, c in enumerate(order_cols)], df["_dk"] == F.col("_ld"))
 
 
 def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
                     out_col: str = "is_first", eligible: Column | None = None) -> DataFrame:
-    """Add boolean ``out_col``: row is the first (smallest ``order_cols``) of its key.
+    """Add boolean ``out_col``: row is the first (smallest ``order_cols``, nulls last) of its key.
 
-    ``order_cols`` must identify a row uniquely. Rows where ``eligible`` is false take
-    no part (they keep ``out_col`` = null), e.g. rows already dropped by a filter.
+    Rows where ``eligible`` is false take no part (they keep ``out_col`` = null), e.g. rows
+    already dropped by a filter. ``order_cols`` should identify a row: rows that repeat the whole
+    tuple are flagged alike. Only the rows that are not first are joined back.
     """
     keyed = df.withColumn("_dk", key)
+    cands = keyed
     if eligible is not None:
         keyed = keyed.withColumn("_elig", eligible)
         cands = keyed.where(F.col("_elig"))
-    else:
-        cands = keyed
-    winners = _winners(cands, order_cols).withColumn("_win", F.lit(True))
-    out = keyed.join(winners, order_cols, "left")
-    flag = F.coalesce(F.col("_win"), F.lit(False))
+    later = _later(cands, order_cols).withColumn("_lost", F.lit(True))
+    out = keyed.join(later, _same_order(keyed, order_cols), "left")
+    flag = F.col("_lost").isNull()
     if eligible is not None:
         flag = F.when(F.col("_elig"), flag)
-    return out.withColumn(out_col, flag).drop("_dk", "_win", "_elig")
+    return out.withColumn(out_col, flag).drop("_dk", "_ld", "_lost", "_elig", *[f"_l{i}" for i in range(len(order_cols))])
 
 
 def keep_first_seen(df: DataFrame, key: Column, order_cols: list[str]) -> DataFrame:
     """Drop later copies; ``exact_dedup`` of the reference."""
     keyed = df.withColumn("_dk", key)
-    winners = _winners(keyed, order_cols)
-    return keyed.join(winners, order_cols, "left_semi").drop("_dk")
+    return keyed.join(_later(keyed, order_cols), _same_order(keyed, order_cols), "left_anti").drop("_dk")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadmill.functions.text import ColumnOrName, col, nz
-from threadmill.operators.ranking import flag_first_k, md5_order_key
+from threadmill.operators.ranking import cut_keys, flag_first_k, md5_order_key
 
 SPLIT_SEED = 42  # fixed value: the reference's split seed
 
@@ -79,18 +79,40 @@ def first_n_per_group(df: DataFrame, group_col: str, order_col: str, n: int,
     """First n rows per group in ``order_col`` order (one scan, not one per group).
 
     A window over a whole group would put a hot group in one task. Instead the
-    narrow ``(group, order)`` projection is ranked within ``salt_buckets`` slices of
-    each group; the union of every slice's first n holds the group's first n, so the
-    n-th value is found among at most ``salt_buckets * n`` rows per group. Rows up to
-    that cutoff are then numbered (at most n per group).
+    narrow ``(group, order)`` projection is counted per distinct order value and ranked within
+    ``salt_buckets`` slices of each group; the union of every slice's first n values holds the
+    group's n-th row, so the cutoff is found among at most ``salt_buckets * n`` values per group.
+    Rows up to that cutoff are then numbered, rows that share the last value included, and cut at n.
+    Nulls come first in the order; a null group is a group.
     """
-    narrow = df.select(group_col, order_col).withColumn(
-        "_salt", F.pmod(F.xxhash64(order_col), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(group_col, "_salt").orderBy(order_col)
-    cands = narrow.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
-    w2 = Window.partitionBy(group_col).orderBy(order_col)
-    cuts = (cands.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n)
-            .groupBy(F.col(group_col).alias("_grp")).agg(F.max(order_col).alias("_cut")))
-    kept = (df.join(cuts, df[group_col].eqNullSafe(F.col("_grp"))).drop("_grp")
-            .where(F.col(order_col) <= F.col("_cut")).drop("_cut"))
-    return kept.withColumn(out_col, F.row_number().over(w2))
+    g, o = F.col(group_col).alias("_g"), F.col(order_col).alias("_o")
+    values = df.select(g, o).groupBy("_g", "_o").agg(F.count(F.lit(1)).alias("_c"))
+    values = values.withColumn("_salt", F.pmod(F.xxhash64("_o"), F.lit(salt_buckets)))
+    cands = values.withColumn("_r", F.row_number().over(Window.partitionBy("_g", "_salt").orderBy("_o"))).where(F.col("_r") <= n)
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy("_g").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rank = F.struct(F.col("_o").isNotNull().alias("a"), F.col("_o").alias("b"))
+    cuts = cands.withColumn("_before", before).where(F.col("_before") < n).groupBy("_g").agg(F.max(rank).alias("_cut"))
+    own = F.struct(F.col(order_col).isNotNull().alias("a"), F.col(order_col).alias("b"))
+    kept = df.join(cuts, df[group_col].eqNullSafe(F.col("_g"))).where(own <= F.col("_cut")).drop("_g", "_cut")
+    first = Window.partitionBy(group_col).orderBy(order_col)
+    return kept.withColumn(out_col, F.row_number().over(first)).where(F.col(out_col) <= n)
+
+
+def staged_split(df: DataFrame, id_col: str, sizes: list[int], seed: int = SPLIT_SEED, out_col: str = "stage") -> DataFrame:
+    """Disjoint stages of the given sizes in seeded hash order, 1 first; 0 for the rows after the last stage.
+
+    All borders come from one refined histogram of the hash (``ranking.cut_keys``), and a row finds
+    its stage by comparing its own hash with them: no window over rows, no join. Rows that repeat
+    an id share its stage (a null id counts as the empty text).
+    """
+    keyed = df.withColumn("_ok", md5_order_key(seed, id_col))
+    ends = [sum(sizes[:i + 1]) for i in range(len(sizes))]
+    stage = F.lit(None).cast("int")
+    open_end = False
+    cuts = iter(cut_keys(keyed, "_ok", [e for e in ends if e > 0]))
+    for i, cut in enumerate([next(cuts) if e > 0 else "" for e in ends], 1):
+        if cut is None:                       # the table ends in this stage
+            stage, open_end = F.coalesce(stage, F.lit(i)), True
+            break
+        stage = F.coalesce(stage, F.when(F.col("_ok") <= cut, F.lit(i)))
+    return keyed.withColumn(out_col, stage if open_end else F.coalesce(stage, F.lit(0))).drop("_ok")

@@ -96,23 +96,17 @@ def heldout_accuracy(spark, sf_dir):
 
 
 @register("staged_samples", "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY " + S.md5_key(42, "o_orderkey")
-          + ") AS hr FROM orders), s AS (SELECT CASE WHEN hr <= 10000 THEN 1 ELSE 2 + (hr - 10001) // 20000 END AS stage "
-          "FROM r WHERE hr <= 70000) SELECT stage, count(*) AS n, sum(count(*)) OVER (ORDER BY stage ROWS BETWEEN UNBOUNDED "
-          "PRECEDING AND CURRENT ROW)::BIGINT AS cumulative FROM s GROUP BY stage")
+          + ") AS hr FROM orders), s AS (SELECT CASE WHEN hr <= 10000 THEN 1 WHEN hr <= 70000 THEN 2 + (hr - 10001) // 20000 "
+          "ELSE 0 END AS stage FROM r) SELECT stage::BIGINT AS stage, count(*) AS n, sum(count(*)) OVER (ORDER BY stage = 0, stage "
+          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS cumulative FROM s GROUP BY stage")
 def staged_samples(spark, sf_dir):
-    """Disjoint stages (10,000 then 20,000 rows, four stages) in seeded hash order,
-    with the running total. The sample size is bounded by the plan (70,000 rows), so it
-    is taken with a distributed top-k and ranked within that bounded set."""
-    from threadmill.operators.ranking import md5_order_key
-    o = table(spark, sf_dir, "orders").select("o_orderkey").withColumn("_k", md5_order_key(42, "o_orderkey"))
-    first, per, stages = 10000, 20000, 4
-    total = first + per * (stages - 1)
-    top = o.orderBy("_k").limit(total)
-    r = top.withColumn("hr", F.row_number().over(Window.orderBy("_k")))
-    s = r.select(F.when(F.col("hr") <= first, 1).otherwise(2 + F.floor((F.col("hr") - first - 1) / per)).alias("stage"))
-    c = s.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("stage").rowsBetween(Window.unboundedPreceding, 0)
-    return c.select(F.col("stage").cast("long").alias("stage"), "n", F.sum("n").over(w).alias("cumulative"))
+    """Disjoint stages (10,000 then three of 20,000 rows) in seeded hash order over the whole
+    table, with the running total; stage 0 is the remainder. Borders come from one histogram."""
+    from threadmill.operators.splits import staged_split
+    s = staged_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", [10000, 20000, 20000, 20000])
+    c = s.groupBy(F.col("stage").cast("long").alias("stage")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy(F.col("stage") == 0, "stage").rowsBetween(Window.unboundedPreceding, 0)
+    return c.select("stage", "n", F.sum("n").over(w).alias("cumulative"))
 
 
 def _repr_conversations(spark, sf_dir):

@@ -92,3 +92,13 @@ def stream_daily_snapshots(spark, sf_dir):
     snap = spark.read.parquet(out)
     return snap.groupBy("day").agg(F.max_by("n", "batch_id").alias("n"),
                                    F.round(F.max_by("total", "batch_id"), 6).alias("total"))
+
+
+@register("stream_first_seen", "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def stream_first_seen(spark, sf_dir):
+    """X3 without a watermark: first event of each user and type, against all earlier batches."""
+    out, ck = _paths(spark, "first_seen")
+    e = _stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = e.withColumn("key", F.concat_ws("|", F.col("user_id").cast("string"), "event_type"))
+    J.incremental_first_seen(e, "key", ["event_id"], out, ck).awaitTermination()
+    return spark.read.parquet(out).select("user_id", "event_type", "event_id")

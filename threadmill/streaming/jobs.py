@@ -58,3 +58,36 @@ def daily_totals(stream: DataFrame, ts_col: str = "ts", value_col: str = "value"
     """X4 input: running totals per day; a day's state goes once the watermark has passed it."""
     days = stream.withWatermark(ts_col, watermark).groupBy(F.window(ts_col, "1 day").alias("w"))
     return days.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")).select(F.to_date("w.start").alias("day"), "n", "total")
+
+
+def first_seen_writer(key_col: str, order_cols: list[str], out_path: str):
+    """X3 without a watermark: a row passes when its key was in no earlier batch, whatever the delay.
+
+    The output itself is the seen set: the first row of each key (smallest ``order_cols`` of its
+    batch, nulls last) is written to the batch's own partition. A batch compares its keys with the
+    partitions of earlier batches only and overwrites its own, so a replayed batch gives the same
+    rows. Only the keys of the output that also occur in the batch are joined.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        order = F.struct(*[x for c in order_cols for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))])
+        first = batch.groupBy(F.col(key_col).alias("_k")).agg(F.min(F.struct(order.alias("o"), F.struct(*batch.columns).alias("row"))).alias("_w"))
+        first = first.select("_k", "_w.row.*")
+        if batch_id > 0 and _exists(spark, out_path):
+            seen = spark.read.parquet(out_path).where(F.col("batch_id") < batch_id).select(F.col(key_col).alias("_s"))
+            again = seen.join(first.select("_k"), F.col("_s").eqNullSafe(F.col("_k")), "left_semi").distinct()
+            first = first.join(again, F.col("_k").eqNullSafe(F.col("_s")), "left_anti")
+        first.drop("_k").write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return write
+
+
+def incremental_first_seen(stream: DataFrame, key_col: str, order_cols: list[str], out_path: str, checkpoint: str):
+    """Run ``first_seen_writer`` over what has arrived since the last run."""
+    return (stream.writeStream.foreachBatch(first_seen_writer(key_col, order_cols, out_path))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
