@@ -4,7 +4,7 @@
 is found with ``min(struct(order))`` in a ``groupBy``: partial aggregation collapses a
 hot key (say, a third of all rows sharing an empty prompt) to one row per map task
 before the shuffle, so no task ever holds a whole group. The rows that are not first, usually
-few, are then matched back on key and order tuple, which together spread evenly. A ``row_number`` window
+few, are then matched back on the order tuple, which spreads evenly. A ``row_number`` window
 partitioned by the key would instead send every copy of a hot key to one task.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadmill.functions.text import ColumnOrName, col, strip
+from threadmill.session import materialize
 
 
 def sha256_key(c: ColumnOrName) -> Column:
@@ -38,19 +39,24 @@ def _order(order_cols: list[str]) -> Column:
     return F.struct(*[f(c) for c in order_cols for f in (lambda c: F.col(c).isNull().alias(f"{c}_null"), F.col)])
 
 
-def _later(keyed: DataFrame, order_cols: list[str]) -> DataFrame:
-    """Keys and order tuples of the rows of ``keyed`` that are not the first of their key ``_dk``.
+def _later(df: DataFrame, key: Column, order_cols: list[str]) -> DataFrame:
+    """Keys and order tuples of the rows of ``df`` that are not the first of their key.
 
-    Only keys that occur twice are joined, on narrow columns; a key without copies, the common
-    case, leaves after the aggregation.
+    Keys are computed once and written beside the order columns. Only keys that occur twice are
+    joined, on these narrow rows; a key without copies, the common case, leaves after the
+    aggregation.
     """
+    keyed = materialize(df.select(key.alias("_dk"), *order_cols), "dedup_keys")
     first = keyed.groupBy("_dk").agg(F.min(_order(order_cols)).alias("_w"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = keyed.select("_dk", *order_cols).join(first.select(F.col("_dk").alias("_k"), "_w"), F.col("_dk") == F.col("_k"))
-    return rows.where(_order(order_cols) != F.col("_w")).select(F.col("_dk").alias("_ld"), *[F.col(c).alias(f"_l{i}") for i, c in enumerate(order_cols)]).distinct()
+    rows = keyed.join(first.select(F.col("_dk").alias("_ld"), "_w"), F.col("_dk") == F.col("_ld"))
+    return rows.where(_order(order_cols) != F.col("_w")).select("_ld", *[F.col(c).alias(f"_l{i}") for i, c in enumerate(order_cols)]).distinct()
 
 
-def _same_order(df: DataFrame, order_cols: list[str]) -> Column:
-    return reduce(and_, [df[c].eqNullSafe(F.col(f"_l{i}")) for i, c in enumerate(order_cols)], df["_dk"] == F.col("_ld"))
+def _is_row(df: DataFrame, key: Column, order_cols: list[str]) -> Column:
+    """Join condition with ``_later``: the order tuple, and the key itself only where the tuple holds a null."""
+    same = reduce(and_, [df[c].eqNullSafe(F.col(f"_l{i}")) for i, c in enumerate(order_cols)])
+    whole = reduce(and_, [F.col(f"_l{i}").isNotNull() for i in range(len(order_cols))])
+    return same & (whole | (key == F.col("_ld")))
 
 
 def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
@@ -58,23 +64,17 @@ def flag_first_seen(df: DataFrame, key: Column, order_cols: list[str],
     """Add boolean ``out_col``: row is the first (smallest ``order_cols``, nulls last) of its key.
 
     Rows where ``eligible`` is false take no part (they keep ``out_col`` = null), e.g. rows
-    already dropped by a filter. ``order_cols`` should identify a row: rows that repeat the whole
-    tuple are flagged alike. Only the rows that are not first are joined back.
+    already dropped by a filter. ``order_cols`` identify a row where they hold no null: rows that
+    repeat the whole tuple are flagged alike. Only the rows that are not first are joined back.
     """
-    keyed = df.withColumn("_dk", key)
-    cands = keyed
-    if eligible is not None:
-        keyed = keyed.withColumn("_elig", eligible)
-        cands = keyed.where(F.col("_elig"))
-    later = _later(cands, order_cols).withColumn("_lost", F.lit(True))
-    out = keyed.join(later, _same_order(keyed, order_cols), "left")
+    later = _later(df if eligible is None else df.where(eligible), key, order_cols).withColumn("_lost", F.lit(True))
+    out = df.join(later, _is_row(df, key, order_cols), "left")
     flag = F.col("_lost").isNull()
     if eligible is not None:
-        flag = F.when(F.col("_elig"), flag)
-    return out.withColumn(out_col, flag).drop("_dk", "_ld", "_lost", "_elig", *[f"_l{i}" for i in range(len(order_cols))])
+        flag = F.when(eligible, flag)
+    return out.withColumn(out_col, flag).drop("_ld", "_lost", *[f"_l{i}" for i in range(len(order_cols))])
 
 
 def keep_first_seen(df: DataFrame, key: Column, order_cols: list[str]) -> DataFrame:
     """Drop later copies; ``exact_dedup`` of the reference."""
-    keyed = df.withColumn("_dk", key)
-    return keyed.join(_later(keyed, order_cols), _same_order(keyed, order_cols), "left_anti").drop("_dk")
+    return df.join(_later(df, key, order_cols), _is_row(df, key, order_cols), "left_anti")

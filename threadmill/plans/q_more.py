@@ -140,15 +140,14 @@ def repr_messages_decode(spark, sf_dir):
 
 
 @register("tool_call_scrub", "WITH " + S.TRACE_META + " SELECT event_id, " + S.scrub("row_json") + " AS row_json "
-          "FROM trace_meta WHERE contains(row_json, 'tool_calls')")
+          "FROM trace_meta")
 def tool_call_scrub(spark, sf_dir):
     """Nested tool-call trees scrubbed leaf by leaf (keys untouched) by an Arrow UDF.
     The oracle scrubs the serialized text, which on these rows (no rule can match across
     a quote) is the same as scrubbing every leaf."""
     from threadmill.functions.scrub import scrub_json_text
     from threadmill.plans.fixtures import trace_meta
-    t = trace_meta(spark, sf_dir).where(F.col("row_json").contains("tool_calls"))
-    return t.select("event_id", scrub_json_text("row_json").alias("row_json"))
+    return trace_meta(spark, sf_dir).select("event_id", scrub_json_text("row_json").alias("row_json"))
 
 
 @register("rouge_l_scores")

@@ -78,25 +78,25 @@ _AUDIT = (
 )
 
 
-@register("source_audit", _AUDIT)
-def source_audit(spark, sf_dir):
-    """A7 + A8 + A9 + W3: genuineness profile and KEEP/DROP verdict in the reference's form,
-    over the first rows of each source; ``source_audit_whole`` profiles all of them."""
-    from threadmill.plans.fixtures import trace_meta
-    return ST.source_audit(trace_meta(spark, sf_dir), "first_source_dataset", "event_id", "row_json",
-                           ST.AUDIT_SAMPLE, ST.AUDIT_CHARS)
-
-
 _AUDIT_WHOLE = _AUDIT.replace(" WHERE rn <= 2000", "").replace("substring(rj, 1, 4000)", "rj")
 
 
-@register("source_audit_whole", _AUDIT_WHOLE)
-def source_audit_whole(spark, sf_dir):
+@register("source_audit", _AUDIT_WHOLE)
+def source_audit(spark, sf_dir):
     """A7 + A8 + A9: per-source genuineness profile and KEEP/DROP verdict over every row."""
     from threadmill.plans.fixtures import trace_meta
     return ST.source_audit(trace_meta(spark, sf_dir), "first_source_dataset", "event_id", "row_json")
 
 
+@register("source_audit_sample", _AUDIT)
+def source_audit_sample(spark, sf_dir):
+    """A7 + W3 with the reference's parameters: the first 2,000 rows of each source and 4,000
+    characters of a row of unknown shape."""
+    from threadmill.plans.fixtures import trace_meta
+    return ST.source_audit(trace_meta(spark, sf_dir), "first_source_dataset", "event_id", "row_json",
+                           ST.AUDIT_SAMPLE, ST.AUDIT_CHARS)
+
+
 @register("top_event_types", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, "
           "event_type LIMIT 3")
 def top_event_types(spark, sf_dir):

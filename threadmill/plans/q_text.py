@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from threadmill.functions import messages as M
 from threadmill.functions import rewards as R
 from threadmill.functions.answers import py_float
-from threadmill.functions.scrub import (CLOSING_PATTERN, PREAMBLE_PATTERN, PREAMBLE_TEXT, STUB_MARKERS,
+from threadmill.functions.scrub import (CLOSING_PATTERN, PREAMBLE_PATTERN, PREAMBLE_TEXT, STUB_MARKERS, scrub_guarded,
                                         has_stub_marker, scrub, strip_boilerplate)
 from threadmill.functions.text import slug, sum_of_integers
 from threadmill.operators.dedup import flag_first_seen, signature_key
 from threadmill.plans import sqltext as S
 from threadmill.plans.catalog import register
+from threadmill.session import materialize
 from threadmill.sources.tables import table
 
 EOS = "<|im_end|>"  # ChatML end-of-turn token as the default EOS
@@ -63,9 +64,9 @@ def numeric_answers(spark, sf_dir):
 _INSTR = (". First provide reasoning between <REASONING> and </REASONING>, "
           "then your numeric answer between <SOLUTION> and </SOLUTION>.")
 _TAGS_SQL = ("b AS (SELECT item_id, text || '" + _INSTR + "' AS prompt, CAST(item_id AS VARCHAR) AS answer, CASE "
-             "item_id % 3 WHEN 0 THEN '<REASONING>' || substring(text, 1, 50) || '</REASONING><SOLUTION> ' || "
-             "CAST(item_id AS VARCHAR) || ' </SOLUTION>' WHEN 1 THEN '<REASONING>x</REASONING><SOLUTION>1</SOLUTION>"
-             "<SOLUTION>2</SOLUTION>' ELSE text END AS completion FROM benchmark)")
+             "item_id % 3 WHEN 0 THEN '<REASONING>' || text || '</REASONING><SOLUTION> ' || "
+             "CAST(item_id AS VARCHAR) || ' </SOLUTION>' WHEN 1 THEN '<REASONING>' || text || '</REASONING><SOLUTION>1</SOLUTION>"
+             "<SOLUTION>' || text || '</SOLUTION>' ELSE text END AS completion FROM benchmark)")
 
 
 @register("tag_rewards", "WITH " + _TAGS_SQL + " SELECT item_id, md5(prompt) AS prompt_md5, ((CASE WHEN "
@@ -78,9 +79,9 @@ def tag_rewards(spark, sf_dir):
     """P32 + R2 + R3: instruction template, tag-format and tag-accuracy rewards."""
     b = table(spark, sf_dir, "benchmark")
     k = F.col("item_id") % 3
-    comp = (F.when(k == 0, F.concat(F.lit("<REASONING>"), F.substring("text", 1, 50), F.lit("</REASONING><SOLUTION> "),
+    comp = (F.when(k == 0, F.concat(F.lit("<REASONING>"), F.col("text"), F.lit("</REASONING><SOLUTION> "),
                                     F.col("item_id").cast("string"), F.lit(" </SOLUTION>")))
-            .when(k == 1, F.lit("<REASONING>x</REASONING><SOLUTION>1</SOLUTION><SOLUTION>2</SOLUTION>"))
+            .when(k == 1, F.concat(F.lit("<REASONING>"), F.col("text"), F.lit("</REASONING><SOLUTION>1</SOLUTION><SOLUTION>"), F.col("text"), F.lit("</SOLUTION>")))
             .otherwise(F.col("text")))
     b = b.select("item_id", F.concat("text", F.lit(_INSTR)).alias("prompt"), comp.alias("completion"),
                  F.col("item_id").cast("string").alias("answer"))
@@ -159,13 +160,13 @@ def _synthetic_clean(spark, sf_dir, prefix=None):
     a = F.concat(a, F.when(F.col("doc_id") % 6 == 0, F.lit(" *This response was generated to exemplify reasoning for "
                                                            "training purposes.*")).otherwise(F.lit("")),
                  F.when(F.col("doc_id") % 25 == 0, F.lit(" // Full implementation")).otherwise(F.lit("")))
-    s = d.select("doc_id", scrub(F.substring("text", 1, 200)).alias("user"), a.alias("a"))
+    s = d.select("doc_id", scrub_guarded(F.substring("text", 1, 200)).alias("user"), a.alias("a"))
     s = s.withColumn("clean", strip_boilerplate("a"))
     r = (F.when((F.col("user") == "") | (F.col("a") == ""), "empty").when(has_stub_marker("a"), "stub")
          .when(F.length("clean") < 40, "empty"))
-    s = s.withColumn("drop_reason", r)
-    s = flag_first_seen(s, signature_key("user", "clean", prefix), ["doc_id"], "_first",
-                        eligible=F.col("drop_reason").isNull())
+    # stage boundary: strip, scrub and signature once; the dedup reads narrow columns and the flag joins few rows
+    s = materialize(s.select("doc_id", "clean", r.alias("drop_reason"), signature_key("user", "clean", prefix).alias("_sig")), "synthetic_rows")
+    s = flag_first_seen(s, F.col("_sig"), ["doc_id"], "_first", eligible=F.col("drop_reason").isNull()).drop("_sig")
     return s.withColumn("drop_reason", F.coalesce("drop_reason", F.when(~F.col("_first"), F.lit("dup")))).drop("_first")
 
 
@@ -187,29 +188,28 @@ def _syn_rate(s):
                  F.round(kept / F.count(F.lit(1)), 6).alias("survivor_rate"))
 
 
-@register("synthetic_clean", _SYN_CLEAN + _SYN_ROWS)
+@register("synthetic_clean", _SYN_WHOLE + _SYN_ROWS)
 def synthetic_clean(spark, sf_dir):
-    """P19 + P20 + D1c + P21: boilerplate strip, stub drop, short drop, signature dedup in the
-    reference's form (prefixes); ``synthetic_clean_whole`` compares whole texts."""
-    return _syn_rows(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
+    """P19 + P20 + D1c + P21: boilerplate strip, stub drop, short drop, signature dedup of whole texts."""
+    return _syn_rows(_synthetic_clean(spark, sf_dir))
 
 
-@register("synthetic_clean_whole", _SYN_WHOLE + _SYN_ROWS)
-def synthetic_clean_whole(spark, sf_dir):
-    """P19 + P20 + D1c + P21 with the signature of whole texts."""
-    return _syn_rows(_synthetic_clean(spark, sf_dir))
+@register("synthetic_clean_prefix", _SYN_CLEAN + _SYN_ROWS)
+def synthetic_clean_prefix(spark, sf_dir):
+    """The same with signatures of the first characters, the reference's parameter."""
+    return _syn_rows(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
 
 
-@register("survivor_rate", _SYN_CLEAN + _SYN_RATE)
+@register("survivor_rate", _SYN_WHOLE + _SYN_RATE)
 def survivor_rate(spark, sf_dir):
-    """Kept / total of the synthetic clean (reference form)."""
-    return _syn_rate(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
+    """Kept / total of the synthetic clean."""
+    return _syn_rate(_synthetic_clean(spark, sf_dir))
 
 
-@register("survivor_rate_whole", _SYN_WHOLE + _SYN_RATE)
-def survivor_rate_whole(spark, sf_dir):
-    """Kept / total of the synthetic clean of whole texts."""
-    return _syn_rate(_synthetic_clean(spark, sf_dir))
+@register("survivor_rate_prefix", _SYN_CLEAN + _SYN_RATE)
+def survivor_rate_prefix(spark, sf_dir):
+    """A20 with signatures of the first characters."""
+    return _syn_rate(_synthetic_clean(spark, sf_dir, _SYN_PREFIX))
 
 
 # flat rows with an optional system prompt and embedded think tags in some answers
