@@ -32,6 +32,42 @@ def test_layout_mirror_and_text_only(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "txt")).columns == ["text"]
 
 
+def test_reconcile_reports_changed_rows_with_equal_counts(spark):
+    schema = "k string, a string, b string, m array<struct<x:int>>"
+    rows = [("p", "1", None, [(1,)]), ("p", None, "1", [(1,)]), ("q", "a", "b", None), ("q", "a", "b", None), (None, "z", "z", [])]
+    src = spark.createDataFrame(rows, schema)
+    ok = {r.k: r for r in IO.reconcile(src, src.repartition(5).select("m", "b", "a", "k"), ["k"]).collect()}
+    assert set(ok) == {"p", "q", None} and all(r.match and r.same_content for r in ok.values())
+    other = spark.createDataFrame([("p", "1", None, [(1,)]), ("p", "1", None, [(1,)]), ("q", "a", "b", None), ("new", "a", "b", None), (None, "z", "z", [])], schema)
+    got = {r.k: (r.n_src, r.n_dst, r.same_content, r.match) for r in IO.reconcile(src, other, ["k"]).collect()}
+    assert got == {"p": (2, 2, False, False), "q": (2, 1, False, False), "new": (None, 1, False, False), None: (1, 1, True, True)}
+
+
+def test_snapshot_log_survives_repeats_and_breaks(spark, tmp_path):
+    path = str(tmp_path / "log")
+    day = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    IO.commit_snapshot(day(1, 2), path, "2024-01-01")
+    IO.commit_snapshot(day(3), path, "2024-01-02", commit=False)       # broken off before the commit
+    read = lambda: sorted((r.batch, r.v) for r in IO.read_snapshots(spark, path).collect())
+    assert read() == [("2024-01-01", 1), ("2024-01-01", 2)]
+    for _ in range(2):                                                  # run again, twice
+        IO.commit_snapshot(day(3, 4), path, "2024-01-02")
+    assert read() == [("2024-01-01", 1), ("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-02", 4)]
+    assert {(r.batch, r.n) for r in spark.read.parquet(f"{path}/commits").collect()} == {("b2024-01-01", 2), ("b2024-01-02", 2)}
+
+
+def test_quarantine_accounts_for_every_line(spark, tmp_path):
+    good = ['{"a": 1, "b": "x"}', '{"a": null}', '{"b": "é", "c": [1]}', "{}"]
+    bad = {'{"a": 1': "not_json", "nope": "not_json", "[1]": "not_object", "3": "not_object", '"s"': "not_object", "null": "not_object", '{"a": "x"}': "wrong_type"}
+    (tmp_path / "one.jsonl").write_text("\n".join([*good, "", "  \t "]) + "\n", encoding="utf-8")
+    (tmp_path / "two.jsonl").write_text("\n".join([*bad, good[0]]), encoding="utf-8")
+    rows, odd = IO.read_jsonl_quarantined(spark, str(tmp_path), "a int, b string")
+    assert sorted(((r.a, r.b) for r in rows.collect()), key=str) == sorted([(1, "x"), (1, "x"), (None, None), (None, "é"), (None, None)], key=str)
+    got = odd.collect()
+    assert {r.line: r.reason for r in got} == bad and len(got) == len(bad)
+    assert all(r.file.endswith("two.jsonl") and r.block_start == 0 for r in got)
+
+
 def test_sources_union_and_json_column(spark):
     a = spark.createDataFrame([("q",)], "prompt string")
     b = spark.createDataFrame([([("user", "hi", None)],)], "messages array<struct<role:string,content:string,thinking:string>>")

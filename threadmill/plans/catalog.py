@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from threadmill.plans import q_corpus, q_dedup, q_eval, q_math, q_messages, q_more, q_results, q_sources, q_streams, q_splits, q_stats, q_text, q_tokens, q_traces  # noqa: F401
+    from threadmill.plans import q_corpus, q_dedup, q_eval, q_io, q_math, q_messages, q_more, q_results, q_sources, q_streams, q_splits, q_stats, q_text, q_tokens, q_traces  # noqa: F401

@@ -63,15 +63,79 @@ def from_json_messages(df: DataFrame, col: str = "messages",
     return df.withColumn(col, F.from_json(F.col(col), schema))
 
 
+def fingerprints(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key: rows ``n`` and an order-free fingerprint of the multiset of rows.
+
+    A row's hash is 128 bits (two halves of the MD5 of its JSON text with nulls and names); the
+    sums of the halves, in decimals that do not overflow, do not depend on order or partitions.
+    """
+    h = F.md5(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}))
+    half = lambda at: F.conv(F.substring(h, at, 16), 16, 10).cast("decimal(20,0)")
+    return df.select(*keys, half(1).alias("_h1"), half(17).alias("_h2")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_h1").alias("h1"), F.sum("_h2").alias("h2"))
+
+
+def reconcile(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key of either side: ``n_src``, ``n_dst``, ``same_content`` and ``match`` (counts and contents agree)."""
+    side = lambda df, name: fingerprints(df, keys).select(*[F.col(k).alias(f"_{name}{i}") for i, k in enumerate(keys)],
+                                                          F.col("n").alias(f"n_{name}"), F.struct("h1", "h2").alias(f"_h_{name}"))
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"_src{i}").eqNullSafe(F.col(f"_dst{i}"))
+    j = side(src, "src").join(side(dst, "dst"), same, "full_outer")
+    content = F.coalesce(F.col("_h_src") == F.col("_h_dst"), F.lit(False))
+    key = [F.when(F.col("n_src").isNotNull(), F.col(f"_src{i}")).otherwise(F.col(f"_dst{i}")).alias(k) for i, k in enumerate(keys)]
+    return j.select(*key, "n_src", "n_dst", content.alias("same_content"), (content & F.col("n_src").eqNullSafe(F.col("n_dst"))).alias("match"))
+
+
 def mirror(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Copy every config/split of a partitioned layout; returns per (config, split)
-    row counts of both sides, full-outer reconciled (``match`` false on any difference)."""
+    """Copy every config/split of a partitioned layout; row counts and contents of both sides
+    per (config, split), full-outer reconciled (``match`` false on any difference)."""
     data = spark.read.parquet(src)
     data.write.mode("overwrite").partitionBy("config", "split").parquet(dst)
-    a = data.groupBy("config", "split").agg(F.count(F.lit(1)).alias("n_src"))
-    b = spark.read.parquet(dst).groupBy("config", "split").agg(F.count(F.lit(1)).alias("n_dst"))
-    j = a.join(b, ["config", "split"], "full_outer")
-    return j.withColumn("match", F.coalesce(F.col("n_src") == F.col("n_dst"), F.lit(False)))
+    return reconcile(data, spark.read.parquet(dst), ["config", "split"])
+
+
+def commit_snapshot(df: DataFrame, path: str, batch: str, commit: bool = True) -> None:
+    """Write one batch of a snapshot log, then its commit.
+
+    The rows go to the batch's own folder, overwriting what an earlier attempt left there; the
+    commit, one row with the batch's row count, follows. Readers (``read_snapshots``) take
+    committed batches only, so a run that is repeated, or broken off between the two writes
+    (``commit=False`` shows that state), leaves one copy or none.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{root}/data/batch=b{batch}")
+    if commit:
+        n = spark.read.parquet(f"{root}/data/batch=b{batch}").agg(F.count(F.lit(1)).alias("n"))
+        n.write.mode("overwrite").parquet(f"{root}/commits/batch=b{batch}")
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the committed batches of a snapshot log; ``batch`` names each row's."""
+    root = path.rstrip("/")
+    done = spark.read.parquet(f"{root}/commits").select("batch")
+    rows = spark.read.parquet(f"{root}/data").join(done, "batch", "left_semi")
+    return rows.withColumn("batch", F.expr("substring(batch, 2)"))
+
+
+def read_jsonl_quarantined(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
+    """The good rows of JSON lines, and the malformed lines with where and why.
+
+    Good: the columns of ``schema``. Bad: ``file``, ``block_start`` (byte at which the scan's block
+    begins), ``line`` and ``reason``: ``not_json``, ``not_object`` (JSON, but no object) or
+    ``wrong_type`` (a field does not fit the schema). Lines of white space only are neither; all
+    others are in exactly one of the two.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"))
+    lines = lines.where(F.trim(F.regexp_replace("line", r"\s+", " ")) != "")
+    parsed = F.from_json("line", f"{schema}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    v = F.try_parse_json("line")
+    reason = (F.when(v.isNull(), "not_json").when(~F.schema_of_variant(v).startswith("OBJECT"), "not_object")
+              .when(parsed[CORRUPT].isNotNull(), "wrong_type"))
+    rows = lines.select("*", parsed.alias("_row"), reason.alias("reason"))
+    good = rows.where("reason is null").select("_row.*").drop(CORRUPT)
+    return good, rows.where("reason is not null").select("file", "block_start", "line", "reason")
 
 
 def append_snapshot(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
