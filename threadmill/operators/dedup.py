@@ -47,9 +47,11 @@ def _later(df: DataFrame, key: Column, order_cols: list[str]) -> DataFrame:
     aggregation.
     """
     keyed = materialize(df.select(key.alias("_dk"), *order_cols), "dedup_keys")
-    first = keyed.groupBy("_dk").agg(F.min(_order(order_cols)).alias("_w"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # one column aggregates with ``min``, which skips nulls, in a hash aggregate; a tuple needs a sort aggregate
+    order = F.col(order_cols[0]) if len(order_cols) == 1 else _order(order_cols)
+    first = keyed.groupBy("_dk").agg(F.min(order).alias("_w"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rows = keyed.join(first.select(F.col("_dk").alias("_ld"), "_w"), F.col("_dk") == F.col("_ld"))
-    return rows.where(_order(order_cols) != F.col("_w")).select("_ld", *[F.col(c).alias(f"_l{i}") for i, c in enumerate(order_cols)]).distinct()
+    return rows.where(~order.eqNullSafe(F.col("_w"))).select("_ld", *[F.col(c).alias(f"_l{i}") for i, c in enumerate(order_cols)]).distinct()
 
 
 def _is_row(df: DataFrame, key: Column, order_cols: list[str]) -> Column:

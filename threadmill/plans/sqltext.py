@@ -67,6 +67,7 @@ def word_count(e: str) -> str:
     return f"len({words(e)})"
 
 
+# The scrub patterns of ``functions.scrub`` re-spelled for RE2.
 _EMAIL = r"[A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _KEY = r"sk-[A-Za-z0-9]{20,}|ghp_[A-Za-z0-9]{20,}|AKIA[0-9A-Z]{16}"
 _SCRUB = [
