@@ -111,26 +111,27 @@ class Encoder:
 
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_FIELDS = ("row", "doc_id", "start", "length", "ids_crc32", "doc_tokens")
 
 
 def _pieces(path: str, seq_len: int, end_id: int):
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
+    schema = pa.schema([(n, pa.int64()) for n in _FIELDS])
 
-    def rows(doc_ids, texts):
-        for doc_id, ids in zip(doc_ids, Encoder.at(path).encode(texts)):
+    def cuts(rows, doc_ids, texts):
+        for row, doc_id, ids in zip(rows, doc_ids, Encoder.at(path).encode(texts)):
             ids = np.append(ids, np.array([end_id], "<u4"))
             for a in range(0, len(ids), seq_len):
                 cut = ids[a:a + seq_len]
-                yield doc_id, a, len(cut), zlib.crc32(cut.tobytes()), len(ids)
+                yield row, doc_id, a, len(cut), zlib.crc32(cut.tobytes()), len(ids)
 
     def run(batches):
         for b in batches:
             held, at = 0, 0
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            rows, ids, texts = (b.column(i).to_pylist() for i in range(3))
             for i, t in enumerate(texts):
                 held += len(t)
                 if held > 1 << 21 or i + 1 == len(texts):
-                    cols = list(zip(*rows(ids[at:i + 1], texts[at:i + 1])))
+                    cols = list(zip(*cuts(rows[at:i + 1], ids[at:i + 1], texts[at:i + 1])))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
                     held, at = 0, i + 1
 
@@ -174,16 +175,20 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 def pack(docs: DataFrame, seq_len: int = SEQ_LEN, end_id: int = END_ID, path: str | None = None,
          group_pieces: int = GROUP_PIECES, seed: int = 17) -> DataFrame:
-    """One row per piece: where it lies in its document, and in which sequence and where there."""
+    """One row per piece: where it lies in its document, and in which sequence and where there.
+
+    Pieces are dealt to groups by the number of their row, so that rows equal in everything spread too.
+    """
     scratch = Scratch(docs.sparkSession, "packing")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    pieces = scratch.write(src.mapInArrow(_pieces(path or vocabulary(), seq_len, end_id), _PIECES), "pieces")
+    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    pieces = scratch.write(src.mapInArrow(_pieces(path or vocabulary(), seq_len, end_id), "row long, " + _PIECES), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
-    dealt = pieces.withColumn("_g", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups)))
+    dealt = pieces.withColumn("_g", F.pmod(F.xxhash64(F.lit(seed), "row", "doc_id", "start"), F.lit(groups)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
+        pdf = pdf.sort_values(["doc_id", "start", "row"], kind="stable")
         bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), seq_len)
-        return pdf.assign(sequence_id=pdf["_g"] * (1 << 32) + bins, offset=offsets).drop(columns="_g")
+        return pdf.assign(sequence_id=pdf["_g"] * (1 << 32) + bins, offset=offsets).drop(columns=["_g", "row"])
 
     return dealt.groupBy("_g").applyInPandas(run, _PIECES + ", sequence_id long, offset long")
