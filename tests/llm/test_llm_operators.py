@@ -456,7 +456,7 @@ def test_sql_forms_match(spark):
 
     from threadmill.llm.queries import ORACLE, QUERIES
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "pages"):
         path = f"{sf}/{name}.parquet"
         con.execute(f"create view {name} as select * from '{path if os.path.isfile(path) else path + '/*.parquet'}'")
     for name, sql in ORACLE.items():
