@@ -41,6 +41,8 @@ _ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tfoot", "tr"}, {"table"}), "tfoot": ({"tbody", "thead", "tr"}, {"table"}), "body": ({"head"}, set()),
 }
+#: Elements that can hold a whole article.
+_HOLDS = frozenset("article aside blockquote body center div fieldset figure footer form header hgroup html main ol section table ul".split())
 _P_SCOPE = frozenset("article aside section main div td th li body html blockquote button table figure form nav header footer".split())
 _NEVER = frozenset("nav footer aside form head button select input menu dialog label datalist".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form toolbar".split())
@@ -254,15 +256,17 @@ def choose(root: _Node) -> _Node | None:
                 chosen.append(best)
                 if best is not k:
                     queue.append(k)
-    whole = [next((p for p in _path(n) if p.tag in ("article", "main")), None) for n in chosen]
-    if whole[0] is not None:
-        # the leader's article; others only where no article holds them all
-        chosen = [w for w in whole if w is not None]
     common = _path(chosen[0])
     for n in chosen[1:]:
         other = _path(n)
         common = [a for a, b in zip(common, other) if a is b]
-    return common[-1]
+    node = common[-1]
+    while node is not body and node.up is not None and node.tag not in _HOLDS:
+        node = node.up                        # a paragraph or list item is never the whole text
+    whole = next((p for p in _path(node) if p.tag in ("article", "main")), None)
+    if whole is not None and 2 * (whole.links - node.links) <= whole.chars - node.chars:
+        return whole
+    return node
 
 
 def render(node: _Node) -> str:
