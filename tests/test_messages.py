@@ -66,6 +66,26 @@ def test_render_by_family(spark):
     assert got == {r.fam: r.t for r in direct}
 
 
+def test_family_templates(spark):
+    m = [("user", "q", None), ("assistant", None, None)]
+    df = spark.createDataFrame([("gemma4", m), ("lfm2.5", m), (None, m), ("gemma4", [])], "fam string, m array<struct<role:string,content:string,thinking:string>>")
+    chatml = "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"
+    got = [(r.fam, r.text) for r in M.render_by_family(df, "m", "fam").collect()]
+    assert sorted(got, key=repr) == sorted([
+        ("gemma4", "<bos><start_of_turn>user\nq<end_of_turn>\n<start_of_turn>model\n<end_of_turn>\n"), ("lfm2.5", "<|startoftext|>" + chatml),
+        (None, chatml), ("gemma4", "<bos>")], key=repr)
+    own = M.render_by_family(df, "m", "fam", templates={"lfm2.5": M.Template("", "[", ":", "]", "bot")}).where("fam = 'lfm2.5'").collect()
+    assert own[0].text == "[user:q][bot:]"
+
+
+def test_log_history(spark):
+    from threadmill.operators.history import explode_log_history
+    full = '[{"step": 1, "loss": 0.5, "reward": 2, "completions/clipped_ratio": 0.25, "x": 1}, {"step": 2, "loss": "high"}, null, {}]'
+    df = spark.createDataFrame([("a", full), ("b", None), ("c", "[]"), ("d", "no json"), ("e", "")], "run string, h string")
+    got = [tuple(r) for r in explode_log_history(df, "h", "run").collect()]
+    assert sorted(got, key=repr) == sorted([("a", 1, 0.5, 2.0, 0.25), ("a", 2, None, None, None), ("a", None, None, None, None)], key=repr)
+
+
 def test_normalisers_take_the_fields_that_are_there(spark):
     from threadmill.plans.q_sources import normalize_any
     gpt = spark.createDataFrame([([("human", "q"), ("gpt", "<think>t</think>a")],)], "conversations array<struct<from:string,value:string>>")

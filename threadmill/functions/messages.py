@@ -8,6 +8,8 @@ explode/regroup shuffle.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -292,10 +294,28 @@ def adapt(family: str, m: ColumnOrName) -> Column:
     return ADAPTERS[family](m)
 
 
-# Template parameters per family (P28): (turn prefix, text between role and content,
-# turn suffix). Real templates live in model tokenizers; ChatML is the default.
+class Template(NamedTuple):
+    """What a chat template writes: text before the first turn, ``prefix role sep content
+    suffix`` per turn, and the name of the assistant's role."""
+
+    begin: str = ""
+    prefix: str = "<|im_start|>"
+    sep: str = "\n"
+    suffix: str = "<|im_end|>\n"
+    assistant: str = "assistant"
+
+
 CHATML = ("<|im_start|>", "\n", "<|im_end|>\n")
-TEMPLATES = {"chatml": CHATML, "qwen3": CHATML, "qwen3.5": CHATML}
+#: Turn markers as published with these families' tokenizers (the Gemma row is the
+#: published form of its third generation). Other templates are passed as rows of this kind.
+TEMPLATES = {
+    "chatml": Template(),
+    "qwen3": Template(),
+    "qwen3.5": Template(),
+    "lfm2": Template(begin="<|startoftext|>"),
+    "lfm2.5": Template(begin="<|startoftext|>"),
+    "gemma4": Template("<bos>", "<start_of_turn>", "\n", "<end_of_turn>\n", "model"),
+}
 
 
 def render_chat(m: ColumnOrName, template: tuple[str, str, str] = CHATML) -> Column:
@@ -305,24 +325,23 @@ def render_chat(m: ColumnOrName, template: tuple[str, str, str] = CHATML) -> Col
         F.lit(pre), x["role"], F.lit(sep), F.coalesce(x["content"], F.lit("")), F.lit(suf))), "")
 
 
-def template_table(spark) -> "DataFrame":
-    """Family -> (prefix, sep, suffix) as a small table; aliases map to one template."""
-    rows = [(name, *t) for name, t in TEMPLATES.items()]
-    return spark.createDataFrame(rows, "family string, t_prefix string, t_sep string, t_suffix string")
+def template_table(spark, templates: dict[str, Template] | None = None) -> "DataFrame":
+    """Family -> template parameters as a small table; aliases are rows of their own."""
+    rows = [(name, *t) for name, t in (templates or TEMPLATES).items()]
+    return spark.createDataFrame(rows, "family string, t_begin string, t_prefix string, t_sep string, t_suffix string, t_assistant string")
 
 
-def render_by_family(df: DataFrame, messages: str, family_col: str, out_col: str = "text") -> DataFrame:
+def render_by_family(df: DataFrame, messages: str, family_col: str, out_col: str = "text",
+                     templates: dict[str, Template] | None = None) -> DataFrame:
     """P28 per row: the template is looked up by family name (broadcast join with the
-    template table, bounded by the number of families; unknown families fall back to ChatML)."""
-    t = F.broadcast(template_table(df.sparkSession))
+    template table, bounded by the number of families); unknown and null families take ChatML."""
+    t = F.broadcast(template_table(df.sparkSession, templates))
     j = df.join(t, df[family_col] == t["family"], "left")
-    pre = F.coalesce(F.col("t_prefix"), F.lit(CHATML[0]))
-    sep = F.coalesce(F.col("t_sep"), F.lit(CHATML[1]))
-    suf = F.coalesce(F.col("t_suffix"), F.lit(CHATML[2]))
+    got = {n: F.coalesce(F.col(f"t_{n}"), F.lit(d)) for n, d in Template()._asdict().items()}
     # the template columns are plain column references, cheap to read per element
-    rendered = F.array_join(F.transform(F.col(messages), lambda x: F.concat(
-        pre, x["role"], sep, F.coalesce(x["content"], F.lit("")), suf)), "")
-    return j.withColumn(out_col, rendered).drop("family", "t_prefix", "t_sep", "t_suffix")
+    role = lambda x: F.when(x["role"] == "assistant", got["assistant"]).otherwise(x["role"])
+    turns = F.transform(F.col(messages), lambda x: F.concat(got["prefix"], role(x), got["sep"], F.coalesce(x["content"], F.lit("")), got["suffix"]))
+    return j.withColumn(out_col, F.concat(got["begin"], F.array_join(turns, ""))).drop("family", *[f"t_{n}" for n in got])
 
 
 def assistant_spans(m: ColumnOrName, template: tuple[str, str, str] = CHATML) -> Column:

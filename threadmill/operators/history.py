@@ -9,6 +9,19 @@ from threadmill.functions.rewards import invalid_move_reward
 from threadmill.functions.text import ColumnOrName, col
 
 
+#: Fixed value: the fields of a log history's entries and the columns they become.
+LOG_FIELDS = {"step": ("step", "long"), "loss": ("loss", "double"), "reward": ("reward", "double"), "completions/clipped_ratio": ("clipped_ratio", "double")}
+
+
+def explode_log_history(df: DataFrame, history_col: str, *keep: str) -> DataFrame:
+    """One row per entry of a ``log_history`` JSON array: the columns ``keep``, then step, loss,
+    reward and clipped ratio. A field that an entry lacks is null; so is one of another type. A null
+    text, one that is no array and an empty array give no row; other fields are not read."""
+    fields = ", ".join(f"`{name}`: {kind}" for name, (_, kind) in LOG_FIELDS.items())
+    entry = F.explode(F.from_json(F.col(history_col), f"array<struct<{fields}>>")).alias("_e")
+    return df.select(*keep, entry).where("_e is not null").select(*keep, *[F.col("_e").getField(name).alias(out) for name, (out, _) in LOG_FIELDS.items()])
+
+
 def reward_delta(logs: DataFrame, run_col: str, step_col: str, reward_col: str, k: int = 5, slices: int = 256) -> DataFrame:
     """Per run, mean of the last k minus mean of the first k logged rewards (null
     if fewer than k logs). One scan: a run is dealt into hash slices, the first and last

@@ -230,15 +230,17 @@ def reward_delta(spark, sf_dir):
     return r.select("run", "n_logs", *[F.round(c, 6).alias(c) for c in ("initial", "final", "delta")])
 
 
-@register("log_history_explode", "WITH " + _LOG_SQL + " SELECT run, step, round(reward, 6) AS reward FROM logs")
+@register("log_history_explode", "WITH " + _LOG_SQL + " SELECT run, step, round(reward, 6) AS reward, CASE WHEN step % 4 <> 0 THEN round(reward / 8, 6) END AS loss, "
+          "CASE WHEN step % 3 = 0 THEN (step % 64) / 64.0::DOUBLE END AS clipped_ratio FROM logs")
 def log_history_explode(spark, sf_dir):
-    """``log_history`` JSON arrays exploded back to (step, reward) rows. The arrays
-    are built per run and block of 1000 steps, so no document holds a whole hot run."""
-    logs = _logs(spark, sf_dir)
-    hist = (logs.groupBy("run", F.floor(F.col("step") / 1000).alias("_blk"))
-            .agg(F.to_json(F.collect_list(F.struct("step", "reward"))).alias("log_history")))
-    ex = hist.select("run", F.explode(F.from_json("log_history", "array<struct<step:long,reward:double>>")).alias("e"))
-    return ex.select("run", F.col("e.step").alias("step"), F.round("e.reward", 6).alias("reward"))
+    """``log_history`` JSON arrays exploded back to (step, loss, reward, clipped ratio) rows; some entries lack
+    a loss or a ratio. The arrays are built per run and block of 1000 steps, so no document holds a whole hot run."""
+    step = F.col("step")
+    entry = F.struct("step", F.when(step % 4 != 0, F.col("reward") / 8).alias("loss"), "reward",
+                     F.when(step % 3 == 0, (step % 64) / 64).alias("completions/clipped_ratio"), F.lit(0.5).alias("grad_norm"))
+    hist = _logs(spark, sf_dir).groupBy("run", F.floor(step / 1000).alias("_blk")).agg(F.to_json(F.collect_list(entry)).alias("log_history"))
+    ex = H.explode_log_history(hist, "log_history", "run")
+    return ex.select("run", "step", F.round("reward", 6).alias("reward"), F.round("loss", 6).alias("loss"), "clipped_ratio")
 
 
 @register("daily_trend", "SELECT CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events "

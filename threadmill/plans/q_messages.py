@@ -82,6 +82,24 @@ def render_chatml(spark, sf_dir):
     return n.select("conv_id", *_render_spark(F.col("messages")))
 
 
+_FAMILIES = ("chatml", "qwen3.5", "lfm2", "lfm2.5", "gemma4", "other")
+_MARKS = "VALUES " + ", ".join(f"({S.q(n)}, " + ", ".join(S.q(x) for x in t) + ")" for n, t in M.TEMPLATES.items())
+_TURN = ("coalesce(t.pre, '<|im_start|>') || CASE WHEN x.role = 'assistant' THEN coalesce(t.bot, 'assistant') ELSE x.role END || coalesce(t.sep, '\n') "
+         "|| coalesce(x.content, '') || coalesce(t.suf, '<|im_end|>\n')")
+
+
+@register("render_families", NORM + f", t(fam, beg, pre, sep, suf, bot) AS ({_MARKS}), "
+          f"f AS (SELECT conv_id, m, [{', '.join(map(S.q, _FAMILIES))}, NULL][conv_id % 7 + 1] AS fam FROM norm WHERE ok) "
+          "SELECT conv_id, f.fam AS family, md5(r) AS text_md5, length(r)::BIGINT AS text_len FROM (SELECT conv_id, fam, coalesce(t.beg, '') || "
+          f"array_to_string(list_transform(m, lambda x: {_TURN}), '') AS r FROM f LEFT JOIN t USING (fam)) f")
+def render_families(spark, sf_dir):
+    """Every kept conversation rendered by the template of its row's family; unknown and null families too."""
+    n = normalized_conversations(spark, sf_dir).where("ok")
+    family = F.get(F.array(*map(F.lit, _FAMILIES), F.lit(None)), (F.col("conv_id") % 7).cast("int"))
+    r = M.render_by_family(n.select("conv_id", "messages", family.alias("fam")), "messages", "fam")
+    return r.select("conv_id", F.col("fam").alias("family"), F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_len"))
+
+
 _EMBED = ("list_transform(m, lambda x: struct_pack(role := x.role, content := CASE WHEN x.role = 'assistant' AND "
           "coalesce(x.thinking, '') <> '' THEN '<think>' || x.thinking || '</think>\n' || x.content ELSE x.content END))")
 
