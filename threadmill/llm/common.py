@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,27 @@ def byte_slices(batch, columns: list[int], limit: int = 1 << 19):
         a = b
 
 
+def release_memory() -> None:
+    """Hands memory that was freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run):
+    """``run`` (iterator to iterator), followed by ``release_memory``.
+
+    Spark keeps a Python worker for later tasks: without this, each holds the most that any of its tasks took.
+    """
+    def steps(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return steps
+
+
 class WordIds(dict):
     """word -> 64-bit id (keyed BLAKE2b), remembered for the first ``limit`` words of a task."""
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import SPACE, Scratch, text_bytes, text_length, text_version
+from threadmill.llm.common import SPACE, Scratch, byte_slices, releasing, text_bytes, text_length, text_version
 
 #: Bytes of edges that one trie holds before it spills a subtree.
 TRIE_BYTES = 48 << 20
@@ -140,9 +140,10 @@ def _combine(budget: int):
         trie = PatriciaOwners(budget)
         row = lambda t: (t[0], -t[1][0], None if t[1][1] else t[1][2], t[2])
         for b in batches:
-            for doc_id, raw, n in zip(*(b.column(i).to_pylist() for i in range(3))):
-                trie.insert(raw.translate(None, SPACE), _owner(n, doc_id))
-                yield from map(row, trie.spill())
+            for s in byte_slices(b, [1]):
+                for doc_id, raw, n in zip(*(s.column(i).to_pylist() for i in range(3))):
+                    trie.insert(raw.translate(None, SPACE), _owner(n, doc_id))
+                    yield from map(row, trie.spill())
         yield from map(row, trie.drain())
 
     return lambda batches: _batches(rows(batches), schema, 4096, 0)
@@ -155,9 +156,10 @@ def _own(budget: int):
         trie = PatriciaOwners(budget)
         row = lambda t: (len(t[0]), hashlib.sha256(t[0]).hexdigest(), -t[1][0], None if t[1][1] else t[1][2], t[2])
         for b in batches:
-            for key, n, doc_id, copies in zip(*(b.column(i).to_pylist() for i in range(4))):
-                trie.insert(key, _owner(n, doc_id), copies)
-                yield from map(row, trie.spill())
+            for s in byte_slices(b, [0]):
+                for key, n, doc_id, copies in zip(*(s.column(i).to_pylist() for i in range(4))):
+                    trie.insert(key, _owner(n, doc_id), copies)
+                    yield from map(row, trie.spill())
         yield from map(row, trie.drain())
 
     return lambda batches: _batches(rows(batches), schema, 16384, None)
@@ -166,9 +168,9 @@ def _own(budget: int):
 def owners(docs: DataFrame, budget: int = TRIE_BYTES) -> DataFrame:
     """One row per distinct normalised text: length, digest, owner's size and id, copies."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"), text_length().alias("n"))
-    part = src.mapInArrow(_combine(budget), _PARTIAL)
+    part = src.mapInArrow(releasing(_combine(budget)), _PARTIAL)
     dealt = part.repartition(F.length("body"), F.xxhash64("body"))
-    found = dealt.mapInArrow(_own(budget), _DIGEST)
+    found = dealt.mapInArrow(releasing(_own(budget)), _DIGEST)
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c")))
     return (found.groupBy("n_bytes", "text_sha256").agg(best.alias("o"), F.sum("copies").alias("copies"))
             .select("n_bytes", "text_sha256", (-F.col("o.a")).alias("owner_chars"), F.col("o.c").alias("owner_id"), "copies"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import Scratch, WordIds, byte_slices, mix64, rolling, signed, text_bytes, text_version
+from threadmill.llm.common import Scratch, WordIds, byte_slices, mix64, releasing, rolling, signed, text_bytes, text_version
 
 SHINGLE = 5
 BANDS, ROWS = 24, 3
@@ -131,7 +131,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     left = texts.select(F.col("rep").alias("a"), F.col("body").alias("x"))
     right = texts.select(F.col("rep").alias("b"), F.col("body").alias("y"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(
-        _verify(width, percent), "a long, b long, shared long, linked boolean")
+        releasing(_verify(width, percent)), "a long, b long, shared long, linked boolean")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -173,7 +173,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     """
     scratch = Scratch(docs.sparkSession, "minhash_dedup")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"), text_version().alias("version"))
-    sketches = scratch.write(src.mapInArrow(_sketches(bands, rows, width), _SKETCH), "sketches")
+    sketches = scratch.write(src.mapInArrow(releasing(_sketches(bands, rows, width)), _SKETCH), "sketches")
     # classes of equal sets, numbered; equal sets have equal bands, and one row's text stands for all
     first = F.min(F.struct("doc_id", "version", "bands"))
     classes = sketches.where("n > 0 and doc_id is not null").groupBy("c1", "c2", "n").agg(first.alias("r"), F.count("*").alias("size"))
@@ -207,7 +207,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     left = scratch.write(left.join(scratch.write(split.select("code", "least"), "split"), "code"), "left")
     ids = scratch.write(left.select(F.explode(F.array("rep", "leader")).alias("_rep")).distinct(), "left_ids")
     some = texts.join(ids, F.col("rep") == F.col("_rep"), "left_semi")
-    alone = some.mapInArrow(_own_shingles(width), "shingle long, rep long").groupBy("shingle").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    alone = some.mapInArrow(releasing(_own_shingles(width)), "shingle long, rep long").groupBy("shingle").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     alone = scratch.write(alone.where("a = b").groupBy("a").agg(F.count("*").alias("alone")).withColumnRenamed("a", "_a"), "alone")
     bound = left.join(alone, F.col("rep") == F.col("_a"), "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
     bound = bound.where(need(F.col("most"), F.col("n") + F.col("least")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import Scratch
+from threadmill.llm.common import Scratch, releasing
 
 SEQ_LEN = 2048
 END_ID = 1
@@ -44,7 +44,7 @@ def vocabulary() -> str:
 class _Runs(dict):
     """Run of text -> its ids as little-endian uint32 bytes."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __init__(self, encode, lead: str):
         super().__init__()
@@ -182,7 +182,7 @@ def pack(docs: DataFrame, seq_len: int = SEQ_LEN, end_id: int = END_ID, path: st
     scratch = Scratch(docs.sparkSession, "packing")
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    pieces = scratch.write(src.mapInArrow(_pieces(path or vocabulary(), seq_len, end_id), "row long, " + _PIECES), "pieces")
+    pieces = scratch.write(src.mapInArrow(releasing(_pieces(path or vocabulary(), seq_len, end_id)), "row long, " + _PIECES), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     dealt = pieces.withColumn("_g", F.pmod(F.xxhash64(F.lit(seed), "row", "doc_id", "start"), F.lit(groups)))
 

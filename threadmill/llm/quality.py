@@ -15,14 +15,15 @@ Without labelled rows of both classes the score is the smoothed share of label 1
 from __future__ import annotations
 
 import operator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import doc_bucket, text_bytes
+from threadmill.llm.common import doc_bucket, releasing, text_bytes
 
 SAMPLE_ROWS = 20_000
 BINS = 64
@@ -154,10 +155,15 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
     return out
 
 
+def _matrix(bodies: pa.Array) -> np.ndarray:
+    """The statistics of each text, one text at a time in Python."""
+    return np.stack([statistics(x.as_py()) for x in bodies]) if len(bodies) else np.zeros((0, N_STATISTICS), np.float32)
+
+
 def _stats_udf():
-    @F.pandas_udf("array<float>")
-    def stats(body: pd.Series) -> pd.Series:
-        return pd.Series([statistics(x) for x in body])
+    @F.arrow_udf("array<float>")
+    def stats(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from releasing(lambda arrays: (pa.array(list(_matrix(a)), pa.list_(pa.float32())) for a in arrays))(bodies)
     return stats
 
 
@@ -183,10 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 
 
 def scorer(model: Forest):
-    """Pandas UDF: the UTF-8 bytes of a text -> score."""
-    @F.pandas_udf("double")
-    def score(body: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack([statistics(x) for x in body])) if len(body) else [], dtype="float64")
+    """Arrow UDF: the UTF-8 bytes of a text -> score."""
+    @F.arrow_udf("double")
+    def score(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from releasing(lambda arrays: (pa.array(model.score(_matrix(a)), pa.float64()) for a in arrays))(bodies)
     return score
 
 
