@@ -46,3 +46,12 @@ def test_labelled_sample_takes_the_smallest_hashes(spark):
     got = [bytes(r.body).decode() for r in labelled_sample(docs, labels, "quality", 100).collect()]
     assert sorted(got) == sorted(want)
     assert labelled_sample(docs, labels, "quality", 5000).count() == ids.where(open_rows).count()
+
+
+def test_bitmap_keeps_every_wanted_row_and_few_others(spark):
+    from threadmill.llm.minhash_dedup import among
+    src = spark.range(20_000).select(F.xxhash64("id").alias("version"), "id")
+    wanted = src.where("id % 40 = 0").select(F.col("version").alias("_v"))
+    got = {r.id for r in among(src, wanted, "_v").select("id").collect()}
+    assert set(range(0, 20_000, 40)) <= got and len(got) < 3_000
+    assert among(src, wanted.where("false"), "_v").count() == 0

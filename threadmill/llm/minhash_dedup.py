@@ -134,6 +134,26 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         releasing(_verify(width, percent)), "a long, b long, shared long, linked boolean")
 
 
+#: Bits of one bitmap of Spark's, and bitmaps that are broadcast at most (4 KB each, so 16 MB).
+MAP_BITS, MAPS = 32_768, 4_096
+
+
+def among(src: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of ``src`` whose version may be a ``key`` of ``wanted``, by one bit of a broadcast bitmap.
+
+    It spares the exact join that follows from shuffling most other texts. There are 16 bits to a
+    key while they fit ``MAPS``; beyond, more rows pass, which only costs work.
+    """
+    maps = min(MAPS, max(1, -(-16 * wanted.count() // MAP_BITS)))
+    slot = lambda c: F.pmod(F.col(c), F.lit(maps * MAP_BITS))
+    bits = wanted.select(F.floor(slot(key) / MAP_BITS).alias("_map"), (slot(key) % MAP_BITS).alias("_bit"))
+    bits = bits.groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    at = slot("version") % MAP_BITS
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = (F.floor(slot("version") / MAP_BITS) == F.col("_map")) & (F.getbit(byte, (at % 8).cast("int")) == 1)
+    return src.join(F.broadcast(bits), held, "left_semi")
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, label) of every node of the edges (a, b): the smallest id it reaches."""
     both = scratch.write(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), f"{name}_edges")
@@ -184,7 +204,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, width: int = SHINGLE, band
     members = scratch.write(dealt.join(crowd, "code"), "members")
     busy = scratch.write(members.groupBy("rep").agg(F.sum("crowd").alias("busy")).withColumnRenamed("rep", "_rep"), "busy")
     shown = scratch.write(classes.join(busy, F.col("rep") == F.col("_rep"), "left_semi").select(F.col("first").alias("_id"), F.col("version").alias("_v"), "rep"), "shown")
-    texts = src.join(shown, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")))
+    texts = among(src, shown, "_v").join(shown, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")))
     texts = scratch.write(texts.select("rep", "body").dropDuplicates(["rep"]), "texts")
 
     # step 1: everyone in a bucket against its leader
