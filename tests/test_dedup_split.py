@@ -273,3 +273,28 @@ def test_corpus_rows_are_source_and_id(spark, monkeypatch):
     second = source([(5, "three"), (-1, "four"), (7, "five")])
     corpus.build_corpus(spark, [(first, "a", "m"), (second, "b", "m")]).collect()
     assert sorted(kept) == [("a", "one"), ("a", "three"), ("a", "two"), ("b", "five"), ("b", "four")]
+
+
+def test_class_drops_match_loop(spark):
+    """Members of a class, or of two linked ones, are neighbours; a copy needs no pair of its own."""
+    from threadmill.operators.near_dedup import class_drops
+    rng = random.Random(5)
+    n = 60
+    th, cls = [rng.randint(0, 5) for _ in range(n)], [rng.randint(0, 11) for _ in range(n)]
+    links = [(a, b) for a in range(6) for b in range(a + 1, 6) if rng.random() < 0.4]     # classes 6 to 11 are only copies
+    linked = set(links) | {(b, a) for a, b in links}
+    nbrs = {i: {j for j in range(n) if j != i and (cls[i] == cls[j] or (cls[i], cls[j]) in linked)} for i in range(n)}
+    members = spark.createDataFrame([(i, th[i], cls[i]) for i in range(n)], "_id long, _th long, fp long")
+    got = [r[0] for r in class_drops(members, spark.createDataFrame(links, "a long, b long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == simulate(n, th, nbrs)
+
+
+def test_candidates_of_copies_are_one_row(spark):
+    """Rows of one key and set meet as one: 40 copies of each of two near texts give one candidate."""
+    from threadmill.operators.near_dedup import candidate_pairs, minhash, verified_pairs
+    sets = {"p": list(range(1000, 1200)), "q": list(range(1000, 1199)), "far": list(range(5000, 5200))}
+    rows = spark.createDataFrame([(k, s) for k, s in sets.items() for _ in range(40)], "fp string, _sh array<long>")
+    rows = rows.withColumn("sig", minhash(F.col("_sh"))).checkpoint()
+    pairs = candidate_pairs(rows, "fp")
+    assert [tuple(r) for r in pairs.collect()] == [("p", "q")]
+    assert [tuple(r) for r in verified_pairs(rows, pairs, "fp").collect()] == [("p", "q")]
