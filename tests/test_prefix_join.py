@@ -60,3 +60,22 @@ def test_similar_pairs(spark, threshold, ratio, k, seed):
 def test_similar_pairs_of_nothing(spark):
     pairs, members = similar_pairs(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text")
     assert pairs.count() == 0 and members.count() == 0
+
+
+def test_prefix_and_bitmap_bounds(spark):
+    """A class takes n - ceil(t n) + 1 shingles to the join, in one order for all; bitmaps never differ in more bits than sets in elements."""
+    import numpy as np
+    from threadmill.operators.near_dedup import parity
+    from threadmill.operators.prefix_join import shingle_classes
+    df = spark.createDataFrame([r for r in rows_of(7) if r[0] is not None], "doc_id long, text string")
+    _, classes, sets = shingle_classes(df, "doc_id", "text", 0.85)
+    got = classes.join(sets.dropDuplicates(["fp"]), "fp").collect()
+    place = {}
+    for r in got:
+        assert r.n == len(r._sh) and len(r.pre) == r.n - -(-17 * r.n // 20) + 1 and set(r.pre) <= set(r._sh)
+        for a, b in zip(r.pre, r.pre[1:]):
+            place.setdefault(a, set()).add(b)
+    assert not any(a in place.get(b, ()) for a in place for b in place[a])
+    for x, y in itertools.combinations(got[:60], 2):
+        bits = sum(int(a ^ b).bit_count() for a, b in zip(parity(np.array(x._sh)).view(np.uint64), parity(np.array(y._sh)).view(np.uint64)))
+        assert bits <= len(set(x._sh) ^ set(y._sh)) and list(parity(np.array(x._sh))) == x.bits

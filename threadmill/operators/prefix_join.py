@@ -4,39 +4,69 @@ Every pair of texts whose shingle sets reach a Jaccard threshold is found, over
 without bands (after Bayardo et al. 2007 and Xiao et al. 2008):
 
 * Texts with equal sets are one class; one member stands for it.
-* Shingles are ordered from rare to frequent over all classes. Two sets of sizes m <= n reach t
-  only if they share at least ``need = ceil(t / (1 + t) * (m + n))`` shingles, hence one among
-  the first ``n - ceil(t * n) + 1`` of each.
+* Shingles are put in one order for all sets, about from rare to frequent: by the count of the
+  2^20 slots that they hash to, then by value. The counts are as large for any input; any order
+  is right, a good one only spares work.
+* Two sets of sizes m <= n reach t only if they share at least ``need = ceil(t / (1 + t) * (m + n))``
+  shingles, hence one among the first ``n - ceil(t * n) + 1`` of each. Only these prefixes leave
+  the row of their set.
 * Prefix shingles meet in an equi-join on the shingle. A meeting at positions i and j counts
-  only where ``m >= t * n`` (length) and ``1 + min(m - i, n - j) >= need`` (position), and only
-  at the first shingle the two prefixes share, so that a pair leaves the join once.
-* Candidates are verified on whole sets.
+  only where ``m >= t * n`` (length) and ``min(m - i, n - j) >= need`` (position), which the first
+  shingle that a pair shares always meets.
+* Candidates that the parity bitmaps do not exclude are verified on whole sets; only the sets of
+  candidates are shuffled.
 
-A frequent shingle lies in few prefixes, since all rarer ones of a set come first. A shingle
-that many near copies share leads to pairs that are mostly true ones. AQE splits the join where
-a shingle is skewed.
+A shingle that many near copies share leads to pairs that are mostly true ones. AQE splits the
+join where a shingle is skewed.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.operators.near_dedup import SHINGLE_WORDS, THRESHOLD, shingle_hashes, shingle_words
+from threadmill.operators.near_dedup import (SHINGLE_WORDS, THRESHOLD, class_key, may_reach, pair_sets, parity, shingle_hashes,
+                                             shingle_words, unpacked)
 from threadmill.session import materialize
 
+#: Shingles are counted by so many leading bits of their hash (4 MB of counts).
+SLOT_BITS = 20
 
-def shingle_classes(df: DataFrame, id_col: str, text_col: str, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(id, rep) of every row with an id and words, and (rep, n, sh) of every class: its smallest id,
-    the number of its shingles and the sorted set."""
+
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """Shingles of all rows by slot: at most 2^SLOT_BITS counts, however large the input."""
+    slot = F.shiftrightunsigned("h", 64 - SLOT_BITS).cast("int").alias("slot")
+    got = sets.select(F.explode("sh").alias("h")).groupBy(slot).agg(F.count(F.lit(1)).alias("c")).toPandas()
+    counts = np.zeros(1 << SLOT_BITS, np.uint32)
+    counts[got["slot"].to_numpy(np.int64)] = np.minimum(got["c"].to_numpy(np.int64), 2**32 - 1)
+    return counts
+
+
+def shingle_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, rep) of every row with an id and words; (fp, rep, n, pre, bits) of every class: its key, its
+    smallest id, the number of its shingles, its prefix and its parity bitmap; (fp, _sh), the sets of all rows."""
     w = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), shingle_words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    sets = materialize(w.select("id", F.array_sort(shingle_hashes(F.col("w"), k)).alias("sh")).withColumn("fp", F.sha2(F.to_json("sh"), 256)), "shingle_sets")
-    reps = materialize(sets.groupBy("fp").agg(F.min("id").alias("rep")), "class_reps")
-    members = sets.select("id", "fp").join(reps, "fp").select("id", "rep")
-    # of rows that repeat an id with several texts, each class keeps its own set
-    classes = sets.join(reps.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("id") == F.col("rep")), "left_semi")
-    classes = classes.dropDuplicates(["fp"]).select("fp", F.col("id").alias("rep"), F.size("sh").alias("n"), "sh")
-    return members, materialize(classes, "classes")
+    sets = w.select("id", F.array_sort(shingle_hashes(F.col("w"), k)).alias("sh"))
+    sets = materialize(sets.select("id", "sh", class_key(F.col("sh")).alias("fp")), "shingle_sets")
+    num, den = _ratio(threshold)
+    counts = df.sparkSession.sparkContext.broadcast(slot_counts(sets))
+
+    @F.pandas_udf("pre array<long>, bits array<long>")
+    def prefix(sh: pd.Series) -> pd.DataFrame:
+        c, out = counts.value, []
+        for h in sh:
+            length = len(h) + num * len(h) // -den + 1        # n - ceil(t * n) + 1
+            order = np.lexsort((h, c[h.view(np.uint64) >> np.uint64(64 - SLOT_BITS)]))
+            out.append((h[order[:length]], parity(h)))
+        return pd.DataFrame(out, columns=["pre", "bits"])
+    # rows of one class have the same set, prefix and bitmap
+    classes = sets.select("id", "fp", F.size("sh").alias("n"), prefix("sh").alias("p")).select("id", "fp", "n", "p.*")
+    first = [F.first(c).alias(c) for c in ("n", "pre", "bits")]
+    classes = materialize(classes.groupBy("fp").agg(F.min("id").alias("rep"), *first), "classes")
+    members = sets.select("id", "fp").join(classes.select("fp", "rep"), "fp").select("id", "rep")
+    return members, classes, sets.select("fp", F.col("sh").alias("_sh"))
 
 
 def similar_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -46,29 +76,20 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float =
     Null ids and texts without words take no part. An id with several texts is a member of
     several classes.
     """
-    members, classes = shingle_classes(df, id_col, text_col, k)
+    members, classes, sets = shingle_classes(df, id_col, text_col, threshold, k)
     num, den = _ratio(threshold)
-    tokens = classes.select("fp", "rep", "n", F.explode("sh").alias("h"))
-    freq = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
-    # a shingle that no other class holds joins nothing, but still fills the prefix: it is counted, not dealt
-    known = materialize(tokens.join(freq.where("f > 1"), "h").select("fp", "rep", "n", "f", "h"), "known_shingles")
-    have = known.groupBy("fp", "rep", "n").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
-    lone = F.col("n") - F.size("o")
-    length = F.col("n") - F.ceil(F.lit(num) * F.col("n") / F.lit(den)).cast("int") + 1
-    have = have.withColumn("lone", lone).withColumn("len", F.greatest(length - lone, F.lit(0)))
-    prefix = have.where("len > 0").select("fp", "rep", "n", "lone", F.transform(F.slice("o", F.lit(1), F.col("len")), lambda x: x["h"]).alias("pre"))
-    prefix = materialize(prefix, "prefixes")
-    dealt = prefix.select("fp", "rep", "n", "lone", "pre", F.posexplode("pre").alias("i", "h"))
+    dealt = classes.select("fp", "n", F.posexplode("pre").alias("i", "h"))
     x, y = dealt.alias("x"), dealt.alias("y")
     m, n = F.col("x.n"), F.col("y.n")
     need = F.ceil(F.lit(num) * (m + n) / F.lit(num + den))
-    left = F.least(m - F.col("x.lone") - F.col("x.i"), n - F.col("y.lone") - F.col("y.i"))       # shingles from the meeting on
-    first = F.array_min(F.transform(F.array_intersect("x.pre", "y.pre"), lambda h: F.array_position("x.pre", h))) == F.col("x.i") + 1
+    left = F.least(m - F.col("x.i"), n - F.col("y.i"))       # shingles from the meeting on
     smaller = (m < n) | ((m == n) & (F.col("x.fp") < F.col("y.fp")))
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & smaller & (m * F.lit(den) >= n * F.lit(num)) & (left >= need) & first)
-    pairs = materialize(pairs.select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q")), "candidates")
-    s = lambda c: classes.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"), F.col("n").alias(f"{c}_n"), F.col("sh").alias(f"{c}_sh"))
-    met = pairs.join(s("p"), "p").join(s("q"), "q").withColumn("shared", F.size(F.array_intersect("p_sh", "q_sh")))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & smaller & (m * F.lit(den) >= n * F.lit(num)) & (left >= need))
+    pairs = pairs.select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q")).distinct()
+    side = lambda c: classes.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"), F.col("n").alias(f"{c}_n"), *unpacked("bits", f"{c}_w"))
+    pairs = pairs.join(side("p"), "p").join(side("q"), "q").where(may_reach((F.col("p_n"), F.col("q_n")), ("p_w", "q_w"), threshold))
+    pairs = materialize(pairs.select("p", "q", "p_rep", "q_rep", "p_n", "q_n"), "candidates")
+    met = pair_sets(sets, pairs, "fp", "p", "q").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
     total = F.col("p_n") + F.col("q_n") - F.col("shared")
     met = met.withColumn("total", total).where(F.col("shared") * F.lit(den) >= F.col("total") * F.lit(num))
     return met.select(F.least("p_rep", "q_rep").alias("a"), F.greatest("p_rep", "q_rep").alias("b"), "shared", "total"), members
