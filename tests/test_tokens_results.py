@@ -232,3 +232,28 @@ def test_stream_first_seen_over_three_runs(spark, tmp_path):
     again = spark.createDataFrame(runs[2], "id int, key string").withColumn("ts", F.lit(None).cast("timestamp"))
     J.first_seen_writer("key", ["id"], out)(again, 2)
     assert sorted(((r.id, r.key) for r in spark.read.parquet(out).collect()), key=str) == sorted(want, key=str)
+
+
+def test_labels_leave_by_slice(spark):
+    """A batch of several slices: rows stay in order, each with its own labels."""
+    import numpy as np
+    import pandas as pd
+    from threadmill.functions import tokens as K
+    texts, spans = ["a b", "c " * K.SLICE_CHARS, "d", ""], [[(0, 1)], [(0, 1)], None, []]
+    frames = [K._labelled(K.load("basic")(texts[a:b]), pd.Series([[s[0] for s in x or []] for x in spans])[a:b],
+                          pd.Series([[s[1] for s in x or []] for x in spans])[a:b]) for a, b in K._slices(texts)]
+    assert len(frames) > 1 and [r[:2] for f in frames for r in f] == [(2, 1), (K.SLICE_CHARS, 1), (1, 0), (0, 0)]
+    assert all(r[2].dtype == np.int32 and r[3].dtype == np.int32 for f in frames for r in f)
+    df = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(zip(texts, spans))], "i int, text string, spans array<struct<start:int,end:int>>").coalesce(1)
+    got = K.label_rows(df, "text", "spans").orderBy("i").collect()
+    assert [(r.n_tokens, r.n_trainable, len(r.labels)) for r in got] == [(2, 1, 2), (K.SLICE_CHARS, 1, K.SLICE_CHARS), (1, 0, 1), (0, 0, 0)]
+
+
+def test_math_rows_are_dealt(spark, tmp_path):
+    """One small file is one task; the rows made from it are not."""
+    from pyspark.sql import functions as F
+    from threadmill.plans.fixtures import math_completions, math_problems
+    spark.range(200).select(F.col("id").alias("p_partkey"), F.lit("part").alias("p_name"), F.lit(5).alias("p_size")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for rows in (math_problems, math_completions):
+        df = rows(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and df.count() == 200

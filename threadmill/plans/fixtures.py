@@ -88,10 +88,15 @@ def _part_prompt() -> "F.Column":
     return F.concat(F.lit("<|user|>Part "), (F.col("p_partkey") % 1500).cast("string"), F.lit("<|end|>"))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The same rows over four tasks a core: a small file is one task, whatever is computed from its rows."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def math_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """math: problem/solution from part; the solution ends five ways by p_partkey % 5
     (boxed fraction, 'answer is', two boxes, unbalanced box, trailing '= n')."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    p = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
     size = F.col("p_size").cast("string")
     k = F.col("p_partkey") % 5
     sol = (F.when(k == 0, F.concat("p_name", F.lit(". We compute the total. The answer is \\boxed{\\frac{"), size,
@@ -106,7 +111,7 @@ def math_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def math_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """completions: same/equal-decimal/substring/wrong/none/plain answers by p_partkey % 6."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
     size = F.col("p_size").cast("string")
     k = F.col("p_partkey") % 6
     dec = F.concat((F.col("p_size") / 2).cast("int").cast("string"), F.lit("."),
