@@ -116,12 +116,12 @@ def candidate_pairs(sig: DataFrame, id_col: str, bands: int = BANDS, rows: int =
                     threshold: float = THRESHOLD) -> DataFrame:
     """Pairs ``(a < b)`` sharing at least one LSH bucket that can pass verification.
 
-    ``sig`` has the signature (``sig``) or its band hashes (``_bh``), and the sets (``_sh``) or their
-    sizes and bitmaps (``_n``, ``_bits``). Rows that repeat an id and its set count once.
+    ``sig`` has the sets (``_sh``) and their signatures (``sig``) or band hashes (``_bh``). Rows that
+    repeat an id and its set count once.
     """
     bh = F.col("_bh") if "_bh" in sig.columns else band_hashes(F.col("sig"), bands, rows)
-    n, bits = (F.col("_n"), F.col("_bits")) if "_bits" in sig.columns else (F.size("_sh"), parity_bits("_sh"))
-    t = sig.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("k"), n.alias("n"), bits.alias("bits"), bh.alias("bh")).distinct()
+    t = sig.where(F.col(id_col).isNotNull())
+    t = t.select(F.col(id_col).alias("k"), F.size("_sh").alias("n"), parity_bits("_sh").alias("bits"), bh.alias("bh")).distinct()
     b = t.select("k", "n", *unpacked("bits", "w"), F.posexplode("bh").alias("band", "h"))
     side = lambda c: b.select(*[F.col(x).alias(f"{c}_{x}") for x in b.columns])
     met = side("l").join(side("r"), (F.col("l_band") == F.col("r_band")) & (F.col("l_h") == F.col("r_h")) & (F.col("l_k") < F.col("r_k"))
@@ -236,8 +236,7 @@ def near_dedup(df: DataFrame, id_col: str, text_col: str, thinking_col: str,
                 .select(F.col(id_col).alias("_id"), "_th", shingle_hashes(F.col("_w")).alias("_sh")))
     # a class is known by the hash of its set
     eligible = eligible.withColumn("sig", minhash(F.col("_sh")))
-    eligible = eligible.select("_id", "_th", class_key(F.col("_sh")).alias("fp"), F.size("_sh").alias("_n"), parity_bits("_sh").alias("_bits"),
-                               band_hashes(F.col("sig")).alias("_bh"), "_sh")
+    eligible = eligible.select("_id", "_th", class_key(F.col("_sh")).alias("fp"), band_hashes(F.col("sig")).alias("_bh"), "_sh")
     eligible = materialize(eligible, "near_sets")
     links = materialize(verified_pairs(eligible, candidate_pairs(eligible, "fp", threshold=threshold), "fp", threshold), "near_links")
     members = materialize(eligible.select("_id", "fp").distinct().join(eligible.select("_id", "_th").distinct(), "_id"), "near_members")
