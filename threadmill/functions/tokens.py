@@ -1,7 +1,7 @@
 """Token counts and labels with a tokenizer chosen by name (K, A4, A5, P33, P39).
 
 A tokenizer is loaded once per worker, inside an Arrow iterator, and sees whole texts in
-slices of bounded size. Names:
+slices of bounded size. Labels leave a slice at a time, and a finished task hands its memory back. Names:
 
 * ``basic``: runs of ASCII letters, digits and ``_``, and every other character that is not
   ASCII white space (ids are crc32 values of the token);
@@ -12,10 +12,12 @@ Offsets are code points, as Spark's ``length`` and ``substring`` count them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,16 +69,28 @@ def _slices(texts: list[str]):
         yield start, len(texts)
 
 
+def _release() -> None:
+    """Hands freed memory back to the system, where the C library can: Spark keeps a worker for later
+    tasks, which otherwise holds the most that any of its tasks took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def token_count(text: ColumnOrName, tokenizer: str = "basic") -> Column:
     """Number of tokens of the whole text (null: 0)."""
     @F.pandas_udf(T.LongType())
     def count(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load(tokenizer)
-        for s in it:
-            texts, out = s.tolist(), []
-            for a, b in _slices(texts):
-                out += [len(ids) for ids, _, _ in encode(texts[a:b])]
-            yield pd.Series(out, dtype="int64")
+        try:
+            for s in it:
+                texts, out = s.tolist(), []
+                for a, b in _slices(texts):
+                    out += [len(ids) for ids, _, _ in encode(texts[a:b])]
+                yield pd.Series(out, dtype="int64")
+        finally:
+            _release()
     return count(F.coalesce(col(text), F.lit("")))
 
 
@@ -105,18 +119,27 @@ def token_labels(text: ColumnOrName, spans: ColumnOrName, tokenizer: str = "basi
     @F.pandas_udf(LABELS)
     def label(it: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         encode = load(tokenizer)
-        for texts, lo, hi in it:
-            texts, out = texts.tolist(), []
-            for a, b in _slices(texts):
-                for (ids, starts, ends), s, e in zip(encode(texts[a:b]), lo[a:b], hi[a:b]):
-                    keep = inside(starts, ends, np.asarray(s, np.int64), np.asarray(e, np.int64))
-                    ids = np.asarray(ids, np.int64)
-                    out.append((len(ids), int(keep.sum()), ids.astype(np.int32), np.where(keep, ids, IGNORED).astype(np.int32)))
-            yield pd.DataFrame(out, columns=["n_tokens", "n_trainable", "input_ids", "labels"])
+        try:
+            for texts, lo, hi in it:
+                texts = texts.tolist()
+                # a frame per slice: the labels of a whole batch would be held at once otherwise
+                for a, b in _slices(texts):
+                    yield pd.DataFrame(_labelled(encode(texts[a:b]), lo[a:b], hi[a:b]), columns=["n_tokens", "n_trainable", "input_ids", "labels"])
+        finally:
+            _release()
     s = F.coalesce(col(spans), F.array().cast("array<struct<start:int,end:int>>"))
     return label(F.coalesce(col(text), F.lit("")), F.transform(s, lambda x: x["start"]), F.transform(s, lambda x: x["end"]))
 
 
+def _labelled(encoded, lo, hi) -> list[tuple]:
+    out = []
+    for (ids, starts, ends), s, e in zip(encoded, lo, hi):
+        keep = inside(starts, ends, np.asarray(s, np.int64), np.asarray(e, np.int64))
+        ids = np.asarray(ids, np.int32)
+        out.append((len(ids), int(keep.sum()), ids, np.where(keep, ids, np.int32(IGNORED))))
+    return out
+
+
 def label_rows(df: DataFrame, text: str, spans: str, tokenizer: str = "basic") -> DataFrame:
     """Adds n_tokens, n_trainable, input_ids, labels and ``drop_reason``: ``empty`` for rows without
     tokens, ``zero_signal`` for rows with no trainable token, null for rows that a loss can use."""
