@@ -79,3 +79,15 @@ def test_prefix_and_bitmap_bounds(spark):
     for x, y in itertools.combinations(got[:60], 2):
         bits = sum(int(a ^ b).bit_count() for a, b in zip(parity(np.array(x._sh)).view(np.uint64), parity(np.array(y._sh)).view(np.uint64)))
         assert bits <= len(set(x._sh) ^ set(y._sh)) and list(parity(np.array(x._sh))) == x.bits
+
+
+def test_classes_go_by_their_number(spark):
+    """Prefixes and meetings carry a class's number (a long), no longer its 16-byte key; an id with several texts is in several classes."""
+    from threadmill.operators.prefix_join import shingle_classes
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    df = spark.createDataFrame([(1, text), (1, text + " end"), (2, text.upper()), (1, "another text"), (3, text + " end")], "doc_id long, text string")
+    _, classes, _ = shingle_classes(df, "doc_id", "text")
+    got = classes.collect()
+    assert len(got) == 3 == len({r.no for r in got}) and {r.rep for r in got} == {1}
+    pairs, _ = similar_pairs(df, "doc_id", "text")
+    assert sorted(map(tuple, pairs.collect())) == [(1, 1, 24, 25)]

@@ -45,8 +45,9 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
 
 
 def shingle_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(id, rep) of every row with an id and words; (fp, rep, n, pre, bits) of every class: its key, its
-    smallest id, the number of its shingles, its prefix and its parity bitmap; (fp, _sh), the sets of all rows."""
+    """(id, rep) of every row with an id and words; (fp, rep, n, pre, bits, no) of every class: its key, its
+    smallest id, the number of its shingles, its prefix, its parity bitmap and a number of its own, which takes
+    less room than the key; (fp, _sh), the sets of all rows."""
     w = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), shingle_words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     sets = w.select("id", F.array_sort(shingle_hashes(F.col("w"), k)).alias("sh"))
     sets = materialize(sets.select("id", "sh", class_key(F.col("sh")).alias("fp")), "shingle_sets")
@@ -64,7 +65,8 @@ def shingle_classes(df: DataFrame, id_col: str, text_col: str, threshold: float
     # rows of one class have the same set, prefix and bitmap
     classes = sets.select("id", "fp", F.size("sh").alias("n"), prefix("sh").alias("p")).select("id", "fp", "n", "p.*")
     first = [F.first(c).alias(c) for c in ("n", "pre", "bits")]
-    classes = materialize(classes.groupBy("fp").agg(F.min("id").alias("rep"), *first), "classes")
+    classes = classes.groupBy("fp").agg(F.min("id").alias("rep"), *first)
+    classes = materialize(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
     members = sets.select("id", "fp").join(classes.select("fp", "rep"), "fp").select("id", "rep")
     return members, classes, sets.select("fp", F.col("sh").alias("_sh"))
 
@@ -78,16 +80,17 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float =
     """
     members, classes, sets = shingle_classes(df, id_col, text_col, threshold, k)
     num, den = _ratio(threshold)
-    dealt = classes.select("fp", "n", F.posexplode("pre").alias("i", "h"))
+    # a class goes by its number, until its candidates are known
+    dealt = classes.select("no", "n", F.posexplode("pre").alias("i", "h"))
     x, y = dealt.alias("x"), dealt.alias("y")
     m, n = F.col("x.n"), F.col("y.n")
     need = F.ceil(F.lit(num) * (m + n) / F.lit(num + den))
     left = F.least(m - F.col("x.i"), n - F.col("y.i"))       # shingles from the meeting on
-    smaller = (m < n) | ((m == n) & (F.col("x.fp") < F.col("y.fp")))
+    smaller = (m < n) | ((m == n) & (F.col("x.no") < F.col("y.no")))
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & smaller & (m * F.lit(den) >= n * F.lit(num)) & (left >= need))
-    pairs = pairs.select(F.col("x.fp").alias("p"), F.col("y.fp").alias("q")).distinct()
-    side = lambda c: classes.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"), F.col("n").alias(f"{c}_n"), *unpacked("bits", f"{c}_w"))
-    pairs = pairs.join(side("p"), "p").join(side("q"), "q").where(may_reach((F.col("p_n"), F.col("q_n")), ("p_w", "q_w"), threshold))
+    pairs = pairs.select(F.col("x.no").alias("p_no"), F.col("y.no").alias("q_no")).distinct()
+    side = lambda c: classes.select(F.col("no").alias(f"{c}_no"), F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"), F.col("n").alias(f"{c}_n"), *unpacked("bits", f"{c}_w"))
+    pairs = pairs.join(side("p"), "p_no").join(side("q"), "q_no").where(may_reach((F.col("p_n"), F.col("q_n")), ("p_w", "q_w"), threshold))
     pairs = materialize(pairs.select("p", "q", "p_rep", "q_rep", "p_n", "q_n"), "candidates")
     met = pair_sets(sets, pairs, "fp", "p", "q").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
     total = F.col("p_n") + F.col("q_n") - F.col("shared")
