@@ -298,3 +298,53 @@ def test_candidates_of_copies_are_one_row(spark):
     pairs = candidate_pairs(rows, "fp")
     assert [tuple(r) for r in pairs.collect()] == [("p", "q")]
     assert [tuple(r) for r in verified_pairs(rows, pairs, "fp").collect()] == [("p", "q")]
+
+
+def test_minhash_is_the_minimum_of_xxhash64(spark):
+    """The values of Spark's own hash; computed in columns, a signature took a call per shingle and permutation."""
+    from pyspark.sql import functions as F
+
+    from threadmill.operators import near_dedup as N
+    sets = [[0], [-1, 5, 2**62], [-2**63, 2**63 - 1], list(range(1, 200)), [], None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "i int, h array<long>")
+    want = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda p: F.array_min(F.transform("h", lambda x: F.xxhash64(x, p))))
+    for size in (N.HASHES, 3):
+        N.HASHES, before = size, N.HASHES
+        got = df.select(N.minhash(F.col("h")).alias("got"), want.alias("want")).collect()
+        N.HASHES = before
+        assert all(r.got == r.want if r.want else r.got == [None] * 128 for r in got)
+    assert "python" in df.select(N.minhash(F.col("h")))._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_strip_takes_the_characters_of_the_pattern(spark):
+    from pyspark.sql import functions as F
+
+    from threadmill.functions.text import WS, strip
+    rows = [(chr(c) + "a" + chr(c) + " b" + chr(c),) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and c != 0]
+    rows += [(None,), ("",), (" \n\t",), ("a",), (" 　\x85a \n b\r\n",), ("\U0001F600 x \U0001F600 ",)]
+    df = spark.createDataFrame(rows, "t string").select("t", strip("t").alias("got"), F.regexp_replace("t", f"^{WS}+|{WS}+$", "").alias("want"))
+    assert df.where(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_split_moves_no_whole_rows(spark):
+    """A stratum's rows were shuffled by the stratum, with all their columns, to one task."""
+    df = spark.createDataFrame([(i, "ab"[i % 2], "text") for i in range(100)], "id long, d string, t string")
+    plan = stratified_split(df, "d", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
+def test_corpus_rows_are_normalised_once(spark, monkeypatch):
+    """No filter reaches below the messages: their texts are not normalised for it anew."""
+    from threadmill.plans import corpus
+    plans, write = [], corpus.materialize
+
+    def spy(df, name):
+        if name == "corpus_build_rows":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(corpus, "materialize", spy)
+    answer = "A long enough answer that passes the quality filter of the corpus build, word by word."
+    rows = [(1, "one", answer), (2, "two", "short"), (3, "", answer), (4, None, answer), (5, "five", "<think>" + answer), (6, "six", f" <think>x</think>{answer} "),
+            (7, "one", answer), (None, "eight", answer)]
+    got = corpus.build_corpus(spark, [(spark.createDataFrame(rows, "_rid long, problem string, solution string"), "a", "m")]).collect()
+    assert sum(r.n for r in got if r.config == "sft") == 3 and "Filter" not in plans[0]

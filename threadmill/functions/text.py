@@ -22,11 +22,14 @@ def col(c: ColumnOrName) -> Column:
 
 # Python ``str.isspace()`` characters; ``trim`` would only remove spaces.
 WS = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
+#: The characters of ``WS``.
+WS_CHARS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: ColumnOrName) -> Column:
-    """``str.strip()``: remove leading/trailing whitespace."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    """``str.strip()``: remove leading/trailing whitespace. Read from both ends; a pattern would try
+    every run of whitespace inside."""
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def nz(c: ColumnOrName) -> Column:

@@ -36,6 +36,16 @@ def md5_order_key(seed: int | str, *id_cols: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
+#: Groups whose values are sent to all executors, so that their rows stay where they are.
+FEW_GROUPS = 10_000
+
+
+def few(table: DataFrame) -> DataFrame:
+    """``table`` (written, or cheap to count), marked for broadcast if it is short: in a shuffled join all rows
+    of a large group, with all their columns, would meet in one task."""
+    return F.broadcast(table) if table.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS else table
+
+
 def _attach(rows: DataFrame, table: DataFrame, g: list[str], how: str = "inner") -> DataFrame:
     """Attach per-group values: null-safe equi-join (a null group is a group; AQE broadcasts
     what it measures to be small), or scalar subqueries when ungrouped."""
@@ -68,7 +78,7 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
     cand = keys
     bounds: list[str] = []
     for level, (start, length) in enumerate(_LEVELS):
-        rows = _attach(cand, state.drop("_n", "_k") if g else state.select(*bounds, "_need"), g)
+        rows = _attach(cand, few(state.drop("_n", "_k")) if g else state.select(*bounds, "_need"), g)
         for i, b in enumerate(bounds):
             rows = rows.where(F.substring("_key", *_LEVELS[i]) == F.col(b))
         p = F.substring("_key", start, length).alias("_p")
@@ -90,7 +100,7 @@ def kth_key(df: DataFrame, key_col: str, group_cols: list[str],
         state = state.withColumnRenamed("_need2", "_need").checkpoint()
         bounds.append(bname)
         cand = keys
-    rows = _attach(keys, state.select(*g, *bounds, "_need").where(F.col("_need").isNotNull()) if g
+    rows = _attach(keys, few(state.select(*g, *bounds, "_need").where(F.col("_need").isNotNull())) if g
                    else state.select(*bounds, "_need"), g)
     for i, b in enumerate(bounds):
         rows = rows.where(F.substring("_key", *_LEVELS[i]) == F.col(b))
@@ -113,7 +123,8 @@ def flag_first_k(df: DataFrame, key_col: str, group_cols: list[str],
     """
     g = list(group_cols)
     cuts = kth_key(df, key_col, g, k_of_n)
-    joined = _attach(df, cuts.select(*g, "_cut", F.when(F.col("_take") < F.col("_tied"), F.col("_take")).alias("_some")), g)
+    ends = cuts.select(*g, "_cut", F.when(F.col("_take") < F.col("_tied"), F.col("_take")).alias("_some"))
+    joined = _attach(df, few(ends) if g else ends, g)
     flag = F.coalesce(F.col(key_col) <= F.col("_cut"), F.lit(False))
     out = joined.withColumn(out_col, flag)
     if cuts.where("_take < _tied").isEmpty():

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadmill.functions.text import ColumnOrName, col, nz
-from threadmill.operators.ranking import cut_keys, flag_first_k, md5_order_key
+from threadmill.operators.ranking import cut_keys, few, flag_first_k, md5_order_key
 
 SPLIT_SEED = 42  # fixed value: the reference's split seed
 
@@ -46,7 +46,7 @@ def stratified_split(df: DataFrame, strata_col: str, id_col: str, test_size: flo
     sizes = keyed.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_sn"))
     sizes = sizes.withColumn("_strat", F.min("_sn").over(Window.partitionBy()) >= 2).checkpoint()
     eff = F.when(F.col("_strat"), F.col(strata_col).cast("string")).otherwise(F.lit("*"))
-    st = sizes.select(F.col(strata_col).alias("_st"), "_strat")
+    st = few(sizes.select(F.col(strata_col).alias("_st"), "_strat"))
     keyed = (keyed.join(st, keyed[strata_col].eqNullSafe(F.col("_st"))).drop("_st")
              .withColumn("_stratum", eff).drop("_strat"))
     k = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(test_size)))

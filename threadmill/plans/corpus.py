@@ -76,13 +76,18 @@ def build_corpus(spark: SparkSession, sources: list[tuple[DataFrame, str, str]],
     from threadmill.plans.q_sources import normalize_any
     from threadmill.sources.io import load_sources
 
-    norm = [(normalize_any(df).where("ok").select("_rid", "messages"), src, model) for df, src, model in sources]
-    u = load_sources(spark, norm)
-    u = u.withColumn("_order", F.struct("source_rank", "_rid"))
-    last = M.last_message("messages")
-    u = u.withColumn("_q", quality_reason(last["content"], min_answer_len)).where(F.col("_q").isNull()).drop("_q")
-    u = u.withColumn("_user", F.coalesce(M.first_user_text("messages"), F.lit("")))
-    u = materialize(u.withColumn("_th", last["thinking"]), "corpus_build_rows")
+    def checked(x):
+        last = M.last_message(x["messages"])
+        kept = x["ok"] & quality_reason(last["content"], min_answer_len).isNull()
+        return F.struct(kept.alias("kept"), F.when(kept, x["messages"]).alias("messages"),
+                        F.when(kept, F.coalesce(M.first_user_text(x["messages"]), F.lit(""))).alias("_user"), F.when(kept, last["thinking"]).alias("_th"))
+
+    # A lambda's argument is computed once and no filter passes the write. As plain columns, the filters
+    # and every use of the messages would each normalise the texts anew.
+    seen = F.transform(F.array(F.struct("ok", "messages")), checked)[0].alias("_v")
+    u = load_sources(spark, [(normalize_any(df).select("_rid", seen), src, model) for df, src, model in sources])
+    u = materialize(u, "corpus_build_rows").where("_v.kept")
+    u = u.select(F.struct("source_rank", "_rid").alias("_order"), "source", "model", "_v.messages", "_v._user", "_v._th")
     from threadmill.operators.dedup import keep_first_seen
     u = keep_first_seen(u, sha256_key("_user"), ["_order"])
     nd = near_dedup(u.select("_order", "_user", "_th"), "_order", "_user", "_th")
